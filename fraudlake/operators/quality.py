@@ -138,24 +138,39 @@ def _render(template: str) -> Column:
     return F.concat(*pieces) if pieces else F.lit("")
 
 
-def statistics(bronze: DataFrame, silver: DataFrame,
-               rules: Sequence[Rule] | None = None) -> DataFrame:
-    """One row of all statistics: one aggregate over each table, cross joined."""
-    rules = default_rules() if rules is None else rules
+def bronze_statistics(bronze: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One-row aggregate of the Bronze statistics the rules need."""
     b_stats = dict(BRONZE_STATS)
     for r in rules:
         b_stats.update(dict(r.bronze_stats))
-    b = bronze.agg(*[F.expr(e).alias(k) for k, e in b_stats.items()])
-    s = silver.agg(*[F.expr(e).alias(k) for k, e in SILVER_STATS.items()])
-    one = b.crossJoin(s)
+    return bronze.agg(*[F.expr(e).alias(k) for k, e in b_stats.items()])
+
+
+def silver_statistics(silver: DataFrame) -> DataFrame:
+    """One-row aggregate of the Silver statistics."""
+    return silver.agg(*[F.expr(e).alias(k) for k, e in SILVER_STATS.items()])
+
+
+def statistics(bronze: DataFrame, silver: DataFrame,
+               rules: Sequence[Rule] | None = None,
+               silver_stats: DataFrame | None = None) -> DataFrame:
+    """One row of all statistics: one aggregate over each table, cross joined.
+
+    ``silver_stats`` may be given precomputed (e.g. from the Gold rollup) so
+    that Silver is not scanned again.
+    """
+    rules = default_rules() if rules is None else rules
+    s = silver_statistics(silver) if silver_stats is None else silver_stats
+    one = bronze_statistics(bronze, rules).crossJoin(s)
     return one.withColumns({k: F.expr(e) for k, e in DERIVED_STATS.items()})
 
 
-def quality_report(bronze: DataFrame, silver: DataFrame,
-                   rules: Sequence[Rule] | None = None) -> DataFrame:
+def quality_report(bronze: DataFrame, silver: DataFrame | None,
+                   rules: Sequence[Rule] | None = None,
+                   silver_stats: DataFrame | None = None) -> DataFrame:
     """One row per rule: check_id, check, status, detail, alert (NULL if none)."""
     rules = default_rules() if rules is None else rules
-    stats = statistics(bronze, silver, rules)
+    stats = statistics(bronze, silver, rules, silver_stats)
     rows = []
     for r in rules:
         passed = F.coalesce(F.expr(r.predicate), F.lit(False))
