@@ -104,7 +104,7 @@ def extra_rules(max_critical_pct: float = 5.0) -> list[Rule]:
 def freshness_rule(max_age_hours: float, check_id: int = 10) -> Rule:
     """Stale-data check: newest Bronze ingestion at most ``max_age_hours`` old."""
     age = (f"(unix_micros(current_timestamp()) - unix_micros(max({S.INGEST_TS})))"
-           " / 3600000000.0")
+           " / CAST(3600000000 AS DOUBLE)")
     return Rule(check_id, "bronze_freshness", f"age_hours <= {max_age_hours!r}",
                 S.STATUS_WARN, "{age_hours:.2f} h since last ingestion",
                 "Bronze is stale: {age_hours:.2f} h since last ingestion",
@@ -131,7 +131,7 @@ def _render(template: str) -> Column:
         if spec == ",":
             piece = F.format_string("%,d", value)
         elif spec == ".2f":
-            piece = F.format_string("%.2f", F.round(value, 2))
+            piece = F.format_string("%.2f", F.round(value.cast("double"), 2))
         else:
             piece = value.cast("string")
         pieces.append(F.coalesce(piece, F.lit("n/a")))

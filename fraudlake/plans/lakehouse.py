@@ -90,8 +90,10 @@ def run(spark: SparkSession, source: DataFrame | str, root: str,
     store.write(th, S.THRESHOLDS_TABLE, partition_by=S.SNAPSHOT_VERSION, dynamic=True)
     th = store.read(S.THRESHOLDS_TABLE).filter(F.col(S.SNAPSHOT_VERSION) == v)
 
-    # Silver (snapshot version v), then read back.
-    versions.write_snapshot(silver.build_silver(bronze, th=th, ts=ts), silver_path, v)
+    # Silver (snapshot version v), then read back. Rows are sorted by score
+    # inside each file, so ``score >= cut`` scans skip most row groups.
+    s_new = silver.build_silver(bronze, th=th, ts=ts).sortWithinPartitions(S.SCORE)
+    versions.write_snapshot(s_new, silver_path, v)
     store.register(S.SILVER_TABLE, partitioned=True)
     s = versions.read_as_of(spark, silver_path, v)
 
@@ -130,10 +132,12 @@ def profile_views(bronze: DataFrame) -> dict[str, DataFrame]:
 
 
 def backfill(spark: SparkSession, sources: dict[int, DataFrame], root: str,
-             **kwargs) -> list[RunResult]:
+             run_id: str = "backfill", **kwargs) -> list[RunResult]:
     """Rebuild the given Silver versions from their sources. Each version's
-    partition is replaced, so running a backfill twice gives the same tables."""
-    return [run(spark, src, root, version=v, **kwargs) for v, src in sorted(sources.items())]
+    partition is replaced and each version logs once under ``{run_id}-v{N}``,
+    so running a backfill twice gives the same tables."""
+    return [run(spark, src, root, version=v, run_id=f"{run_id}-v{v}", **kwargs)
+            for v, src in sorted(sources.items())]
 
 
 def reset(store: TableStore) -> None:

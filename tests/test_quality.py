@@ -113,3 +113,21 @@ def test_payload_is_json(spark):
                                                             sorted(checks)]
     assert body["metricas"]["total_transacoes"] == 20
     assert body["alertas"] == []
+
+
+def test_freshness_rule(spark):
+    rows = rows_df(spark, _rows(1, 20))
+    fresh = B.add_control_columns(rows)
+    stale = B.add_control_columns(
+        rows, ts=F.current_timestamp() - F.make_dt_interval(hours=F.lit(30)))
+    rules = quality.default_rules(min_rows=1) + [quality.freshness_rule(24.0)]
+    for bronze, want in ((fresh, "PASS"), (stale, "WARN")):
+        s = silver.build_silver(bronze, th=TH)
+        rep = {r["check_id"]: r for r in quality.quality_report(bronze, s, rules).collect()}
+        assert rep[10]["status"] == want
+
+
+def test_spark_describe_is_available(spark):
+    from fraudlake.operators import profile
+    out = profile.describe(rows_df(spark, _rows(1, 20))).collect()
+    assert [r["summary"] for r in out] == ["count", "mean", "stddev", "min", "max"]
