@@ -203,3 +203,7 @@ def quality_alerts(report: DataFrame) -> DataFrame:
 def failed(report: DataFrame) -> DataFrame:
     """Checks whose status is FAIL."""
     return report.filter(F.col("status") == S.STATUS_FAIL)
+
+
+DEFAULT_RULES = tuple(default_rules())
+EXTRA_RULES = tuple(extra_rules())

@@ -181,3 +181,8 @@ REPORT_SQL = {
 def sql_report(spark: SparkSession, name: str, **tables: str) -> DataFrame:
     """Run one of :data:`REPORT_SQL` with table names (or temp views) filled in."""
     return spark.sql(REPORT_SQL[name].format(**tables))
+
+
+# Short names used in the operator inventory.
+top_confirmed = top_confirmed_fraud
+history = run_history
