@@ -101,3 +101,16 @@ def test_exact_and_approx_thresholds_are_close(spark):
     assert abs(ex[S.P95_HOME] - 99.7304) < 1e-9  # FIXTURES.md (printed rounded)
     for c in S.THRESHOLD_COLUMNS:
         assert abs(ex[c] - ap[c]) / ex[c] < 1e-2
+
+
+def test_command_line_run(spark, tmp_root, capsys):
+    from fraudlake.__main__ import main
+
+    csv_dir = os.path.join(tmp_root, "landing")
+    write_csv(read_transactions(spark, SF_SMALL), csv_dir)
+    assert main(["--source", csv_dir, "--root", os.path.join(tmp_root, "lake"),
+                 "--min-rows", "1000", "--extra-checks", "--max-age-hours", "1"]) == 0
+    out = capsys.readouterr().out.strip().splitlines()[-1]
+    import json
+    body = json.loads(out)
+    assert body["version"] == 0 and len(body["checks"]) == 10
