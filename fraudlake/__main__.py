@@ -22,7 +22,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--database", default=None, help="catalog database to register tables in")
     ap.add_argument("--run-id", default=None)
     ap.add_argument("--version", type=int, default=None, help="Silver version to (re)write")
-    ap.add_argument("--exact", action="store_true", help="exact discrete percentiles")
+    ap.add_argument("--approx", action="store_true",
+                    help="percentile_approx thresholds instead of exact ones")
     ap.add_argument("--min-rows", type=int, default=100_000)
     ap.add_argument("--extra-checks", action="store_true")
     ap.add_argument("--max-age-hours", type=float, default=None, help="stale-data check")
@@ -36,7 +37,7 @@ def main(argv: list[str] | None = None) -> int:
         rules.append(quality.freshness_rule(args.max_age_hours))
     spark = SparkSession.builder.appName("fraudlake").getOrCreate()
     res = lakehouse.run(spark, args.source, args.root, database=args.database,
-                        run_id=args.run_id, version=args.version, exact=args.exact,
+                        run_id=args.run_id, version=args.version, exact=not args.approx,
                         rules=rules, on_fail=args.on_fail)
     print(json.dumps({"run_id": res.run_id, "version": res.version,
                       "checks": [r.asDict() for r in res.report]}, ensure_ascii=False))

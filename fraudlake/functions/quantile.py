@@ -1,37 +1,47 @@
-"""Exact discrete quantiles at scale, by bracketing.
-
-``percentile_disc`` keeps a map of every distinct value in the single task
-that finishes a global aggregate; ``collect_list`` + sort does the same.
-Neither survives a 100 TB column. Here the exact answer (the SQL
-``PERCENTILE_DISC`` definition: the ``ceil(q * n)``-th smallest non-NULL value,
-NaN ordered last as Spark does) is found with a few full-column aggregates:
-
-1. one pass: non-NULL and non-NaN counts plus a ``percentile_approx`` grid of
-   the column (a mergeable sketch of bounded size);
-2. from the grid, a candidate bracket ``[lo, hi]`` around rank ``k``. The
-   sketch's rank error is at most ``m / accuracy``, so the number of rows
-   strictly inside the bracket has a proven upper bound;
-3. one pass counting rows below / equal to the bracket ends and, when the
-   bound is at most ``max_band`` rows, collecting the inside rows (the only
-   values that ever meet in one task). Otherwise the pass sketches the inside
-   rows again and step 2 repeats on the narrower band.
-
-All columns are resolved together, so each pass is one scan. The loop on the
-driver only reads a handful of scalars per pass. Counts verify every bracket,
-so a bad sketch can only cost passes, never correctness.
+"""Exact discrete quantiles at scale: histogram (radix) selection.
+
+The answer is the SQL ``PERCENTILE_DISC`` value: the ``ceil(q * n)``-th
+smallest non-NULL value, NaN ordered last as Spark orders it.
+
+``percentile_disc`` and ``collect_list`` keep the whole column in the one task
+that finishes a global aggregate, and even ``percentile_approx`` merges every
+task's sketch in a single task. Here each pass is a *grouped* count instead:
+
+1. every value gets an order-preserving bucket key (sign class, then
+   ``floor(log2|x| * 16)``, i.e. 16 buckets per power of two); a ``groupBy``
+   of (column, key) with count / min / max is partially aggregated in each
+   task and finished in parallel by the reducers of a hash shuffle;
+2. the driver reads the bucket summaries (bounded by the number of possible
+   keys, typically a few hundred), finds the bucket holding rank ``k`` and
+   how many values lie below it;
+3. the next pass looks only at that bucket: if it holds one value, that is
+   the answer; if it holds at most ``max_band`` rows, they are grouped by
+   exact value (at most ``max_band`` summary rows); otherwise the bucket's
+   ``[min, max]`` is split into ``SPLIT`` equal sub-buckets and step 2 repeats.
+
+Counts are exact, so no pass is ever redone; each refinement divides the
+value range by ``SPLIT``, so a value repeated on a third of all rows ends up
+alone in its bucket and is returned without being collected. All columns are
+resolved in the same passes (one scan per pass). At sf0.1 this is two passes.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GRID = 1000  # sketch read-out points per pass
-DEFAULT_MAX_BAND = 250_000  # most values one task may sort in the last pass
+OCTAVE_STEPS = 16  # log-scale buckets per power of two in the first pass
+SPLIT = 1024  # linear sub-buckets per refinement pass
+DEFAULT_MAX_BAND = 250_000  # most rows whose exact values are grouped in a pass
+
+# Sign classes of the first-pass key, in value order.
+_NEG_INF, _NEG, _ZERO, _POS, _POS_INF, _NAN = range(6)
+_SHIFT = 1 << 21  # keeps the exponent part of the key non-negative
+_CLASS = 1 << 23
 
 
 def target_rank(q: float, n: int) -> int:
@@ -42,136 +52,95 @@ def target_rank(q: float, n: int) -> int:
     return min(max(rank, 1), n)
 
 
+def _log_key(x: Column) -> Column:
+    """Order-preserving bucket key of a double (NULLs are filtered before)."""
+    e = F.floor(F.log2(F.abs(x)) * OCTAVE_STEPS)
+    inf = float("inf")
+    return (F.when(F.isnan(x), F.lit(_NAN * _CLASS))
+             .when(x == inf, F.lit(_POS_INF * _CLASS))
+             .when(x == -inf, F.lit(_NEG_INF * _CLASS))
+             .when(x > 0, F.lit(_POS * _CLASS + _SHIFT) + e)
+             .when(x < 0, F.lit(_NEG * _CLASS + _SHIFT) - e)
+             .otherwise(F.lit(_ZERO * _CLASS))).cast("long")
+
+
+def _split_key(x: Column, lo: float, hi: float) -> Column:
+    """Equal-width sub-bucket of ``[lo, hi]`` (finite, same sign, lo < hi)."""
+    pos = F.floor((x - F.lit(lo)) / F.lit(hi - lo) * SPLIT)
+    return F.least(pos, F.lit(SPLIT - 1)).cast("long")
+
+
 @dataclass
 class _State:
-    name: str
+    cid: int
     k: int = 0  # target rank among non-NULL values
-    lo: float | None = None  # band is (lo, hi), open, None = unbounded
-    hi: float | None = None
-    below: int = 0  # valid values <= lo
-    m: int = 0  # valid values inside the band
-    grid: list[float] = field(default_factory=list)  # sketch of the band
-    width: float = 0.0  # half-width of the bracket, as a fraction of the band
-    cand: tuple[float, float] | None = None  # bracket being verified
-    collect: bool = False
+    lo: float = 0.0  # current band [lo, hi] (set after the first pass)
+    hi: float = 0.0
+    below: int = 0  # values smaller than every value in the band
+    m: int = 0  # values in the band
+    mean: float | None = None
     answer: float | None = None
     done: bool = False
 
 
-def _valid(c: Column) -> Column:
-    return c.isNotNull() & ~F.isnan(c)
-
-
-def _in_open(c: Column, lo: float | None, hi: float | None) -> Column:
-    pred = _valid(c)
-    if lo is not None:
-        pred = pred & (c > F.lit(lo))
-    if hi is not None:
-        pred = pred & (c < F.lit(hi))
-    return pred
-
-
-def _pick_bracket(st: _State, accuracy: int, max_band: int) -> None:
-    """Choose a candidate bracket from the band's sketch grid."""
-    r = st.k - st.below
-    p = r / st.m
-    lo_i = max(0, math.floor((p - st.width) * GRID))
-    hi_i = min(GRID, math.ceil((p + st.width) * GRID))
-    if lo_i == 0 and hi_i == GRID and st.width >= 1.0:
-        # Give up on the sketch: the whole band is the bracket.
-        st.cand = None
-        st.collect = st.m <= max_band
-        return
-    st.cand = (st.grid[lo_i], st.grid[hi_i])
-    bound = ((hi_i - lo_i) / GRID + 2.0 / accuracy) * st.m + 1
-    st.collect = bound <= max_band
-
-
 def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.95,
-                    accuracy: int = 10000, max_band: int = DEFAULT_MAX_BAND,
-                    extra: dict[str, Column] | None = None,
-                    ) -> tuple[dict[str, float | None], dict[str, object]]:
-    """Exact ``q`` quantile of each column, plus optional extra aggregates.
+                    max_band: int = DEFAULT_MAX_BAND,
+                    ) -> tuple[dict[str, float | None], dict[str, float | None]]:
+    """Exact discrete ``q`` quantile of each column, and its mean.
 
-    Returns ``({column: value}, {extra name: value})``. ``extra`` aggregates are
-    evaluated in the first pass, so e.g. means cost no additional scan.
+    Returns ``({column: quantile}, {column: mean})``; both are NULL (None) for
+    a column without non-NULL values. The mean (NaN if any value is NaN, like
+    ``avg``) comes from the first pass at no extra cost.
     """
-    data = df.select(*columns)
-    grid = F.lit([i / GRID for i in range(GRID + 1)])  # one array literal
-    states = {c: _State(c, width=1.0 / GRID + 2.0 / accuracy) for c in columns}
-
-    # Pass 1: counts and a sketch grid of each whole column.
-    exprs = []
-    for c in columns:
-        col = F.col(c)
-        exprs += [
-            F.count(col).alias(f"n__{c}"),
-            F.count_if(_valid(col)).alias(f"v__{c}"),
-            F.percentile_approx(F.when(_valid(col), col), grid, accuracy).alias(f"g__{c}"),
-        ]
-    extra = extra or {}
-    exprs += [e.alias(f"x__{k}") for k, e in extra.items()]
-    row = data.agg(*exprs).first()
-    extras = {k: row[f"x__{k}"] for k in extra}
-    for c, st in states.items():
-        n, valid = row[f"n__{c}"], row[f"v__{c}"]
-        st.k = target_rank(q, n)
-        if n == 0:
-            st.done, st.answer = True, None
-        elif st.k > valid:
-            st.done, st.answer = True, float("nan")
+    pairs = [F.struct(F.lit(i).alias("cid"), F.col(c).cast("double").alias("x"))
+             for i, c in enumerate(columns)]
+    stacked = df.select(F.inline(F.array(*pairs))).filter(F.col("x").isNotNull())
+    states = [_State(i) for i in range(len(columns))]
+    cid, x = F.col("cid"), F.col("x")
+    first = True
+    while not all(st.done for st in states):
+        live = [st for st in states if not st.done]
+        if first:
+            rows, key = stacked, _log_key(x).cast("double")
         else:
-            st.m, st.grid = valid, list(row[f"g__{c}"])
-            _pick_bracket(st, accuracy, max_band)
-
-    # Later passes: verify brackets; collect or sketch what lies inside.
-    while not all(st.done for st in states.values()):
-        exprs = []
-        live = [st for st in states.values() if not st.done]
+            band, key = None, None
+            for st in live:
+                pred = (cid == st.cid) & (x >= F.lit(st.lo)) & (x <= F.lit(st.hi))
+                k = x if st.m <= max_band else _split_key(x, st.lo, st.hi).cast("double")
+                band = pred if band is None else band | pred
+                key = (F.when(cid == st.cid, k) if key is None
+                       else key.when(cid == st.cid, k))
+            rows = stacked.filter(band)
+        summary = (rows.groupBy(cid.alias("cid"), key.alias("key"))
+                   .agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"),
+                        F.max(x).alias("hi"), F.sum(x).alias("s"))
+                   .collect())  # bounded: one row per (column, bucket)
+        per_col: dict[int, list] = {st.cid: [] for st in live}
+        for r in summary:
+            per_col[r["cid"]].append(r)
         for st in live:
-            col = F.col(st.name)
-            band = _in_open(col, st.lo, st.hi)
-            lo, hi = st.cand if st.cand is not None else (st.lo, st.hi)
-            inner = band & _in_open(col, lo, hi)
-            s = st.name
-            if st.cand is not None:
-                exprs += [
-                    F.count_if(band & (col < F.lit(lo))).alias(f"b__{s}"),
-                    F.count_if(band & (col == F.lit(lo))).alias(f"el__{s}"),
-                    F.count_if(band & (col == F.lit(hi)) & F.lit(hi != lo)).alias(f"eh__{s}"),
-                ]
-            exprs.append(F.count_if(inner).alias(f"m__{s}"))
-            if st.collect:
-                exprs.append(F.array_sort(F.collect_list(F.when(inner, col))).alias(f"a__{s}"))
-            else:
-                exprs.append(F.percentile_approx(F.when(inner, col), grid, accuracy)
-                             .alias(f"g__{s}"))
-        row = data.agg(*exprs).first()
-        for st in live:
-            s = st.name
-            if st.cand is None:
-                below, eq_lo, eq_hi, lo, hi = st.below, 0, 0, st.lo, st.hi
-            else:
-                below = st.below + row[f"b__{s}"]
-                eq_lo, eq_hi = row[f"el__{s}"], row[f"eh__{s}"]
-                lo, hi = st.cand
-            mid = row[f"m__{s}"]
-            r = st.k - below
-            if r <= 0 or r > eq_lo + mid + eq_hi:
-                # The sketch missed (never expected): widen and retry.
-                st.width *= 4
-                _pick_bracket(st, accuracy, max_band)
-                continue
-            if r <= eq_lo:
+            buckets = sorted(per_col[st.cid], key=lambda r: r["key"])
+            by_value = not first and st.m <= max_band
+            if first:
+                n = sum(r["n"] for r in buckets)
+                if n == 0:
+                    st.done = True
+                    continue
+                st.k = target_rank(q, n)
+                try:
+                    st.mean = math.fsum(r["s"] for r in buckets) / n
+                except (ValueError, OverflowError):  # inf - inf, or overflow
+                    st.mean = sum(r["s"] for r in buckets) / n
+            seen = st.below
+            for r in buckets:
+                if seen + r["n"] >= st.k:
+                    break
+                seen += r["n"]
+            lo, hi = r["lo"], r["hi"]
+            if by_value or lo == hi or math.isnan(lo) or math.isinf(lo):
                 st.done, st.answer = True, float(lo)
-            elif r > eq_lo + mid:
-                st.done, st.answer = True, float(hi)
-            elif st.collect:
-                st.done, st.answer = True, float(row[f"a__{s}"][r - eq_lo - 1])
             else:
-                st.lo, st.hi = lo, hi
-                st.below, st.m = below + eq_lo, mid
-                st.grid = list(row[f"g__{s}"])
-                st.width = 1.0 / GRID + 2.0 / accuracy
-                _pick_bracket(st, accuracy, max_band)
-    return {c: st.answer for c, st in states.items()}, extras
+                st.lo, st.hi, st.below, st.m = lo, hi, seen, r["n"]
+        first = False
+    return ({c: states[i].answer for i, c in enumerate(columns)},
+            {c: states[i].mean for i, c in enumerate(columns)})

@@ -1,10 +1,11 @@
 """Silver: typed columns, percentile thresholds, risk flags, score, level, QA.
 
 Thresholds are a one-row DataFrame joined to every row with a broadcast cross
-join (the build side is a global aggregate, so it has exactly one row). In
-the default mode it is a lazy ``percentile_approx`` aggregate, so Silver stays
-one lazy plan; ``exact=True`` runs the bracketing selection of
-:mod:`fraudlake.functions.quantile` first and joins its result.
+join (the build side has exactly one row by construction). By default they
+are exact discrete percentiles from the histogram selection of
+:mod:`fraudlake.functions.quantile` (a few grouped passes, deterministic);
+``exact=False`` gives the lazy ``percentile_approx`` aggregate of the
+original notebook, whose value can move with the data's partitioning.
 """
 
 from __future__ import annotations
@@ -44,13 +45,15 @@ def typed(df: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def thresholds(df: DataFrame, p: float = S.DEFAULT_PERCENTILE,
-               accuracy: int = S.DEFAULT_ACCURACY, exact: bool = False,
+               accuracy: int = S.DEFAULT_ACCURACY, exact: bool = True,
                max_band: int = DEFAULT_MAX_BAND) -> DataFrame:
     """One row: the ``p`` quantile of the three measures and two means.
 
-    ``exact=False`` is ``percentile_approx(x, p, accuracy)``, lazy. ``exact=True``
-    gives the discrete quantile (smallest value with cume_dist >= p) and runs
-    a few aggregate jobs now; its result is a literal one-row DataFrame.
+    ``exact=True`` (default) gives the discrete quantile (smallest value with
+    cume_dist >= p): a few grouped aggregate jobs run now, and the result is a
+    literal one-row DataFrame. ``exact=False`` is the lazy
+    ``percentile_approx(x, p, accuracy)`` aggregate. Its final merge of every
+    task's sketch runs in one task, so prefer the exact mode on large inputs.
     """
     means = {S.MEAN_HOME: F.avg(S.DISTANCE_HOME), S.MEAN_RATIO: F.avg(S.RATIO)}
     if not exact:
@@ -59,8 +62,8 @@ def thresholds(df: DataFrame, p: float = S.DEFAULT_PERCENTILE,
               for m, t in zip(S.MEASURES, S.THRESHOLD_COLUMNS)],
             *[e.alias(k) for k, e in means.items()],
         )
-    q, extra = exact_quantiles(df, list(S.MEASURES), p, accuracy, max_band, means)
-    values = [q[m] for m in S.MEASURES] + [extra[S.MEAN_HOME], extra[S.MEAN_RATIO]]
+    q, mean = exact_quantiles(df, list(S.MEASURES), p, max_band)
+    values = [q[m] for m in S.MEASURES] + [mean[S.DISTANCE_HOME], mean[S.RATIO]]
     return df.sparkSession.range(1).select(
         *[F.lit(v).cast("double").alias(f.name)
           for v, f in zip(values, S.THRESHOLDS_SCHEMA.fields)])
@@ -89,7 +92,7 @@ def with_qa(df: DataFrame) -> DataFrame:
 def build_silver(bronze: DataFrame, th: DataFrame | Mapping[str, float] | None = None,
                  ts: Column | None = None, strict: bool = True,
                  p: float = S.DEFAULT_PERCENTILE, accuracy: int = S.DEFAULT_ACCURACY,
-                 exact: bool = False) -> DataFrame:
+                 exact: bool = True) -> DataFrame:
     """Bronze -> Silver. No row is dropped; Silver has Bronze's row count."""
     t = typed(bronze, strict)
     if th is None:

@@ -6,7 +6,8 @@ executor only recomputes from the last written table) and nothing is
 recomputed twice. Per run, Silver is read once for all of Gold 1, Gold 2 and
 the gate (a per-score rollup), and once more for the alert rows.
 
-Actions per run: Bronze write, thresholds (1 job; +2 in exact mode), Silver
+Actions per run: Bronze write, thresholds (2 grouped passes; 1 lazy job with
+``exact=False``), Silver
 write, rollup write, gate rows (<= number of rules, collected), Gold
 effectiveness and metrics writes (from the rollup: a few rows each), alerts
 write, log append. The Bronze row count comes from Parquet footers.
@@ -57,7 +58,7 @@ class RunResult:
 
 def run(spark: SparkSession, source: DataFrame | str, root: str,
         database: str | None = None, run_id: str | None = None,
-        version: int | None = None, exact: bool = False,
+        version: int | None = None, exact: bool = True,
         rules: Sequence[quality.Rule] | None = None, on_fail: str = "warn",
         cut: int = S.DEFAULT_ALERT_CUT, name: str = S.DEFAULT_PIPELINE_NAME,
         source_name: str = S.DEFAULT_SOURCE, now: _dt.datetime | None = None,

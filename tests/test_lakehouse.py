@@ -97,7 +97,7 @@ def test_csv_source_and_catalog_names(spark, tmp_root):
 def test_exact_and_approx_thresholds_are_close(spark):
     t = silver.typed(read_transactions(spark, "/root/testdata/sf0.01"))
     ex = silver.thresholds(t, exact=True).first()
-    ap = silver.thresholds(t).first()
+    ap = silver.thresholds(t, exact=False).first()
     assert abs(ex[S.P95_HOME] - 99.7304) < 1e-9  # FIXTURES.md (printed rounded)
     for c in S.THRESHOLD_COLUMNS:
         assert abs(ex[c] - ap[c]) / ex[c] < 1e-2

@@ -92,9 +92,10 @@ def test_empty_input(spark):
     m = gold.metrics(s).first()
     assert m["total_transacoes"] == 0 and m["taxa_fraude_pct"] is None
     assert m["taxa_deteccao_pct"] == 0.0
-    # approximate thresholds on no rows are NULL, and every flag is 0
-    th = silver.thresholds(silver.typed(bronze)).first()
-    assert th[S.P95_HOME] is None
+    # thresholds on no rows are NULL in both modes, and every flag is 0
+    for exact in (True, False):
+        th = silver.thresholds(silver.typed(bronze), exact=exact).first()
+        assert th[S.P95_HOME] is None
 
 
 def test_extra_rules(spark):

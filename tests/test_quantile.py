@@ -1,4 +1,4 @@
-"""Exact quantile by bracketing against a brute-force sort."""
+"""Exact quantile by histogram selection against a brute-force sort."""
 
 import math
 import random
@@ -27,7 +27,7 @@ def _df(spark, cols):
 
 
 @pytest.mark.parametrize("q", [0.95, 0.5, 0.01, 1.0])
-@pytest.mark.parametrize("max_band", [10, 250_000])
+@pytest.mark.parametrize("max_band", [1, 10, 250_000])
 def test_matches_brute_force(spark, q, max_band):
     rnd = random.Random(7)
     n = 3000
@@ -37,27 +37,36 @@ def test_matches_brute_force(spark, q, max_band):
         # one value holds a third of the rows
         "hot": [42.0 if i % 3 == 0 else rnd.gauss(40, 5) for i in range(n)],
         "nulls": [None if i % 4 == 0 else rnd.expovariate(1.0) for i in range(n)],
+        "signed": [rnd.uniform(-1e6, 1e6) * (10 ** rnd.randint(-300, 300)) for _ in range(n)],
+        "close": [1.0 + i * 2.0 ** -52 for i in range(n)],  # adjacent doubles
     }
-    got, _ = exact_quantiles(_df(spark, cols), list(cols), q, accuracy=100,
-                             max_band=max_band)
+    got, means = exact_quantiles(_df(spark, cols), list(cols), q, max_band=max_band)
     for c, vals in cols.items():
         assert got[c] == brute(vals, q), c
+    known = [v for v in cols["uniform"]]
+    assert abs(means["uniform"] - sum(known) / len(known)) < 1e-9
 
 
-def test_nan_and_empty(spark):
+def test_nan_inf_and_empty(spark):
+    inf = float("inf")
     cols = {"nan_tail": [1.0, 2.0, float("nan"), float("nan")],
-            "all_null": [None, None, None, None]}
-    got, _ = exact_quantiles(_df(spark, cols), list(cols), 0.95)
-    assert math.isnan(got["nan_tail"])
-    assert got["all_null"] is None
-    got, _ = exact_quantiles(_df(spark, cols), ["nan_tail"], 0.5)
-    assert got["nan_tail"] == 2.0
+            "all_null": [None, None, None, None],
+            "inf": [-inf, 0.0, -0.0, inf]}
+    got, means = exact_quantiles(_df(spark, cols), list(cols), 0.95)
+    assert math.isnan(got["nan_tail"]) and math.isnan(means["nan_tail"])
+    assert got["all_null"] is None and means["all_null"] is None
+    assert got["inf"] == inf
+    got, _ = exact_quantiles(_df(spark, cols), list(cols), 0.5)
+    assert got["nan_tail"] == 2.0 and got["inf"] == 0.0
+    got, _ = exact_quantiles(_df(spark, cols), ["inf"], 0.25)
+    assert got["inf"] == -inf
 
 
 def test_agrees_with_percentile_disc(spark):
     rnd = np.random.default_rng(3)
     vals = [float(x) for x in np.round(rnd.lognormal(3, 1, 5000), 3)]
     df = _df(spark, {"x": vals})
-    exact, _ = exact_quantiles(df, ["x"], 0.95, max_band=50)
-    disc = df.selectExpr("percentile_disc(0.95) WITHIN GROUP (ORDER BY x) AS p").first()["p"]
-    assert exact["x"] == disc
+    for max_band in (50, 250_000):
+        exact, _ = exact_quantiles(df, ["x"], 0.95, max_band=max_band)
+        disc = df.selectExpr("percentile_disc(0.95) WITHIN GROUP (ORDER BY x) AS p").first()["p"]
+        assert exact["x"] == disc
