@@ -68,14 +68,20 @@ def run(spark: SparkSession, source: DataFrame | str, root: str,
     ``source``: a DataFrame with the eight source columns, or a CSV path.
     ``root``: shared folder for all tables. ``version``: Silver snapshot
     number (default: next). ``on_fail='raise'`` runs the gate before Gold and
-    stops on a FAIL; the default records the result and continues.
+    stops on a FAIL; the default records the result and continues. A run
+    that failed half-way can be repeated with the same ``run_id`` and
+    ``version``: every write replaces its table or partition, and the log
+    keeps one row per run id.
     """
     if on_fail not in ("warn", "raise"):
         raise ValueError("on_fail must be 'warn' or 'raise'")
     rules = list(quality.default_rules() if rules is None else rules)
     run_id = run_id or uuid.uuid4().hex
-    now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    ts = F.lit(now.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+    # One instant for every table of the run (naive ``now`` is taken as UTC).
+    now = now or _dt.datetime.now(_dt.timezone.utc)
+    if now.tzinfo is None:
+        now = now.replace(tzinfo=_dt.timezone.utc)
+    ts = F.lit(now)
     store = TableStore(spark, root, database)
     src = read_csv(spark, source) if isinstance(source, str) else source
 
