@@ -1,7 +1,7 @@
 """Batch entry point: ``spark-submit -m fraudlake`` style runs.
 
     python -m fraudlake --source s3://.../landing/ --root s3://.../lake \
-        [--database fraud] [--exact] [--min-rows 100000] [--on-fail raise]
+        [--database fraud] [--approx] [--min-rows 100000] [--on-fail raise]
 """
 
 from __future__ import annotations

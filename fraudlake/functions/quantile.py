@@ -121,6 +121,10 @@ def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.95,
         for st in live:
             buckets = sorted(per_col[st.cid], key=lambda r: r["key"])
             by_value = not first and st.m <= max_band
+            if not first and sum(r["n"] for r in buckets) != st.m:
+                raise RuntimeError(
+                    "input changed between passes (non-deterministic plan?); "
+                    "write it to a table or checkpoint() it first")
             if first:
                 n = sum(r["n"] for r in buckets)
                 if n == 0:

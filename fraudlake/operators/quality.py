@@ -58,6 +58,7 @@ class Rule:
     detail: str
     alert: str | None = None
     bronze_stats: tuple[tuple[str, str], ...] = ()  # extra Bronze aggregates it needs
+    silver_stats: tuple[tuple[str, str], ...] = ()  # extra Silver aggregates it needs
 
 
 def default_rules(min_rows: int = 100_000, fraud_rate_min: float = 0.5,
@@ -134,7 +135,8 @@ def _render(template: str) -> Column:
             piece = F.format_string("%.2f", F.round(value.cast("double"), 2))
         else:
             piece = value.cast("string")
-        pieces.append(F.coalesce(piece, F.lit("n/a")))
+        # format_string renders NULL as "null", so test the value itself
+        pieces.append(F.when(value.isNull(), F.lit("n/a")).otherwise(piece))
     return F.concat(*pieces) if pieces else F.lit("")
 
 
@@ -151,16 +153,23 @@ def silver_statistics(silver: DataFrame) -> DataFrame:
     return silver.agg(*[F.expr(e).alias(k) for k, e in SILVER_STATS.items()])
 
 
-def statistics(bronze: DataFrame, silver: DataFrame,
+def statistics(bronze: DataFrame, silver: DataFrame | None,
                rules: Sequence[Rule] | None = None,
                silver_stats: DataFrame | None = None) -> DataFrame:
     """One row of all statistics: one aggregate over each table, cross joined.
 
     ``silver_stats`` may be given precomputed (e.g. from the Gold rollup) so
-    that Silver is not scanned again.
+    that Silver is not scanned for them; statistics that rules add on top are
+    then one extra aggregate over ``silver``.
     """
     rules = default_rules() if rules is None else rules
-    s = silver_statistics(silver) if silver_stats is None else silver_stats
+    extra = {k: e for r in rules for k, e in r.silver_stats}
+    if silver_stats is None:
+        s = silver.agg(*[F.expr(e).alias(k) for k, e in {**SILVER_STATS, **extra}.items()])
+    else:
+        s = silver_stats
+        if extra:
+            s = s.crossJoin(silver.agg(*[F.expr(e).alias(k) for k, e in extra.items()]))
     one = bronze_statistics(bronze, rules).crossJoin(s)
     return one.withColumns({k: F.expr(e) for k, e in DERIVED_STATS.items()})
 

@@ -72,7 +72,13 @@ def thresholds(df: DataFrame, p: float = S.DEFAULT_PERCENTILE,
 def with_flags(df: DataFrame, th: DataFrame | Mapping[str, float]) -> DataFrame:
     """Add the five base flags. ``th``: one-row thresholds DataFrame or a dict."""
     if isinstance(th, DataFrame):
-        one = F.broadcast(th.select(*S.THRESHOLD_COLUMNS))
+        # A global aggregate has exactly one row; fail the job unless ``th``
+        # itself had one (e.g. an unfiltered multi-version thresholds table).
+        n = F.count(F.lit(1))
+        one = F.broadcast(th.agg(*[
+            F.when(n == 1, F.first(c)).otherwise(
+                F.raise_error(F.lit("thresholds must have exactly one row"))
+            ).cast("double").alias(c) for c in S.THRESHOLD_COLUMNS]))
         joined = df.crossJoin(one)
         cols = {c: F.col(c) for c in S.THRESHOLD_COLUMNS}
         return joined.withColumns(risk.base_flag_columns(cols)).drop(*S.THRESHOLD_COLUMNS)

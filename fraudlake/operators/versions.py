@@ -1,27 +1,54 @@
 """Versioned snapshots: each write is partition ``version=N`` of one folder.
 
-Reading "as of" a version is a partition filter (pruned at planning time:
-only that folder is listed and read). Rewriting a version replaces only
-its partition (dynamic partition overwrite), so a backfill or a retried job
-is idempotent.
+A tiny manifest (``<path>/_versions``, skipped by Spark's file listing
+because of the leading underscore) records the versions written, so finding
+the next or latest version reads a handful of rows instead of listing every
+data file. Reading "as of" a version lists and reads only that version's
+folder. Rewriting a version replaces only its partition (dynamic partition
+overwrite), so a backfill or a retried job is idempotent.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlake import schema as S
-from fraudlake.sources.tables import lit_version, versions_in
 
 V = S.SNAPSHOT_VERSION
+MANIFEST = "_versions"
 
 
-def next_version(spark: SparkSession, path: str) -> int:
+def manifest_path(path: str) -> str:
+    return f"{path.rstrip('/')}/{MANIFEST}"
+
+
+def versions_in(spark: SparkSession, path: str) -> list[int]:
+    """Versions written under ``path`` (from the manifest; else from the listing)."""
+    try:
+        rows = spark.read.parquet(manifest_path(path)).select(V).distinct().collect()
+        return sorted(r[V] for r in rows)
+    except AnalysisException:
+        pass
+    try:  # folders written without a manifest
+        files = spark.read.parquet(path).inputFiles()
+    except AnalysisException:
+        return []
+    marker = f"/{V}="
+    return sorted({int(f.split(marker, 1)[1].split("/", 1)[0]) for f in files if marker in f})
+
+
+def latest_version(spark: SparkSession, path: str) -> int | None:
     found = versions_in(spark, path)
-    return found[-1] + 1 if found else 0
+    return found[-1] if found else None
+
+
+def next_version(spark: SparkSession, path: str) -> int:
+    last = latest_version(spark, path)
+    return 0 if last is None else last + 1
 
 
 def write_snapshot(df: DataFrame, path: str, version: int | None = None) -> int:
@@ -31,21 +58,25 @@ def write_snapshot(df: DataFrame, path: str, version: int | None = None) -> int:
     """
     spark = df.sparkSession
     v = next_version(spark, path) if version is None else int(version)
-    (df.withColumn(V, lit_version(v)).write.mode("overwrite")
+    (df.withColumn(V, F.lit(v)).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").partitionBy(V).parquet(path))
+    (spark.range(1).select(F.lit(v).alias(V), F.current_timestamp().alias("escrito_em"))
+       .write.mode("append").parquet(manifest_path(path)))
     return v
 
 
 def read_as_of(spark: SparkSession, path: str, version: int) -> DataFrame:
-    """The snapshot at ``version`` without the version column."""
-    return spark.read.parquet(path).filter(F.col(V) == int(version)).drop(V)
+    """The snapshot at ``version`` without the version column (one folder read)."""
+    base = path.rstrip("/")
+    return (spark.read.option("basePath", base).parquet(f"{base}/{V}={int(version)}")
+            .drop(V))
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    found = versions_in(spark, path)
-    if not found:
+    last = latest_version(spark, path)
+    if last is None:
         raise ValueError(f"no snapshot under {path}")
-    return read_as_of(spark, path, found[-1])
+    return read_as_of(spark, path, last)
 
 
 def snapshot_history(spark: SparkSession, path: str, ts_col: str = S.SILVER_TS) -> DataFrame:
@@ -68,8 +99,8 @@ def snapshot_diff(spark: SparkSession, path: str, a: int, b: int,
     df = spark.read.parquet(path).filter(F.col(V).isin(int(a), int(b)))
     cols = [c for c in df.columns if c != V and c not in exclude]
     in_a = (F.col(V) == int(a)).cast("long")
-    per_row = df.groupBy(*cols).agg(F.sum(in_a).alias("_a"),
-                                    F.sum(1 - in_a).alias("_b"))
+    in_b = (F.col(V) == int(b)).cast("long")
+    per_row = df.groupBy(*cols).agg(F.sum(in_a).alias("_a"), F.sum(in_b).alias("_b"))
     return per_row.agg(
         F.lit(int(a)).alias("versao_a"), F.lit(int(b)).alias("versao_b"),
         F.coalesce(F.sum("_a"), F.lit(0)).cast("long").alias("linhas_a"),

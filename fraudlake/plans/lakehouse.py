@@ -3,14 +3,19 @@
 This is the one place with actions. Each layer is written to shared storage
 and read back, so later stages start from files (short lineage; a lost
 executor only recomputes from the last written table) and nothing is
-recomputed twice. Per run, Silver is read once for all of Gold 1, Gold 2 and
-the gate (a per-score rollup), and once more for the alert rows.
-
-Actions per run: Bronze write, thresholds (2 grouped passes; 1 lazy job with
-``exact=False``), Silver
-write, rollup write, gate rows (<= number of rules, collected), Gold
-effectiveness and metrics writes (from the rollup: a few rows each), alerts
-write, log append. The Bronze row count comes from Parquet footers.
+computed twice.
+
+Bronze, thresholds and Silver are versioned together: run N writes
+``version=N`` of each (their plain table names show the latest version).
+Gold tables describe the latest version: a backfill of an older version
+rewrites that version's Bronze/thresholds/Silver and logs its gate result,
+but leaves Gold alone.
+
+Per run, Silver is read once for Gold 1, Gold 2 and the gate (a per-score
+rollup of at most six rows) and once for the alert rows. Actions: Bronze
+write, thresholds (2 grouped passes; 1 job with ``exact=False``), Silver
+write, rollup, gate rows, Gold writes (effectiveness and metrics from the
+rollup, alerts from Silver), log append.
 """
 
 from __future__ import annotations
@@ -24,17 +29,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlake import schema as S
-from fraudlake.operators import gold, profile, quality, runlog, silver, versions
+from fraudlake.operators import gold, profile, quality, runlog, silver
 from fraudlake.operators.bronze import add_control_columns
 from fraudlake.sources.csv import read_csv
 from fraudlake.sources.tables import TableStore
 
 ROLLUP_TABLE = "gold_rollup_score"
 REPORT_TABLE = "quality_report"
+VERSIONED = (S.BRONZE_TABLE, S.THRESHOLDS_TABLE, S.SILVER_TABLE)
+UNVERSIONED = (S.GOLD_EFFECTIVENESS_TABLE, S.GOLD_METRICS_TABLE, S.GOLD_ALERTS_TABLE,
+               ROLLUP_TABLE, REPORT_TABLE, S.RUN_LOG_TABLE)
 
 
 class QualityGateError(RuntimeError):
-    """Raised by ``run(on_fail='raise')`` before Gold when a check FAILs."""
+    """Raised by ``run(on_fail='raise')`` before Silver is written when a check FAILs."""
 
 
 @dataclass
@@ -43,13 +51,16 @@ class RunResult:
     version: int
     store: TableStore
     report: list = field(default_factory=list)  # quality report rows (one per rule)
+    latest: bool = True  # False for a backfill of an older version (Gold untouched)
 
     def table(self, name: str) -> DataFrame:
         return self.store.read(name)
 
+    def bronze(self) -> DataFrame:
+        return self.store.read_version(S.BRONZE_TABLE, self.version)
+
     def silver(self) -> DataFrame:
-        return versions.read_as_of(self.store.spark, self.store.path(S.SILVER_TABLE),
-                                   self.version)
+        return self.store.read_version(S.SILVER_TABLE, self.version)
 
     @property
     def alerts(self) -> list[str]:
@@ -65,13 +76,15 @@ def run(spark: SparkSession, source: DataFrame | str, root: str,
         ) -> RunResult:
     """Run every layer once.
 
-    ``source``: a DataFrame with the eight source columns, or a CSV path.
-    ``root``: shared folder for all tables. ``version``: Silver snapshot
-    number (default: next). ``on_fail='raise'`` runs the gate before Gold and
-    stops on a FAIL; the default records the result and continues. A run
-    that failed half-way can be repeated with the same ``run_id`` and
-    ``version``: every write replaces its table or partition, and the log
-    keeps one row per run id.
+    ``source``: a CSV path, a DataFrame with the eight source columns, or an
+    already landed Bronze (it has the control columns; its ingestion times
+    are kept, which is what the freshness rule measures). ``root``: shared
+    folder for all tables. ``version``: the version to (re)write (default:
+    next). ``on_fail='raise'`` runs the gate on the not-yet-written Silver,
+    logs the run and raises on a FAIL, so no Silver or Gold is written; the
+    default records the result and continues. A run that failed half-way can
+    be repeated with the same ``run_id`` and ``version``: every write replaces
+    its table or partition, and the log keeps one row per run id.
     """
     if on_fail not in ("warn", "raise"):
         raise ValueError("on_fail must be 'warn' or 'raise'")
@@ -85,47 +98,63 @@ def run(spark: SparkSession, source: DataFrame | str, root: str,
     store = TableStore(spark, root, database)
     src = read_csv(spark, source) if isinstance(source, str) else source
 
-    # Bronze
-    store.write(add_control_columns(src, source=source_name, ts=ts), S.BRONZE_TABLE)
-    bronze = store.read(S.BRONZE_TABLE)
-
-    # Thresholds, stored next to the Silver version they produced.
-    silver_path = store.path(S.SILVER_TABLE)
-    v = versions.next_version(spark, silver_path) if version is None else int(version)
-    typed = silver.typed(bronze)
-    th = silver.thresholds(typed, exact=exact).withColumn(S.SNAPSHOT_VERSION, F.lit(v))
-    store.write(th, S.THRESHOLDS_TABLE, partition_by=S.SNAPSHOT_VERSION, dynamic=True)
-    th = store.read(S.THRESHOLDS_TABLE).filter(F.col(S.SNAPSHOT_VERSION) == v)
-
-    # Silver (snapshot version v), then read back. Rows are sorted by score
-    # inside each file, so ``score >= cut`` scans skip most row groups.
-    s_new = silver.build_silver(bronze, th=th, ts=ts).sortWithinPartitions(S.SCORE)
-    versions.write_snapshot(s_new, silver_path, v)
-    store.register(S.SILVER_TABLE, partitioned=True)
-    s = versions.read_as_of(spark, silver_path, v)
+    # Version numbers follow Silver (a run stopped by the gate reuses its number).
+    last = store.latest(S.SILVER_TABLE)
+    v = (0 if last is None else last + 1) if version is None else int(version)
+    latest = last is None or v >= last
+
+    # Bronze (landed rows keep their control columns).
+    landed = all(c in src.columns for c in S.CONTROL_COLUMNS)
+    b_new = src if landed else add_control_columns(src, source=source_name, ts=ts)
+    store.write_version(b_new.select(*S.SOURCE_COLUMNS, *S.CONTROL_COLUMNS),
+                        S.BRONZE_TABLE, v)
+    bronze = store.read_version(S.BRONZE_TABLE, v)
+
+    # Thresholds of this version, stored with it.
+    th = silver.thresholds(silver.typed(bronze), exact=exact)
+    store.write_version(th, S.THRESHOLDS_TABLE, v)
+    th = store.read_version(S.THRESHOLDS_TABLE, v)
+    s_lazy = silver.build_silver(bronze, th=th, ts=ts)
+
+    def log(report_rows: list, report_schema, metrics: DataFrame) -> None:
+        report = spark.createDataFrame(report_rows, report_schema)  # one row per rule
+        entry = runlog.log_entry(report, metrics, ts=ts, name=name, run_id=run_id)
+        store.append_once(entry, S.RUN_LOG_TABLE, S.RUN_ID)
+
+    if on_fail == "raise":
+        # Gate first, on Silver as it would be written (one lazy pass).
+        rep = quality.quality_report(bronze, s_lazy, rules)
+        rows = rep.collect()
+        failed = [r for r in rows if r["status"] == S.STATUS_FAIL]
+        if failed:
+            log(rows, rep.schema, gold.metrics(s_lazy, cut))
+            raise QualityGateError("; ".join(f"{r['check']}: {r['detail']}" for r in failed))
+
+    # Silver, sorted by score inside each file so ``score >= cut`` scans skip
+    # most row groups; then read back.
+    store.write_version(s_lazy.sortWithinPartitions(S.SCORE), S.SILVER_TABLE, v)
+    s = store.read_version(S.SILVER_TABLE, v)
 
     # One Silver scan for Gold 1, Gold 2 and the gate's Silver statistics.
-    store.write(gold.score_rollup(s), ROLLUP_TABLE)
-    rollup = store.read(ROLLUP_TABLE)
-    report_df = quality.quality_report(bronze, None, rules,
-                                       silver_stats=gold.silver_stats_from_rollup(rollup))
-    report_rows = report_df.collect()  # one row per rule
-    if on_fail == "raise" and any(r["status"] == S.STATUS_FAIL for r in report_rows):
-        raise QualityGateError("; ".join(
-            f"{r['check']}: {r['detail']}" for r in report_rows if r["status"] == S.STATUS_FAIL))
-
-    store.write(gold.effectiveness_from_rollup(rollup), S.GOLD_EFFECTIVENESS_TABLE)
-    store.write(gold.metrics_from_rollup(rollup, cut), S.GOLD_METRICS_TABLE)
-    alerts = gold.alerts(s, cut).sortWithinPartitions(F.desc(S.SCORE))
-    store.write(alerts, S.GOLD_ALERTS_TABLE)
-
-    # Gate result and log entry (the report is a handful of rows).
-    report = spark.createDataFrame(report_rows, report_df.schema)
-    store.write(report.withColumn(S.RUN_ID, F.lit(run_id)), REPORT_TABLE)
-    metrics = store.read(S.GOLD_METRICS_TABLE)
-    entry = runlog.log_entry(report, metrics, ts=ts, name=name, run_id=run_id)
-    store.append_once(entry, S.RUN_LOG_TABLE, S.RUN_ID)
-    return RunResult(run_id, v, store, report_rows)
+    rollup_df = gold.score_rollup(s)
+    rollup = spark.createDataFrame(rollup_df.collect(), rollup_df.schema)  # <= 6 rows
+    rep = quality.quality_report(bronze, s, rules,
+                                 silver_stats=gold.silver_stats_from_rollup(rollup))
+    rows = rep.collect()
+    metrics = gold.metrics_from_rollup(rollup, cut)
+
+    if latest:
+        store.write(rollup, ROLLUP_TABLE)
+        store.write(gold.effectiveness_from_rollup(rollup), S.GOLD_EFFECTIVENESS_TABLE)
+        store.write(metrics, S.GOLD_METRICS_TABLE)
+        store.write(gold.alerts(s, cut).sortWithinPartitions(F.desc(S.SCORE)),
+                    S.GOLD_ALERTS_TABLE)
+        store.write(spark.createDataFrame(rows, rep.schema)
+                    .withColumn(S.RUN_ID, F.lit(run_id)), REPORT_TABLE)
+    for t in VERSIONED:  # after backfills too: their file listings changed
+        store.register_versions(t)
+    log(rows, rep.schema, metrics)
+    return RunResult(run_id, v, store, rows, latest)
 
 
 def profile_views(bronze: DataFrame) -> dict[str, DataFrame]:
@@ -139,17 +168,17 @@ def profile_views(bronze: DataFrame) -> dict[str, DataFrame]:
 
 
 def backfill(spark: SparkSession, sources: dict[int, DataFrame], root: str,
-             run_id: str = "backfill", **kwargs) -> list[RunResult]:
-    """Rebuild the given Silver versions from their sources. Each version's
-    partition is replaced and each version logs once under ``{run_id}-v{N}``,
-    so running a backfill twice gives the same tables."""
+             run_id: str | None = None, **kwargs) -> list[RunResult]:
+    """Rebuild the given versions from their sources. Each version's
+    partitions are replaced, so repeating a backfill gives the same tables;
+    each version logs under ``{run_id}-v{N}`` (a fresh id per call by default,
+    so a corrected re-backfill is logged too)."""
+    run_id = run_id or f"backfill-{uuid.uuid4().hex[:12]}"
     return [run(spark, src, root, version=v, run_id=f"{run_id}-v{v}", **kwargs)
             for v, src in sorted(sources.items())]
 
 
 def reset(store: TableStore) -> None:
     """Forget all layer tables in the catalog (external files stay)."""
-    for t in (S.BRONZE_TABLE, S.SILVER_TABLE, S.GOLD_EFFECTIVENESS_TABLE,
-              S.GOLD_ALERTS_TABLE, S.RUN_LOG_TABLE, S.GOLD_METRICS_TABLE,
-              S.THRESHOLDS_TABLE, ROLLUP_TABLE, REPORT_TABLE):
+    for t in VERSIONED + UNVERSIONED:
         store.drop(t)

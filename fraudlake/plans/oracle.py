@@ -253,7 +253,7 @@ def _render_sql(template: str) -> str:
             piece = f"format('{{:.2f}}', {sround(field, 2)})"
         else:
             piece = f"CAST({field} AS VARCHAR)"
-        pieces.append(f"COALESCE({piece}, 'n/a')")
+        pieces.append(f"CASE WHEN {field} IS NULL THEN 'n/a' ELSE {piece} END")
     return "(" + " || ".join(pieces) + ")" if pieces else "''"
 
 

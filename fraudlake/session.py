@@ -40,20 +40,22 @@ def local_session(cpus: int | str = "*", app: str = "fraudlake",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (a bare local test session) do we set a
-    private one, so ``DataFrame.checkpoint`` and our scratch writes work.
+    Only when the session has none (a bare local test session) do we give the
+    SparkContext a private one, so ``DataFrame.checkpoint`` and our scratch
+    writes work. On a cluster an unset value is an error.
     """
     root = spark.conf.get(_CHECKPOINT_CONF, None)
     if not root:
         root = spark.sparkContext.getConf().get(_CHECKPOINT_CONF, None)
     if not root:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        root = spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at shared storage")
-        root = tempfile.mkdtemp(prefix="fraudlake-ckpt-")
-        spark.conf.set(_CHECKPOINT_CONF, root)
-    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fraudlake-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
+    elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -3,21 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fraudlake import schema as S
 
 
 def read_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
-    """Read the transaction CSV (header row).
-
-    Default: explicit schema (no inference pass over the file; indicators as
-    double so "1" and "1.0" both load). ``infer=True`` asks Spark to infer
-    types, which costs one extra pass over the data.
+    """Read the transaction CSV (header row); columns are taken by header name.
+
+    Default: every field is read as text (no inference pass) and cast to
+    double with ``try_cast``; a malformed value becomes NULL, as in Spark's
+    PERMISSIVE mode, and the row is kept (the Silver QA flags then reject
+    it). ``typed`` later casts the indicators to integer. ``infer=True`` asks
+    Spark to infer types, which costs one extra pass over the data. Extra
+    columns are ignored; a missing one is an error.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    reader = spark.read.option("header", True)
     if infer:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(S.CSV_SCHEMA).csv(path)
+        return reader.option("inferSchema", True).csv(path).select(*S.SOURCE_COLUMNS)
+    raw = reader.csv(path)
+    return raw.select(*[F.col(c).try_cast("double").alias(c) for c in S.SOURCE_COLUMNS])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

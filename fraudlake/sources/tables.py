@@ -2,14 +2,23 @@
 
 The root is shared storage (object store / HDFS path on a cluster). When a
 ``database`` is given, each table is also registered there as an external
-table over its folder, so SQL can use ``database.table`` names.
+table over its folder, so SQL can use ``database.table`` names; otherwise a
+temp view of the same name is created.
+
+Versioned tables (Bronze, Silver, thresholds) live in ``<table>`` folders
+with ``version=N`` partitions; their plain name shows the latest version
+(a view) and ``<table>_versions`` shows all versions.
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from fraudlake import schema as S
+from fraudlake.operators import versions
+
+VERSIONS_SUFFIX = "_versions"
 
 
 class TableStore:
@@ -37,16 +46,9 @@ class TableStore:
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 
-    def write(self, df: DataFrame, table: str, mode: str = "overwrite",
-              partition_by: str | None = None, dynamic: bool = False) -> None:
-        w = df.write.mode(mode)
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        if dynamic:
-            # Replace only the partitions present in ``df`` (idempotent reruns).
-            w = w.option("partitionOverwriteMode", "dynamic")
-        w.parquet(self.path(table))
-        self.register(table, partitioned=bool(partition_by))
+    def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> None:
+        df.write.mode(mode).parquet(self.path(table))
+        self.register(table)
 
     def append_once(self, df: DataFrame, table: str, key: str) -> None:
         """Append rows whose ``key`` is not in the table yet (safe to retry)."""
@@ -55,39 +57,63 @@ class TableStore:
             df = df.join(seen, key, "left_anti")
         self.write(df, table, mode="append")
 
-    def register(self, table: str, partitioned: bool = False) -> None:
-        """Expose the table to SQL (catalog table or temp view)."""
-        if self.database:
-            name = self.name(table)
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet "
-                           f"LOCATION '{self.path(table)}'")
-            if partitioned:
-                self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-            self.spark.sql(f"REFRESH TABLE {name}")
-        else:
-            self.read(table).createOrReplaceTempView(table)
+    # --- versioned tables ---------------------------------------------------
 
-    def drop(self, table: str) -> None:
-        """Forget the catalog entry / view (files of external tables stay)."""
+    def write_version(self, df: DataFrame, table: str, version: int) -> None:
+        versions.write_snapshot(df, self.path(table), version)
+
+    def read_version(self, table: str, version: int) -> DataFrame:
+        return versions.read_as_of(self.spark, self.path(table), version)
+
+    def latest(self, table: str) -> int | None:
+        return versions.latest_version(self.spark, self.path(table))
+
+    def register_versions(self, table: str) -> None:
+        """``<table>_versions``: every version; ``<table>``: the latest one."""
+        last = self.latest(table)
+        if last is None:
+            return
+        path = self.path(table)
         if self.database:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
+            all_name = self.name(table + VERSIONS_SUFFIX)
+            self._forget(all_name)
+            self.spark.sql(f"CREATE TABLE {all_name} USING parquet "
+                           f"LOCATION '{path}'")
+            # Partitions from the manifest: no listing of the data files.
+            for v in versions.versions_in(self.spark, path):
+                self.spark.sql(f"ALTER TABLE {all_name} ADD IF NOT EXISTS PARTITION "
+                               f"({S.SNAPSHOT_VERSION}={v}) LOCATION "
+                               f"'{path}/{S.SNAPSHOT_VERSION}={v}'")
+            self._forget(self.name(table))
+            self.spark.sql(f"CREATE VIEW {self.name(table)} AS SELECT * FROM "
+                           f"{all_name} WHERE {S.SNAPSHOT_VERSION} = {last}")
         else:
-            self.spark.catalog.dropTempView(table)
+            self.spark.read.parquet(path).createOrReplaceTempView(table + VERSIONS_SUFFIX)
+            self.read_version(table, last).createOrReplaceTempView(table)
 
+    # --- catalog -------------------------------------------------------------
 
-def versions_in(spark: SparkSession, path: str, column: str = "version") -> list[int]:
-    """Snapshot versions present under ``path``, from the file listing only."""
-    try:
-        files = spark.read.parquet(path).inputFiles()
-    except AnalysisException:
-        return []
-    marker = f"/{column}="
-    found = set()
-    for f in files:
-        if marker in f:
-            found.add(int(f.split(marker, 1)[1].split("/", 1)[0]))
-    return sorted(found)
+    def register(self, table: str) -> None:
+        """Expose an unversioned table to SQL (catalog table or temp view)."""
+        if self.database:
+            name = self.name(table)
+            # Re-create so location and schema follow the latest write
+            # (external table: dropping it keeps the files).
+            self._forget(name)
+            self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{self.path(table)}'")
+        else:
+            self.read(table).createOrReplaceTempView(table)
 
+    def _forget(self, name: str) -> None:
+        """Drop a catalog table or view of that name, whichever it is."""
+        if self.spark.catalog.tableExists(name):
+            kind = self.spark.catalog.getTable(name).tableType
+            self.spark.sql(f"DROP {'VIEW' if kind == 'VIEW' else 'TABLE'} {name}")
 
-def lit_version(v: int):
-    return F.lit(int(v)).cast("int")
+    def drop(self, table: str) -> None:
+        """Forget the catalog entries / views (files of external tables stay)."""
+        for t in (table, table + VERSIONS_SUFFIX):
+            if self.database:
+                self._forget(self.name(t))
+            else:
+                self.spark.catalog.dropTempView(t)

@@ -22,7 +22,10 @@ def bronze_stream(spark: SparkSession, landing: str, bronze_path: str, checkpoin
                   source_name: str = S.DEFAULT_SOURCE, available_now: bool = True,
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the landing stream; returns the running query."""
-    reader = spark.readStream.schema(S.CSV_SCHEMA).option("header", True)
+    # A file stream needs a schema; enforceSchema=false makes Spark check
+    # each file's header names against it instead of mapping by position.
+    reader = (spark.readStream.schema(S.CSV_SCHEMA).option("header", True)
+              .option("enforceSchema", False))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = add_control_columns(reader.csv(landing), source=source_name,

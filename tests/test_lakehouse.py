@@ -35,7 +35,7 @@ def test_run_writes_every_layer(spark, tmp_root):
     assert _cmp(res.table(S.GOLD_METRICS_TABLE), gold.metrics(s))
     assert res.table(S.GOLD_ALERTS_TABLE).count() == 195  # CRITICO + ALTO at sf0.001
     direct = {r["check_id"]: r["status"] for r in quality.quality_report(
-        res.table(S.BRONZE_TABLE), s, quality.default_rules(min_rows=1000)).collect()}
+        res.bronze(), s, quality.default_rules(min_rows=1000)).collect()}
     assert {r["check_id"]: r["status"] for r in res.report} == direct
     log = res.table(S.RUN_LOG_TABLE).collect()
     assert len(log) == 1 and log[0]["run_id"] == "r1"
@@ -62,23 +62,64 @@ def test_versions_log_and_backfill(spark, tmp_root):
     assert versions.read_as_of(spark, path, 1).filter(F.col(S.FRAUD).isNull()).count() == 49
     diff = versions.snapshot_diff(spark, path, 0, 1).first()
     assert diff["linhas_a"] == diff["linhas_b"] == 6000 and diff["so_em_a"] > 0
-    # rerunning run "b" does not duplicate the log; backfilling v0 replaces only v0
+    # rerunning run "b" does not duplicate the log
     lakehouse.run(spark, dirty, tmp_root, run_id="b", rules=rules, version=1, now=NOW)
     assert r0.store.read(S.RUN_LOG_TABLE).count() == 2
-    lakehouse.backfill(spark, {0: clean}, tmp_root, rules=rules, run_id="c", now=NOW)
+    gold_before = r0.store.read(S.GOLD_METRICS_TABLE).first().asDict()
+    # backfilling v0 replaces only v0, leaves Gold (latest = v1) alone, and logs
+    (res,) = lakehouse.backfill(spark, {0: clean}, tmp_root, rules=rules, run_id="c", now=NOW)
+    assert res.version == 0 and not res.latest
     assert versions.versions_in(spark, path) == [0, 1]
     assert versions.read_as_of(spark, path, 0).count() == 6000
     assert versions.read_as_of(spark, path, 1).filter(F.col(S.FRAUD).isNull()).count() == 49
-    # the plan for an as-of read prunes to one partition
-    plan = versions.read_as_of(spark, path, 0)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(version" in plan and "= 0)" in plan
-
-
-def test_gate_raises_before_gold(spark, tmp_root):
+    assert r0.store.read(S.GOLD_METRICS_TABLE).first().asDict() == gold_before
+    assert gold_before["total_fraudes"] == 502  # the dirty feed (v1)
+    assert r0.store.read(S.RUN_LOG_TABLE).count() == 3
+    # an as-of read touches one version folder only
+    files = versions.read_as_of(spark, path, 0).inputFiles()
+    assert files and all("/version=0/" in f for f in files)
+    diff_self = versions.snapshot_diff(spark, path, 1, 1).first()
+    assert (diff_self["so_em_a"], diff_self["so_em_b"]) == (0, 0)
+    # the plain names show the latest version, *_versions all of them
+    assert spark.table(S.SILVER_TABLE).count() == 6000
+    assert spark.table(S.SILVER_TABLE + "_versions").count() == 12000
+
+
+def test_gate_raises_before_silver_and_logs(spark, tmp_root):
     src = read_transactions(spark, SF_SMALL, dirty=True)
     with pytest.raises(lakehouse.QualityGateError):
-        lakehouse.run(spark, src, tmp_root, on_fail="raise", now=NOW)
+        lakehouse.run(spark, src, tmp_root, run_id="bad", on_fail="raise", now=NOW)
     assert not os.path.exists(os.path.join(tmp_root, S.GOLD_ALERTS_TABLE))
+    assert versions.versions_in(spark, os.path.join(tmp_root, S.SILVER_TABLE)) == []
+    log = spark.read.parquet(os.path.join(tmp_root, S.RUN_LOG_TABLE)).collect()
+    assert len(log) == 1 and log[0]["resultado"] == "ATENCAO" and log[0]["run_id"] == "bad"
+    # the next run reuses version 0
+    ok = lakehouse.run(spark, read_transactions(spark, SF_SMALL), tmp_root, on_fail="raise",
+                       rules=quality.default_rules(min_rows=1000), now=NOW)
+    assert ok.version == 0
+
+
+def test_landed_bronze_keeps_ingestion_time(spark, tmp_root):
+    from fraudlake.operators.bronze import add_control_columns
+
+    old = dt.datetime(2020, 1, 1, tzinfo=dt.timezone.utc)
+    landed = add_control_columns(read_transactions(spark, SF_SMALL), ts=F.lit(old))
+    rules = quality.default_rules(min_rows=1000) + [quality.freshness_rule(24.0)]
+    res = lakehouse.run(spark, landed, tmp_root, rules=rules, now=NOW)
+    fresh = {r["check_id"]: r for r in res.report}[10]
+    assert fresh["status"] == "WARN" and fresh["alert"].startswith("Bronze is stale")
+
+
+def test_csv_columns_by_name(spark, tmp_root):
+    from fraudlake.sources.csv import read_csv
+
+    src = read_transactions(spark, SF_SMALL)
+    shuffled = src.select(*reversed(src.columns), F.lit("x").alias("extra"))
+    path = os.path.join(tmp_root, "csv")
+    write_csv(shuffled, path)
+    back = read_csv(spark, path)
+    assert back.columns == list(S.SOURCE_COLUMNS)
+    assert _cmp(silver.typed(back), src)
 
 
 def test_csv_source_and_catalog_names(spark, tmp_root):
@@ -90,6 +131,12 @@ def test_csv_source_and_catalog_names(spark, tmp_root):
     eff = spark.sql("SELECT * FROM fraud_db.gold_eficacia_risco ORDER BY taxa_fraude_pct DESC")
     assert eff.first()[S.LEVEL] == "CRITICO"
     assert spark.table("fraud_db.silver_transacoes").filter("version = 0").count() == 6000
+    assert spark.table("fraud_db.silver_transacoes_versions").count() == 6000
+    # a second run replaces what the plain names show
+    lakehouse.run(spark, csv_dir, os.path.join(tmp_root, "lake"), database="fraud_db",
+                  rules=quality.default_rules(min_rows=1000), now=NOW)
+    assert spark.table("fraud_db.silver_transacoes").count() == 6000
+    assert spark.table("fraud_db.silver_transacoes_versions").count() == 12000
     lakehouse.reset(res.store)
     assert not spark.catalog.tableExists("fraud_db.bronze_transacoes")
 

@@ -88,6 +88,7 @@ def test_empty_input(spark):
     assert s.count() == 0
     rep = {r["check_id"]: r for r in quality.quality_report(bronze, s).collect()}
     assert rep[3]["status"] == "WARN" and rep[6]["status"] == "WARN"
+    assert rep[3]["detail"] == "n/a%" and rep[6]["detail"] == "n/a% approved"
     assert rep[7]["status"] == "FAIL" and rep[1]["status"] == "PASS"
     m = gold.metrics(s).first()
     assert m["total_transacoes"] == 0 and m["taxa_fraude_pct"] is None
@@ -132,3 +133,12 @@ def test_spark_describe_is_available(spark):
     from fraudlake.operators import profile
     out = profile.describe(rows_df(spark, _rows(1, 20))).collect()
     assert [r["summary"] for r in out] == ["count", "mean", "stddev", "min", "max"]
+
+
+def test_rule_with_own_silver_statistic(spark):
+    rule = quality.Rule(11, "few_online_frauds", "online_frauds <= 1", "WARN",
+                        "{online_frauds} online frauds", None,
+                        silver_stats=(("online_frauds", "count_if(fraud = 1 AND online_order = 1)"),))
+    rows = [(1.0, 1.0, 1.0, 1, 1, 1, 1, 1)] * 2 + [OK_ROW] * 3
+    r = _report(spark, rows, quality.default_rules(min_rows=1) + [rule])[0][11]
+    assert r["status"] == "WARN" and r["detail"] == "2 online frauds"

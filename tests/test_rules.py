@@ -90,3 +90,17 @@ def test_typed_accepts_text_indicators(spark):
                                 ",".join(f"{c} string" for c in S.SOURCE_COLUMNS))
     lax = silver.typed(bad, strict=False).first()
     assert lax[S.DISTANCE_HOME] is None and lax[S.REPEAT_RETAILER] is None
+
+
+def test_thresholds_frame_must_have_one_row(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+
+    two = spark.createDataFrame([(1.0, 1.0, 1.0), (2.0, 2.0, 2.0)],
+                                ",".join(f"{c} double" for c in S.THRESHOLD_COLUMNS))
+    df = silver.with_flags(rows_df(spark, [(1.0, 1.0, 1.0, 1, 1, 1, 0, 0)]), two)
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        df.collect()
+    one = two.limit(1).filter(F.col(S.P95_HOME) == 1.0)
+    assert silver.with_flags(rows_df(spark, [(2.0, 2.0, 2.0, 1, 1, 1, 0, 0)]), one).count() == 1

@@ -23,3 +23,31 @@ def test_bronze_stream_available_now(spark, tmp_root):
     out = spark.read.parquet(bronze)
     assert out.count() == 1500
     assert set(out.columns) == set(S.SOURCE_COLUMNS) | set(S.CONTROL_COLUMNS)
+
+
+def test_checkpoint_root_fallback_on_bare_local_session():
+    from fraudlake.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Ctx:
+        master = "local[2]"
+        _dir = None
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return self._dir
+
+        def setCheckpointDir(self, d):
+            self._dir = d + "/uuid"
+
+    class Session:
+        conf = Conf()
+        sparkContext = Ctx()
+
+    root = checkpoint_root(Session())
+    assert root.endswith("/uuid") and os.path.isdir(root[: -len("/uuid")])
