@@ -44,6 +44,14 @@ def typed(df: DataFrame, strict: bool = True) -> DataFrame:
     return df.select(*out)
 
 
+def threshold_values(df: DataFrame, p: float = S.DEFAULT_PERCENTILE,
+                     max_band: int = DEFAULT_MAX_BAND) -> dict[str, float | None]:
+    """Exact thresholds and means as Python numbers (a few grouped jobs run now)."""
+    q, mean = exact_quantiles(df, list(S.MEASURES), p, max_band)
+    values = [q[m] for m in S.MEASURES] + [mean[S.DISTANCE_HOME], mean[S.RATIO]]
+    return {f.name: v for f, v in zip(S.THRESHOLDS_SCHEMA.fields, values)}
+
+
 def thresholds(df: DataFrame, p: float = S.DEFAULT_PERCENTILE,
                accuracy: int = S.DEFAULT_ACCURACY, exact: bool = True,
                max_band: int = DEFAULT_MAX_BAND) -> DataFrame:
@@ -55,25 +63,27 @@ def thresholds(df: DataFrame, p: float = S.DEFAULT_PERCENTILE,
     ``percentile_approx(x, p, accuracy)`` aggregate. Its final merge of every
     task's sketch runs in one task, so prefer the exact mode on large inputs.
     """
-    means = {S.MEAN_HOME: F.avg(S.DISTANCE_HOME), S.MEAN_RATIO: F.avg(S.RATIO)}
     if not exact:
         return df.agg(
             *[F.percentile_approx(m, p, accuracy).alias(t)
               for m, t in zip(S.MEASURES, S.THRESHOLD_COLUMNS)],
-            *[e.alias(k) for k, e in means.items()],
+            F.avg(S.DISTANCE_HOME).alias(S.MEAN_HOME), F.avg(S.RATIO).alias(S.MEAN_RATIO),
         )
-    q, mean = exact_quantiles(df, list(S.MEASURES), p, max_band)
-    values = [q[m] for m in S.MEASURES] + [mean[S.DISTANCE_HOME], mean[S.RATIO]]
+    values = threshold_values(df, p, max_band)
     return df.sparkSession.range(1).select(
-        *[F.lit(v).cast("double").alias(f.name)
-          for v, f in zip(values, S.THRESHOLDS_SCHEMA.fields)])
+        *[F.lit(v).cast("double").alias(k) for k, v in values.items()])
 
 
-def with_flags(df: DataFrame, th: DataFrame | Mapping[str, float]) -> DataFrame:
-    """Add the five base flags. ``th``: one-row thresholds DataFrame or a dict."""
+def with_flags(df: DataFrame, th: DataFrame | Mapping[str, float | None]) -> DataFrame:
+    """Add the five base flags.
+
+    ``th``: a dict of threshold values (inlined as literals: no join), or a
+    one-row thresholds DataFrame, applied by a broadcast cross join. The
+    DataFrame is first reduced by a global aggregate, which has exactly one
+    row and fails the job unless ``th`` itself had one (e.g. an unfiltered
+    multi-version thresholds table).
+    """
     if isinstance(th, DataFrame):
-        # A global aggregate has exactly one row; fail the job unless ``th``
-        # itself had one (e.g. an unfiltered multi-version thresholds table).
         n = F.count(F.lit(1))
         one = F.broadcast(th.agg(*[
             F.when(n == 1, F.first(c)).otherwise(
@@ -82,7 +92,8 @@ def with_flags(df: DataFrame, th: DataFrame | Mapping[str, float]) -> DataFrame:
         joined = df.crossJoin(one)
         cols = {c: F.col(c) for c in S.THRESHOLD_COLUMNS}
         return joined.withColumns(risk.base_flag_columns(cols)).drop(*S.THRESHOLD_COLUMNS)
-    return df.withColumns(risk.base_flag_columns(th))
+    lits = {c: F.lit(th[c]).cast("double") for c in S.THRESHOLD_COLUMNS}
+    return df.withColumns(risk.base_flag_columns(lits))
 
 
 def with_score(df: DataFrame, flags: Sequence[str] = S.BASE_FLAGS) -> DataFrame:
@@ -102,7 +113,7 @@ def build_silver(bronze: DataFrame, th: DataFrame | Mapping[str, float] | None =
     """Bronze -> Silver. No row is dropped; Silver has Bronze's row count."""
     t = typed(bronze, strict)
     if th is None:
-        th = thresholds(t, p, accuracy, exact)
+        th = threshold_values(t, p) if exact else thresholds(t, p, accuracy, exact=False)
     silver = with_qa(with_score(with_flags(t, th)))
     return silver.withColumn(S.SILVER_TS, ts if ts is not None else F.current_timestamp())
 

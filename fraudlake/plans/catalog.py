@@ -72,12 +72,12 @@ def _threshold_df(spark, sf_dir, dirty, exact=True):
 
 def q_silver_flags(spark, sf_dir, dirty=False):
     t = silver.typed(bronze_of(spark, sf_dir, dirty))
-    return _no_time(silver.with_flags(t, silver.thresholds(t, exact=True)))
+    return _no_time(silver.with_flags(t, silver.threshold_values(t)))
 
 
 def q_silver_score_level(spark, sf_dir, dirty=False):
     t = silver.typed(bronze_of(spark, sf_dir, dirty))
-    return _no_time(silver.with_score(silver.with_flags(t, silver.thresholds(t, exact=True))))
+    return _no_time(silver.with_score(silver.with_flags(t, silver.threshold_values(t))))
 
 
 def q_silver_qa(spark, sf_dir, dirty=False):

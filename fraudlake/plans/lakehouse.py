@@ -113,8 +113,8 @@ def run(spark: SparkSession, source: DataFrame | str, root: str,
     # Thresholds of this version, stored with it.
     th = silver.thresholds(silver.typed(bronze), exact=exact)
     store.write_version(th, S.THRESHOLDS_TABLE, v)
-    th = store.read_version(S.THRESHOLDS_TABLE, v)
-    s_lazy = silver.build_silver(bronze, th=th, ts=ts)
+    th_row = store.read_version(S.THRESHOLDS_TABLE, v).first()  # one row
+    s_lazy = silver.build_silver(bronze, th=th_row.asDict(), ts=ts)  # literals
 
     def log(report_rows: list, report_schema, metrics: DataFrame) -> None:
         report = spark.createDataFrame(report_rows, report_schema)  # one row per rule
@@ -151,8 +151,9 @@ def run(spark: SparkSession, source: DataFrame | str, root: str,
                     S.GOLD_ALERTS_TABLE)
         store.write(spark.createDataFrame(rows, rep.schema)
                     .withColumn(S.RUN_ID, F.lit(run_id)), REPORT_TABLE)
+    newest = v if last is None else max(v, last)
     for t in VERSIONED:  # after backfills too: their file listings changed
-        store.register_versions(t)
+        store.register_versions(t, newest)
     log(rows, rep.schema, metrics)
     return RunResult(run_id, v, store, rows, latest)
 

@@ -68,9 +68,9 @@ class TableStore:
     def latest(self, table: str) -> int | None:
         return versions.latest_version(self.spark, self.path(table))
 
-    def register_versions(self, table: str) -> None:
+    def register_versions(self, table: str, last: int | None = None) -> None:
         """``<table>_versions``: every version; ``<table>``: the latest one."""
-        last = self.latest(table)
+        last = self.latest(table) if last is None else last
         if last is None:
             return
         path = self.path(table)

@@ -161,3 +161,20 @@ def test_command_line_run(spark, tmp_root, capsys):
     import json
     body = json.loads(out)
     assert body["version"] == 0 and len(body["checks"]) == 10
+
+
+def test_rollup_paths_equal_direct_ones(spark):
+    """Gold and gate statistics from the one-scan rollup equal the direct ones."""
+    s = catalog.silver_of(spark, SF_SMALL, dirty=True)
+    rollup = gold.score_rollup(s)
+    direct = quality.silver_statistics(s).first().asDict()
+    via = gold.silver_stats_from_rollup(rollup).first().asDict()
+    assert set(direct) == set(via)
+    for k in direct:
+        if isinstance(direct[k], float):
+            assert abs(direct[k] - via[k]) < 1e-9, k
+        else:
+            assert direct[k] == via[k], k
+    assert _cmp(gold.metrics(s), gold.metrics_from_rollup(rollup))
+    assert _cmp(gold.effectiveness(s), gold.effectiveness_from_rollup(rollup),
+                ["nivel_risco", "total_transacoes", "fraudes_reais", "taxa_fraude_pct"])
