@@ -74,14 +74,13 @@ def describe_long(df: DataFrame, columns: list[str] | None = None,
 def target_distribution(df: DataFrame, label: str = S.FRAUD) -> DataFrame:
     """Rows per label value (NULL is its own group) and share of all rows.
 
-    The total comes from the grouped result itself (a handful of rows),
-    joined back as a one-row broadcast; no second scan of the input.
+    The total is a scalar subquery over the grouped result itself (a handful
+    of rows); Spark reuses the grouped shuffle, so the input is scanned once.
     """
     grouped = df.groupBy(label).agg(F.count(F.lit(1)).alias("quantidade"))
-    total = grouped.agg(F.sum("quantidade").alias("_n"))
-    return (grouped.crossJoin(F.broadcast(total))
-            .select(label, "quantidade",
-                    risk.pct(F.col("quantidade"), F.col("_n")).alias("percentual"))
+    total = grouped.select(F.sum("quantidade")).scalar()
+    return (grouped.select(label, "quantidade",
+                           risk.pct(F.col("quantidade"), total).alias("percentual"))
             .orderBy(F.asc_nulls_first(label)))
 
 

@@ -1,9 +1,9 @@
 """Quality gate: configurable rules evaluated in ONE pass per table.
 
 Each rule reads named statistics. Statistics are SQL aggregate expressions
-(``count_if(fraud IS NULL)``), evaluated in one ``agg`` per table; the two
-one-row results are cross joined and every rule becomes one row of the
-report via ``inline(array(struct(...)))``. Seven counts that used to be seven
+(``count_if(fraud IS NULL)``), evaluated in one ``agg`` per table; the
+Bronze row joins the Silver row as (merged) scalar subqueries and every rule
+becomes one row of the report via ``inline(array(struct(...)))``. Seven counts that used to be seven
 jobs are now one job with two scans (Bronze, Silver) of pruned columns.
 
 Detail and alert texts are small ``str.format``-style templates over the
@@ -156,7 +156,7 @@ def silver_statistics(silver: DataFrame) -> DataFrame:
 def statistics(bronze: DataFrame, silver: DataFrame | None,
                rules: Sequence[Rule] | None = None,
                silver_stats: DataFrame | None = None) -> DataFrame:
-    """One row of all statistics: one aggregate over each table, cross joined.
+    """One row of all statistics: one aggregate over each table.
 
     ``silver_stats`` may be given precomputed (e.g. from the Gold rollup) so
     that Silver is not scanned for them; statistics that rules add on top are
@@ -169,8 +169,12 @@ def statistics(bronze: DataFrame, silver: DataFrame | None,
     else:
         s = silver_stats
         if extra:
-            s = s.crossJoin(silver.agg(*[F.expr(e).alias(k) for k, e in extra.items()]))
-    one = bronze_statistics(bronze, rules).crossJoin(s)
+            more = silver.agg(*[F.expr(e).alias(k) for k, e in extra.items()])
+            s = s.select("*", *[more.select(k).scalar().alias(k) for k in extra])
+    # Bronze statistics join the one Silver row as scalar subqueries (Spark
+    # merges them into one aggregate over Bronze).
+    b = bronze_statistics(bronze, rules)
+    one = s.select("*", *[b.select(k).scalar().alias(k) for k in b.columns])
     return one.withColumns({k: F.expr(e) for k, e in DERIVED_STATS.items()})
 
 

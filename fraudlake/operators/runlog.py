@@ -1,8 +1,8 @@
 """Run log record and notification payload, built as one-row DataFrames.
 
 Nothing is collected to the driver: the record is an aggregate over the
-quality report (a handful of rows, one per rule) cross joined with the
-one-row metrics.
+quality report (a handful of rows, one per rule) that reads the one-row
+metrics through scalar subqueries.
 """
 
 from __future__ import annotations
@@ -42,12 +42,13 @@ def log_entry(report: DataFrame, metrics: DataFrame, ts: Column | None = None,
     (a failed check without alert text, like the score check, still logs OK)."""
     ts = ts if ts is not None else F.current_timestamp()
     roll = _report_rollup(report)
-    m = metrics.select("total_transacoes", "total_fraudes", "taxa_deteccao_pct")
-    out = roll.crossJoin(m).select(
+    m = {c: metrics.select(c).scalar().alias(c)
+         for c in ("total_transacoes", "total_fraudes", "taxa_deteccao_pct")}
+    out = roll.select(
         F.lit(name).alias("pipeline_nome"),
         F.date_format(ts, TIME_FORMAT).alias("timestamp_execucao"),
         "total_checks", "checks_passed", "checks_failed", "checks_warned",
-        "total_transacoes", "total_fraudes", "taxa_deteccao_pct",
+        *m.values(),
         F.to_json("_alerts").alias("alertas_detalhe"),
         F.when(F.size("_alerts") == 0, F.lit(S.RESULT_OK))
          .otherwise(F.lit(S.RESULT_ATTENTION)).alias("resultado"),
@@ -68,7 +69,7 @@ def payload(report: DataFrame, metrics: DataFrame, ts: Column | None = None,
     checks = F.transform("_checks", lambda x: F.struct(
         x["check"].alias("check"), x["status"].alias("status"),
         x["detail"].alias("detalhe")))
-    metric_struct = F.struct(*[F.col(c) for c in metrics.columns])
+    metric_struct = metrics.select(F.struct(*metrics.columns)).scalar()
     body = F.struct(
         F.lit(name).alias("pipeline"),
         F.date_format(ts, TIME_FORMAT).alias("timestamp"),
@@ -76,4 +77,4 @@ def payload(report: DataFrame, metrics: DataFrame, ts: Column | None = None,
         F.col("_alerts").alias("alertas"),
         metric_struct.alias("metricas"),
     )
-    return roll.crossJoin(metrics).select(F.to_json(body).alias("payload"))
+    return roll.select(F.to_json(body).alias("payload"))

@@ -1,7 +1,7 @@
 """Silver: typed columns, percentile thresholds, risk flags, score, level, QA.
 
-Thresholds are a one-row DataFrame joined to every row with a broadcast cross
-join (the build side has exactly one row by construction). By default they
+Thresholds reach the rows as literals (exact mode) or as scalar subqueries
+over a one-row DataFrame (no join, no broadcast). By default they
 are exact discrete percentiles from the histogram selection of
 :mod:`fraudlake.functions.quantile` (a few grouped passes, deterministic);
 ``exact=False`` gives the lazy ``percentile_approx`` aggregate of the
@@ -77,23 +77,16 @@ def thresholds(df: DataFrame, p: float = S.DEFAULT_PERCENTILE,
 def with_flags(df: DataFrame, th: DataFrame | Mapping[str, float | None]) -> DataFrame:
     """Add the five base flags.
 
-    ``th``: a dict of threshold values (inlined as literals: no join), or a
-    one-row thresholds DataFrame, applied by a broadcast cross join. The
-    DataFrame is first reduced by a global aggregate, which has exactly one
-    row and fails the job unless ``th`` itself had one (e.g. an unfiltered
-    multi-version thresholds table).
+    ``th``: a dict of threshold values (inlined as literals), or a one-row
+    thresholds DataFrame, read through scalar subqueries: Spark evaluates
+    it once, merges the three lookups into one and fails the job if it has
+    more than one row (e.g. an unfiltered multi-version thresholds table).
     """
     if isinstance(th, DataFrame):
-        n = F.count(F.lit(1))
-        one = F.broadcast(th.agg(*[
-            F.when(n == 1, F.first(c)).otherwise(
-                F.raise_error(F.lit("thresholds must have exactly one row"))
-            ).cast("double").alias(c) for c in S.THRESHOLD_COLUMNS]))
-        joined = df.crossJoin(one)
-        cols = {c: F.col(c) for c in S.THRESHOLD_COLUMNS}
-        return joined.withColumns(risk.base_flag_columns(cols)).drop(*S.THRESHOLD_COLUMNS)
-    lits = {c: F.lit(th[c]).cast("double") for c in S.THRESHOLD_COLUMNS}
-    return df.withColumns(risk.base_flag_columns(lits))
+        cols = {c: th.select(F.col(c).cast("double")).scalar() for c in S.THRESHOLD_COLUMNS}
+    else:
+        cols = {c: F.lit(th[c]).cast("double") for c in S.THRESHOLD_COLUMNS}
+    return df.withColumns(risk.base_flag_columns(cols))
 
 
 def with_score(df: DataFrame, flags: Sequence[str] = S.BASE_FLAGS) -> DataFrame:
