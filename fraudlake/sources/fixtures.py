@@ -2,8 +2,8 @@
 
 The original feed (a card-transaction CSV) is not shipped, so a fixed
 projection of ``lineitem`` stands in for it (see FIXTURES.md). The ``dirty``
-variant blanks or negates values on fixed ``l_orderkey`` residues to exercise
-NULL and negative-value handling. Only the needed columns are read, so the
+variant keeps every row and only blanks or negates values on fixed
+``l_orderkey`` residues, to exercise NULL and negative-value handling. Only the needed columns are read, so the
 parquet scan is pruned to at most eight columns.
 """
 
