@@ -70,3 +70,29 @@ def test_agrees_with_percentile_disc(spark):
         exact, _ = exact_quantiles(df, ["x"], 0.95, max_band=max_band)
         disc = df.selectExpr("percentile_disc(0.95) WITHIN GROUP (ORDER BY x) AS p").first()["p"]
         assert exact["x"] == disc
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_values = st.one_of(
+    st.none(),
+    st.floats(allow_nan=True, allow_infinity=True),
+    st.sampled_from([0.0, -0.0, 1.0, 1.0 + 2.0 ** -52, -1.0, 5e-324]),
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(vals=st.lists(_values, min_size=1, max_size=60),
+       q=st.sampled_from([0.01, 0.25, 0.5, 0.95, 1.0]),
+       max_band=st.sampled_from([1, 3, 1000]))
+def test_property_matches_brute_force(spark, vals, q, max_band):
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got, _ = exact_quantiles(df, ["x"], q, max_band=max_band)
+    want = brute(vals, q)
+    if want is None or got["x"] is None:
+        assert want is None and got["x"] is None
+    elif math.isnan(want):
+        assert math.isnan(got["x"])
+    else:
+        assert got["x"] == want
