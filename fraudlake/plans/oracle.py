@@ -106,14 +106,17 @@ th AS (
   FROM bronze),
 flags AS (
   SELECT b.*,
-         CASE WHEN b.{t.DISTANCE_HOME} > th.{t.P95_HOME} THEN 1 ELSE 0 END AS {t.FLAG_HOME},
-         CASE WHEN b.{t.DISTANCE_LAST} > th.{t.P95_LAST} THEN 1 ELSE 0 END AS {t.FLAG_LAST},
-         CASE WHEN b.{t.RATIO} > th.{t.P95_RATIO} THEN 1 ELSE 0 END AS {t.FLAG_RATIO},
+         CASE WHEN b.{t.DISTANCE_HOME} > (SELECT {t.P95_HOME} FROM th) THEN 1 ELSE 0 END
+           AS {t.FLAG_HOME},
+         CASE WHEN b.{t.DISTANCE_LAST} > (SELECT {t.P95_LAST} FROM th) THEN 1 ELSE 0 END
+           AS {t.FLAG_LAST},
+         CASE WHEN b.{t.RATIO} > (SELECT {t.P95_RATIO} FROM th) THEN 1 ELSE 0 END
+           AS {t.FLAG_RATIO},
          CASE WHEN b.{t.USED_CHIP} = 0 AND b.{t.USED_PIN} = 0 THEN 1 ELSE 0 END
            AS {t.FLAG_NO_AUTH},
          CASE WHEN b.{t.ONLINE} = 1 AND b.{t.USED_PIN} = 0 THEN 1 ELSE 0 END
            AS {t.FLAG_ONLINE_NO_PIN}
-  FROM bronze b CROSS JOIN th),
+  FROM bronze b),
 scored AS (
   SELECT *, {' + '.join(t.BASE_FLAGS)} AS {t.SCORE} FROM flags),
 silver AS (
@@ -261,10 +264,11 @@ def _stats_cte() -> str:
     b = ", ".join(f"{e} AS {k}" for k, e in quality.BRONZE_STATS.items())
     s = ", ".join(f"{e} AS {k}" for k, e in quality.SILVER_STATS.items())
     d = ", ".join(f"{e} AS {k}" for k, e in quality.DERIVED_STATS.items())
+    b_cols = ", ".join(f"(SELECT {k} FROM sb) AS {k}" for k in quality.BRONZE_STATS)
     return f"""
 sb AS (SELECT {b} FROM bronze),
 ss AS (SELECT {s} FROM silver),
-st0 AS (SELECT * FROM sb CROSS JOIN ss),
+st0 AS (SELECT *, {b_cols} FROM ss),
 stats AS (SELECT *, {d} FROM st0)"""
 
 
@@ -312,7 +316,9 @@ def _log_select(ts: str, run_id: str | None = None) -> str:
     return f"""
 SELECT '{S.DEFAULT_PIPELINE_NAME}' AS pipeline_nome, '{ts}' AS timestamp_execucao,
        r.total_checks, r.checks_passed, r.checks_failed, r.checks_warned,
-       m.total_transacoes, m.total_fraudes, m.taxa_deteccao_pct,
+       (SELECT total_transacoes FROM metrics) AS total_transacoes,
+       (SELECT total_fraudes FROM metrics) AS total_fraudes,
+       (SELECT taxa_deteccao_pct FROM metrics) AS taxa_deteccao_pct,
        to_json(COALESCE(r.alerts, [])::VARCHAR[])::VARCHAR AS alertas_detalhe,
        CASE WHEN len(COALESCE(r.alerts, [])) = 0 THEN '{S.RESULT_OK}'
             ELSE '{S.RESULT_ATTENTION}' END AS resultado{rid}
@@ -321,7 +327,7 @@ FROM (SELECT count(*) AS total_checks,
              count_if(status = '{S.STATUS_FAIL}') AS checks_failed,
              count_if(status = '{S.STATUS_WARN}') AS checks_warned,
              list(alert ORDER BY check_id) FILTER (WHERE alert IS NOT NULL) AS alerts
-      FROM report) r CROSS JOIN metrics m"""
+      FROM report) r"""
 
 
 def _run_log_entry(dirty):
@@ -332,7 +338,7 @@ def _payload():
     metric_cols = ("total_transacoes", "total_fraudes", "taxa_fraude_pct",
                    "transacoes_criticas", "transacoes_alto", "fraudes_capturadas",
                    "taxa_deteccao_pct", "falsos_positivos")
-    metric_struct = ", ".join(f"{c} := m.{c}" for c in metric_cols)
+    metric_struct = ", ".join(f"{c} := (SELECT {c} FROM metrics)" for c in metric_cols)
     return _q(_report_cte(_rules()) + "," + _metrics_cte() + f"""
 SELECT to_json(struct_pack(
          pipeline := '{S.DEFAULT_PIPELINE_NAME}',
@@ -343,7 +349,7 @@ SELECT to_json(struct_pack(
 FROM (SELECT list(struct_pack("check" := "check", status := status, detalhe := detail)
                   ORDER BY check_id) AS checks,
              list(alert ORDER BY check_id) FILTER (WHERE alert IS NOT NULL) AS alerts
-      FROM report) r CROSS JOIN metrics m""")
+      FROM report) r""")
 
 
 def _run_log_history():
