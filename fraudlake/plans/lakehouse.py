@@ -103,11 +103,13 @@ def run(spark: SparkSession, source: DataFrame | str, root: str,
     v = (0 if last is None else last + 1) if version is None else int(version)
     latest = last is None or v >= last
 
-    # Bronze (landed rows keep their control columns).
+    # Bronze (landed rows keep their control columns). Its contract is the
+    # raw CSV one, every source column a double, so versions written from
+    # different kinds of source read back together.
     landed = all(c in src.columns for c in S.CONTROL_COLUMNS)
     b_new = src if landed else add_control_columns(src, source=source_name, ts=ts)
-    store.write_version(b_new.select(*S.SOURCE_COLUMNS, *S.CONTROL_COLUMNS),
-                        S.BRONZE_TABLE, v)
+    raw = [F.col(c).try_cast("double").alias(c) for c in S.SOURCE_COLUMNS]
+    store.write_version(b_new.select(*raw, *S.CONTROL_COLUMNS), S.BRONZE_TABLE, v)
     bronze = store.read_version(S.BRONZE_TABLE, v)
 
     # Thresholds of this version, stored with it.
@@ -153,7 +155,7 @@ def run(spark: SparkSession, source: DataFrame | str, root: str,
                     .withColumn(S.RUN_ID, F.lit(run_id)), REPORT_TABLE)
     newest = v if last is None else max(v, last)
     for t in VERSIONED:  # after backfills too: their file listings changed
-        store.register_versions(t, newest)
+        store.register_versions(t, newest, written=v)
     log(rows, rep.schema, metrics)
     return RunResult(run_id, v, store, rows, latest)
 

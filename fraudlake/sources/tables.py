@@ -21,6 +21,13 @@ from fraudlake.operators import versions
 VERSIONS_SUFFIX = "_versions"
 
 
+def _norm(path: str) -> str:
+    """Comparable form of a folder name ("file:/x/" and "/x" are the same)."""
+    if path.startswith("file:"):
+        path = "/" + path[len("file:"):].lstrip("/")
+    return path.rstrip("/")
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, database: str | None = None):
         self.spark = spark
@@ -68,22 +75,31 @@ class TableStore:
     def latest(self, table: str) -> int | None:
         return versions.latest_version(self.spark, self.path(table))
 
-    def register_versions(self, table: str, last: int | None = None) -> None:
-        """``<table>_versions``: every version; ``<table>``: the latest one."""
+    def register_versions(self, table: str, last: int | None = None,
+                          written: int | None = None) -> None:
+        """``<table>_versions``: every version; ``<table>``: the latest one.
+
+        In a catalog the versions table is kept and only the partition just
+        ``written`` is added; it is re-created (all partitions, from the
+        manifest) when missing or pointing at another folder.
+        """
         last = self.latest(table) if last is None else last
         if last is None:
             return
         path = self.path(table)
         if self.database:
             all_name = self.name(table + VERSIONS_SUFFIX)
-            self._forget(all_name)
-            self.spark.sql(f"CREATE TABLE {all_name} USING parquet "
-                           f"LOCATION '{path}'")
-            # Partitions from the manifest: no listing of the data files.
-            for v in versions.versions_in(self.spark, path):
+            if written is not None and self._location(all_name) == _norm(path):
+                todo = [written]
+            else:
+                self._forget(all_name)
+                self.spark.sql(f"CREATE TABLE {all_name} USING parquet LOCATION '{path}'")
+                todo = versions.versions_in(self.spark, path)  # from the manifest
+            for v in todo:
                 self.spark.sql(f"ALTER TABLE {all_name} ADD IF NOT EXISTS PARTITION "
                                f"({S.SNAPSHOT_VERSION}={v}) LOCATION "
                                f"'{path}/{S.SNAPSHOT_VERSION}={v}'")
+            self.spark.sql(f"REFRESH TABLE {all_name}")
             self._forget(self.name(table))
             self.spark.sql(f"CREATE VIEW {self.name(table)} AS SELECT * FROM "
                            f"{all_name} WHERE {S.SNAPSHOT_VERSION} = {last}")
@@ -91,6 +107,14 @@ class TableStore:
             self.spark.read.parquet(path).createOrReplaceTempView(table + VERSIONS_SUFFIX)
             self.read_version(table, last).createOrReplaceTempView(table)
 
+    def _location(self, name: str) -> str | None:
+        if not self.spark.catalog.tableExists(name):
+            return None
+        for row in self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect():
+            if row[0] == "Location":
+                return _norm(row[1])
+        return None
+
     # --- catalog -------------------------------------------------------------
 
     def register(self, table: str) -> None:

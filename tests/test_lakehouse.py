@@ -178,3 +178,22 @@ def test_rollup_paths_equal_direct_ones(spark):
     assert _cmp(gold.metrics(s), gold.metrics_from_rollup(rollup))
     assert _cmp(gold.effectiveness(s), gold.effectiveness_from_rollup(rollup),
                 ["nivel_risco", "total_transacoes", "fraudes_reais", "taxa_fraude_pct"])
+
+
+def test_bronze_versions_from_mixed_sources_read_together(spark, tmp_root):
+    from fraudlake.operators.bronze import add_control_columns
+
+    rules = quality.default_rules(min_rows=1000)
+    csv_dir = os.path.join(tmp_root, "landing")
+    write_csv(read_transactions(spark, SF_SMALL), csv_dir)
+    lake = os.path.join(tmp_root, "lake")
+    lakehouse.run(spark, csv_dir, lake, database="mix_db", rules=rules, now=NOW)
+    lakehouse.run(spark, read_transactions(spark, SF_SMALL), lake, database="mix_db",
+                  rules=rules, now=NOW)  # int indicators
+    landed = add_control_columns(read_transactions(spark, SF_SMALL, dirty=True))
+    lakehouse.run(spark, landed, lake, database="mix_db", rules=rules, now=NOW)
+    all_b = spark.table("mix_db.bronze_transacoes_versions")
+    assert all_b.count() == 18000
+    assert dict(all_b.dtypes)[S.FRAUD] == "double"
+    assert spark.table("mix_db.silver_transacoes").filter(F.col(S.FRAUD).isNull()).count() == 49
+    assert spark.table("mix_db.silver_transacoes_versions").count() == 18000
