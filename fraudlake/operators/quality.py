@@ -169,8 +169,11 @@ def statistics(bronze: DataFrame, silver: DataFrame | None,
     else:
         s = silver_stats
         if extra:
+            if silver is None:
+                raise ValueError("rules with silver_stats need the Silver DataFrame")
             more = silver.agg(*[F.expr(e).alias(k) for k, e in extra.items()])
-            s = s.select("*", *[more.select(k).scalar().alias(k) for k in extra])
+            # a rule's statistic replaces a built-in one of the same name
+            s = s.drop(*extra).select("*", *[more.select(k).scalar().alias(k) for k in extra])
     # Bronze statistics join the one Silver row as scalar subqueries (Spark
     # merges them into one aggregate over Bronze).
     b = bronze_statistics(bronze, rules)

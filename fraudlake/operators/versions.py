@@ -4,8 +4,8 @@ A tiny manifest (``<path>/_versions``, skipped by Spark's file listing
 because of the leading underscore) records the versions written, so finding
 the next or latest version reads a handful of rows instead of listing every
 data file. Reading "as of" a version lists and reads only that version's
-folder. Rewriting a version replaces only its partition (dynamic partition
-overwrite), so a backfill or a retried job is idempotent.
+folder. Rewriting a version replaces only its folder, so a backfill or a
+retried job is idempotent.
 """
 
 from __future__ import annotations
@@ -54,17 +54,35 @@ def next_version(spark: SparkSession, path: str) -> int:
 def write_snapshot(df: DataFrame, path: str, version: int | None = None) -> int:
     """Write ``df`` as version ``version`` (default: latest + 1); returns it.
 
-    One writer at a time is assumed for automatic numbering.
+    The version is written into its own ``version=N`` folder (replacing it;
+    an empty ``df`` leaves an empty version, not the old rows) and then
+    recorded in the manifest. One writer at a time is assumed.
     """
     spark = df.sparkSession
-    v = next_version(spark, path) if version is None else int(version)
-    (df.withColumn(V, F.lit(v)).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").partitionBy(V).parquet(path))
-    (spark.range(1).select(F.lit(v).alias(V), F.current_timestamp().alias("escrito_em"))
-       .write.mode("append").parquet(manifest_path(path)))
+    found = versions_in(spark, path)
+    if found and not _has_manifest(spark, path):
+        _record(spark, path, found)  # folder written before manifests existed
+    v = (found[-1] + 1 if found else 0) if version is None else int(version)
+    df.drop(V).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{V}={v}")
+    _record(spark, path, [v])
     return v
 
 
+def _has_manifest(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(manifest_path(path)).schema  # noqa: B018
+        return True
+    except AnalysisException:
+        return False
+
+
+def _record(spark: SparkSession, path: str, vs: list[int]) -> None:
+    rows = spark.range(len(vs)).select(
+        F.element_at(F.array(*[F.lit(int(v)) for v in vs]), (F.col("id") + 1).cast("int"))
+        .alias(V), F.current_timestamp().alias("escrito_em"))
+    rows.write.mode("append").parquet(manifest_path(path))
+
+
 def read_as_of(spark: SparkSession, path: str, version: int) -> DataFrame:
     """The snapshot at ``version`` without the version column (one folder read)."""
     base = path.rstrip("/")

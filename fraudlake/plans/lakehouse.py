@@ -15,7 +15,8 @@ Per run, Silver is read once for Gold 1, Gold 2 and the gate (a per-score
 rollup of at most six rows) and once for the alert rows. Actions: Bronze
 write, thresholds (2 grouped passes; 1 job with ``exact=False``), Silver
 write, rollup, gate rows, Gold writes (effectiveness and metrics from the
-rollup, alerts from Silver), log append.
+rollup, alerts from Silver), log write. The run log is partitioned by run
+id, so a retried run replaces its own row.
 """
 
 from __future__ import annotations
@@ -54,6 +55,9 @@ class RunResult:
     latest: bool = True  # False for a backfill of an older version (Gold untouched)
 
     def table(self, name: str) -> DataFrame:
+        """A table of this run (for versioned tables: this run's version)."""
+        if name in VERSIONED:
+            return self.store.read_version(name, self.version)
         return self.store.read(name)
 
     def bronze(self) -> DataFrame:
@@ -103,38 +107,44 @@ def run(spark: SparkSession, source: DataFrame | str, root: str,
     v = (0 if last is None else last + 1) if version is None else int(version)
     latest = last is None or v >= last
 
-    # Bronze (landed rows keep their control columns). Its contract is the
-    # raw CSV one, every source column a double, so versions written from
-    # different kinds of source read back together.
+    # Bronze rows (landed rows keep their control columns). The stored
+    # contract is the raw CSV one, every source column a double, so versions
+    # from different kinds of source read back together.
     landed = all(c in src.columns for c in S.CONTROL_COLUMNS)
     b_new = src if landed else add_control_columns(src, source=source_name, ts=ts)
-    raw = [F.col(c).try_cast("double").alias(c) for c in S.SOURCE_COLUMNS]
-    store.write_version(b_new.select(*raw, *S.CONTROL_COLUMNS), S.BRONZE_TABLE, v)
-    bronze = store.read_version(S.BRONZE_TABLE, v)
-
-    # Thresholds of this version, stored with it.
-    th = silver.thresholds(silver.typed(bronze), exact=exact)
-    store.write_version(th, S.THRESHOLDS_TABLE, v)
-    th_row = store.read_version(S.THRESHOLDS_TABLE, v).first()  # one row
-    s_lazy = silver.build_silver(bronze, th=th_row.asDict(), ts=ts)  # literals
+    b_new = b_new.select(*[F.col(c).cast("double").alias(c) for c in S.SOURCE_COLUMNS],
+                         *S.CONTROL_COLUMNS)
 
     def log(report_rows: list, report_schema, metrics: DataFrame) -> None:
         report = spark.createDataFrame(report_rows, report_schema)  # one row per rule
         entry = runlog.log_entry(report, metrics, ts=ts, name=name, run_id=run_id)
-        store.append_once(entry, S.RUN_LOG_TABLE, S.RUN_ID)
+        store.upsert(entry, S.RUN_LOG_TABLE, S.RUN_ID)  # a retry replaces its row
 
+    gate_rows = None
     if on_fail == "raise":
-        # Gate first, on Silver as it would be written (one lazy pass).
-        rep = quality.quality_report(bronze, s_lazy, rules)
-        rows = rep.collect()
-        failed = [r for r in rows if r["status"] == S.STATUS_FAIL]
+        # Gate first, on the incoming rows: nothing is written unless it passes.
+        th_vals = silver.thresholds(silver.typed(b_new), exact=exact).first().asDict()
+        s_check = silver.build_silver(b_new, th=th_vals, ts=ts)
+        rep = quality.quality_report(b_new, s_check, rules)
+        gate_rows = rep.collect()
+        failed = [r for r in gate_rows if r["status"] == S.STATUS_FAIL]
         if failed:
-            log(rows, rep.schema, gold.metrics(s_lazy, cut))
+            log(gate_rows, rep.schema, gold.metrics(s_check, cut))
             raise QualityGateError("; ".join(f"{r['check']}: {r['detail']}" for r in failed))
 
-    # Silver, sorted by score inside each file so ``score >= cut`` scans skip
-    # most row groups; then read back.
-    store.write_version(s_lazy.sortWithinPartitions(S.SCORE), S.SILVER_TABLE, v)
+    store.write_version(b_new, S.BRONZE_TABLE, v)
+    bronze = store.read_version(S.BRONZE_TABLE, v)
+    if gate_rows is None:
+        th_vals = silver.thresholds(silver.typed(bronze), exact=exact).first().asDict()
+    # Thresholds of this version, stored with it (one row of literals).
+    store.write_version(spark.range(1).select(
+        *[F.lit(th_vals[f.name]).cast("double").alias(f.name)
+          for f in S.THRESHOLDS_SCHEMA.fields]), S.THRESHOLDS_TABLE, v)
+
+    # Silver (thresholds inlined as literals), sorted by score inside each
+    # file so ``score >= cut`` scans skip most row groups; then read back.
+    s_new = silver.build_silver(bronze, th=th_vals, ts=ts)
+    store.write_version(s_new.sortWithinPartitions(S.SCORE), S.SILVER_TABLE, v)
     s = store.read_version(S.SILVER_TABLE, v)
 
     # One Silver scan for Gold 1, Gold 2 and the gate's Silver statistics.
@@ -142,7 +152,7 @@ def run(spark: SparkSession, source: DataFrame | str, root: str,
     rollup = spark.createDataFrame(rollup_df.collect(), rollup_df.schema)  # <= 6 rows
     rep = quality.quality_report(bronze, s, rules,
                                  silver_stats=gold.silver_stats_from_rollup(rollup))
-    rows = rep.collect()
+    rows = gate_rows if gate_rows is not None else rep.collect()
     metrics = gold.metrics_from_rollup(rollup, cut)
 
     if latest:
@@ -155,7 +165,7 @@ def run(spark: SparkSession, source: DataFrame | str, root: str,
                     .withColumn(S.RUN_ID, F.lit(run_id)), REPORT_TABLE)
     newest = v if last is None else max(v, last)
     for t in VERSIONED:  # after backfills too: their file listings changed
-        store.register_versions(t, newest, written=v)
+        store.register_versions(t, newest)
     log(rows, rep.schema, metrics)
     return RunResult(run_id, v, store, rows, latest)
 

@@ -16,9 +16,13 @@ def read_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
     PERMISSIVE mode, and the row is kept (the Silver QA flags then reject
     it). ``typed`` later casts the indicators to integer. ``infer=True`` asks
     Spark to infer types, which costs one extra pass over the data. Extra
-    columns are ignored; a missing one is an error.
+    columns are ignored; a missing one is an error, and so is a file whose
+    header differs from the first file's.
     """
-    reader = spark.read.option("header", True)
+    # enforceSchema=false: every file's header must match the first one's, so
+    # a file with its columns in another order fails instead of being read
+    # by position.
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     if infer:
         return reader.option("inferSchema", True).csv(path).select(*S.SOURCE_COLUMNS)
     raw = reader.csv(path)

@@ -1,9 +1,9 @@
 """Layer tables as parquet folders under one root, optionally named in a catalog.
 
 The root is shared storage (object store / HDFS path on a cluster). When a
-``database`` is given, each table is also registered there as an external
-table over its folder, so SQL can use ``database.table`` names; otherwise a
-temp view of the same name is created.
+``database`` is given, each table is also named there, as a view over its
+folder, so SQL can use ``database.table`` names; otherwise a temp view of
+the same name is created.
 
 Versioned tables (Bronze, Silver, thresholds) live in ``<table>`` folders
 with ``version=N`` partitions; their plain name shows the latest version
@@ -21,12 +21,6 @@ from fraudlake.operators import versions
 VERSIONS_SUFFIX = "_versions"
 
 
-def _norm(path: str) -> str:
-    """Comparable form of a folder name ("file:/x/" and "/x" are the same)."""
-    if path.startswith("file:"):
-        path = "/" + path[len("file:"):].lstrip("/")
-    return path.rstrip("/")
-
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, database: str | None = None):
@@ -53,8 +47,13 @@ class TableStore:
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 
-    def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> None:
-        df.write.mode(mode).parquet(self.path(table))
+    def write(self, df: DataFrame, table: str, mode: str = "overwrite",
+              partition_by: str | None = None) -> None:
+        w = df.write.mode(mode)
+        if partition_by:
+            # Replace only the partitions present in ``df``.
+            w = w.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
+        w.parquet(self.path(table))
         self.register(table)
 
     def append_once(self, df: DataFrame, table: str, key: str) -> None:
@@ -64,6 +63,11 @@ class TableStore:
             df = df.join(seen, key, "left_anti")
         self.write(df, table, mode="append")
 
+    def upsert(self, df: DataFrame, table: str, key: str) -> None:
+        """Write rows partitioned by ``key``, replacing rows with the same key
+        (a retried run replaces its own log row; other keys are untouched)."""
+        self.write(df, table, mode="overwrite", partition_by=key)
+
     # --- versioned tables ---------------------------------------------------
 
     def write_version(self, df: DataFrame, table: str, version: int) -> None:
@@ -75,69 +79,38 @@ class TableStore:
     def latest(self, table: str) -> int | None:
         return versions.latest_version(self.spark, self.path(table))
 
-    def register_versions(self, table: str, last: int | None = None,
-                          written: int | None = None) -> None:
-        """``<table>_versions``: every version; ``<table>``: the latest one.
-
-        In a catalog the versions table is kept and only the partition just
-        ``written`` is added; it is re-created (all partitions, from the
-        manifest) when missing or pointing at another folder.
-        """
+    def register_versions(self, table: str, last: int | None = None) -> None:
+        """``<table>_versions``: every version; ``<table>``: the latest one."""
         last = self.latest(table) if last is None else last
         if last is None:
             return
         path = self.path(table)
         if self.database:
-            all_name = self.name(table + VERSIONS_SUFFIX)
-            if written is not None and self._location(all_name) == _norm(path):
-                todo = [written]
-            else:
-                self._forget(all_name)
-                self.spark.sql(f"CREATE TABLE {all_name} USING parquet LOCATION '{path}'")
-                todo = versions.versions_in(self.spark, path)  # from the manifest
-            for v in todo:
-                self.spark.sql(f"ALTER TABLE {all_name} ADD IF NOT EXISTS PARTITION "
-                               f"({S.SNAPSHOT_VERSION}={v}) LOCATION "
-                               f"'{path}/{S.SNAPSHOT_VERSION}={v}'")
-            self.spark.sql(f"REFRESH TABLE {all_name}")
-            self._forget(self.name(table))
-            self.spark.sql(f"CREATE VIEW {self.name(table)} AS SELECT * FROM "
-                           f"{all_name} WHERE {S.SNAPSHOT_VERSION} = {last}")
+            self._view(table + VERSIONS_SUFFIX, f"parquet.`{path}`")
+            self._view(table, f"parquet.`{path}/{S.SNAPSHOT_VERSION}={last}`")
         else:
             self.spark.read.parquet(path).createOrReplaceTempView(table + VERSIONS_SUFFIX)
             self.read_version(table, last).createOrReplaceTempView(table)
 
-    def _location(self, name: str) -> str | None:
-        if not self.spark.catalog.tableExists(name):
-            return None
-        for row in self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect():
-            if row[0] == "Location":
-                return _norm(row[1])
-        return None
-
     # --- catalog -------------------------------------------------------------
 
+    def _view(self, table: str, relation: str) -> None:
+        """A catalog view over a parquet folder: always current (files are
+        listed at query time), replaced atomically, no partition bookkeeping."""
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(table)} AS "
+                       f"SELECT * FROM {relation}")
+
     def register(self, table: str) -> None:
-        """Expose an unversioned table to SQL (catalog table or temp view)."""
+        """Expose an unversioned table to SQL (catalog view or temp view)."""
         if self.database:
-            name = self.name(table)
-            # Re-create so location and schema follow the latest write
-            # (external table: dropping it keeps the files).
-            self._forget(name)
-            self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{self.path(table)}'")
+            self._view(table, f"parquet.`{self.path(table)}`")
         else:
             self.read(table).createOrReplaceTempView(table)
 
-    def _forget(self, name: str) -> None:
-        """Drop a catalog table or view of that name, whichever it is."""
-        if self.spark.catalog.tableExists(name):
-            kind = self.spark.catalog.getTable(name).tableType
-            self.spark.sql(f"DROP {'VIEW' if kind == 'VIEW' else 'TABLE'} {name}")
-
     def drop(self, table: str) -> None:
-        """Forget the catalog entries / views (files of external tables stay)."""
+        """Forget the catalog views / temp views (the files stay)."""
         for t in (table, table + VERSIONS_SUFFIX):
             if self.database:
-                self._forget(self.name(t))
+                self.spark.sql(f"DROP VIEW IF EXISTS {self.name(t)}")
             else:
                 self.spark.catalog.dropTempView(t)

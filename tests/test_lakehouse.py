@@ -93,10 +93,19 @@ def test_gate_raises_before_silver_and_logs(spark, tmp_root):
     assert versions.versions_in(spark, os.path.join(tmp_root, S.SILVER_TABLE)) == []
     log = spark.read.parquet(os.path.join(tmp_root, S.RUN_LOG_TABLE)).collect()
     assert len(log) == 1 and log[0]["resultado"] == "ATENCAO" and log[0]["run_id"] == "bad"
-    # the next run reuses version 0
-    ok = lakehouse.run(spark, read_transactions(spark, SF_SMALL), tmp_root, on_fail="raise",
-                       rules=quality.default_rules(min_rows=1000), now=NOW)
+    assert versions.versions_in(spark, os.path.join(tmp_root, S.BRONZE_TABLE)) == []
+    # a retry under the same run id (fixed data) reuses version 0 and replaces the log row
+    ok = lakehouse.run(spark, read_transactions(spark, SF_SMALL), tmp_root, run_id="bad",
+                       on_fail="raise", rules=quality.default_rules(min_rows=1000), now=NOW)
     assert ok.version == 0
+    log = spark.read.parquet(os.path.join(tmp_root, S.RUN_LOG_TABLE)).collect()
+    assert len(log) == 1 and log[0]["resultado"] == "OK"
+    # an existing version rewritten from an empty source is empty, not stale
+    empty = read_transactions(spark, SF_SMALL).limit(0)
+    lakehouse.run(spark, empty, tmp_root, version=0, rules=quality.default_rules(min_rows=0),
+                  now=NOW)
+    assert versions.read_as_of(spark, os.path.join(tmp_root, S.SILVER_TABLE), 0).count() == 0
+    assert ok.table(S.BRONZE_TABLE).count() == 0
 
 
 def test_landed_bronze_keeps_ingestion_time(spark, tmp_root):
@@ -130,8 +139,9 @@ def test_csv_source_and_catalog_names(spark, tmp_root):
     assert spark.table("fraud_db.bronze_transacoes").count() == 6000
     eff = spark.sql("SELECT * FROM fraud_db.gold_eficacia_risco ORDER BY taxa_fraude_pct DESC")
     assert eff.first()[S.LEVEL] == "CRITICO"
-    assert spark.table("fraud_db.silver_transacoes").filter("version = 0").count() == 6000
-    assert spark.table("fraud_db.silver_transacoes_versions").count() == 6000
+    assert spark.table("fraud_db.silver_transacoes").count() == 6000
+    assert "version" not in spark.table("fraud_db.silver_transacoes").columns
+    assert spark.table("fraud_db.silver_transacoes_versions").filter("version = 0").count() == 6000
     # a second run replaces what the plain names show
     lakehouse.run(spark, csv_dir, os.path.join(tmp_root, "lake"), database="fraud_db",
                   rules=quality.default_rules(min_rows=1000), now=NOW)
@@ -197,3 +207,17 @@ def test_bronze_versions_from_mixed_sources_read_together(spark, tmp_root):
     assert dict(all_b.dtypes)[S.FRAUD] == "double"
     assert spark.table("mix_db.silver_transacoes").filter(F.col(S.FRAUD).isNull()).count() == 49
     assert spark.table("mix_db.silver_transacoes_versions").count() == 18000
+
+
+def test_csv_files_with_different_headers_fail(spark, tmp_root):
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+
+    from fraudlake.sources.csv import read_csv
+
+    src = read_transactions(spark, SF_SMALL).limit(10)
+    path = os.path.join(tmp_root, "mixed")
+    write_csv(src.coalesce(1), os.path.join(path, "a"))
+    write_csv(src.select(*reversed(src.columns)).coalesce(1), os.path.join(path, "b"))
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_csv(spark, os.path.join(path, "*")).collect()
