@@ -99,6 +99,13 @@ def q_thresholds_means(spark, sf_dir, dirty=False):
                      F.round(S.MEAN_RATIO, 6).alias(S.MEAN_RATIO))
 
 
+def q_thresholds_means_exact(spark, sf_dir):
+    """Means as the default (exact) thresholds compute them: from bucket sums."""
+    th = _threshold_df(spark, sf_dir, False, exact=True)
+    return th.select(F.round(S.MEAN_HOME, 6).alias(S.MEAN_HOME),
+                     F.round(S.MEAN_RATIO, 6).alias(S.MEAN_RATIO))
+
+
 def q_silver_approx_levels(spark, sf_dir):
     return silver.level_distribution(silver_of(spark, sf_dir, exact=False))
 
@@ -303,6 +310,7 @@ def queries() -> dict[str, Query]:
         q.update(_both(name, fn))
     q.update({
         "thresholds_p95_approx": q_thresholds_p95_approx,
+        "thresholds_means_exact": q_thresholds_means_exact,
         "level_distribution_approx": q_silver_approx_levels,
         "preview_bronze": q_preview_bronze,
         "sql_report_effectiveness": partial(q_sql_report, name="effectiveness"),

@@ -535,6 +535,8 @@ def oracle_sql() -> dict[str, str]:
                                          list(S.SOURCE_COLUMNS)
                                          + [S.SOURCE_COL, S.VERSION_COL])
                              + " LIMIT 20"),
+        "thresholds_means_exact": _q(f"SELECT {sround(S.MEAN_HOME, 6)} AS {S.MEAN_HOME}, "
+                                     f"{sround(S.MEAN_RATIO, 6)} AS {S.MEAN_RATIO} FROM th"),
         "sql_report_effectiveness": _q(_effectiveness_select()),
         "sql_fraud_by_channel": _by_channel(False),
         "sql_top_confirmed_fraud": _top(False),
