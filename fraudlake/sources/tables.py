@@ -7,7 +7,9 @@ the same name is created.
 
 Versioned tables (Bronze, Silver, thresholds) live in ``<table>`` folders
 with ``version=N`` partitions; their plain name shows the latest version
-(a view) and ``<table>_versions`` shows all versions.
+(a view) and ``<table>_versions`` shows all versions. Temp views list their
+folders when they are registered (every run); catalog views list at query
+time only, so use a ``database`` for large, long-lived lakes.
 """
 
 from __future__ import annotations
