@@ -40,6 +40,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "first_shard", "last_shard")
 
 
+ORACLE_SQL: dict[str, str] = {}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op4_warc": op4_warc,
