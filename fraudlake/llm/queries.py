@@ -37,6 +37,13 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "component_id")
 
 
+def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removal of repeated 400-byte strings in all documents."""
+    from fraudlake.llm.suffix import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"), length=400, digest=True)
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WARC round trip of all pages."""
     from fraudlake.llm.warc import archive_pages
@@ -107,6 +114,7 @@ ORACLE_SQL: dict[str, str] = {}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
+    "op3_suffix": op3_suffix,
     "op4_warc": op4_warc,
     "op5_pii": op5_pii,
     "op6_ego": op6_ego,
