@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlake.llm.common import group_starts, scratch_path, staged, text_rows, whole_groups
+from fraudlake.llm.common import scratch_path, text_rows
 
 # Fixed values of the tokenizer file: contractions and word classes of its
 # split pattern. In texts of the plain alphabet below (ASCII and Latin letters
@@ -261,6 +261,21 @@ def join_pieces(ids: np.ndarray, table: list) -> str:
                      and (p := table[i]) is not None])
 
 
+def round_trip(docs: DataFrame, path: str, chunk_words: int = 4_000_000) -> DataFrame:
+    """(doc_id, n_tokens, ids array<int>, text), one row per document: its ids and
+    the text decoded from them. Rows are as in :func:`encode`."""
+    table = _piece_list(path)
+
+    def emit(own, flat, first, n):
+        ids = [gather(_places(p), flat, first, n) for p in own["places"]]
+        return pd.DataFrame({"doc_id": own["doc_id"], "n_tokens": [*map(len, ids)],
+                             "ids": [i.astype(np.int32) for i in ids],
+                             "text": [join_pieces(i, table) for i in ids]})
+
+    return _by_chunk(docs, path, chunk_words, emit,
+                     "doc_id long, n_tokens long, ids array<int>, text string")
+
+
 def round_trip_digests(docs: DataFrame, path: str, chunk_words: int = 4_000_000) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document: encoding
     and decoding as in :func:`encode` and :func:`decode`, without shipping the

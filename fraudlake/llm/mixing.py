@@ -249,7 +249,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = 1.5, limit: fl
 
 def taken_words(targets: DataFrame, draws: DataFrame) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken and
-    ``shards``, the number of its drawn blocks' first and last shard."""
+    the first and last shard that got a block of it."""
     per = draws.groupBy(*ROW, "copy").agg(
         F.sum("take").cast("long").alias("taken"), F.min("shard").alias("first_shard"),
         F.max("shard").alias("last_shard"))
@@ -266,13 +266,15 @@ def mixed_documents(docs: DataFrame, block_words: int = 32, **options) -> DataFr
     parts = draws.filter("take > 0").groupBy(*ROW, "copy", "pass").agg(
         F.sort_array(F.collect_list(F.struct("block", "take"))).alias("parts"),
         F.sum("take").alias("words"))
-    keyed = docs.withColumn("row_hash", F.xxhash64(*[docs[c] for c in docs.columns]))
-    keyed = keyed.dropDuplicates(["row_hash"]) if "row_hash" not in docs.columns else keyed
+    mark = "__mix_row_hash"
+    keyed = docs.withColumn(mark, F.xxhash64(*[docs[c] for c in docs.columns]))
+    keyed = keyed.dropDuplicates(["doc_id", mark])
     words = F.regexp_extract_all("d.text", F.lit(WORD), F.lit(0))
     text = F.when(F.col("p.words") == F.col("p.size"), F.col("d.text")).otherwise(
         F.array_join(F.flatten(F.transform("p.parts", lambda x: F.slice(
             words, x["block"] * block_words + 1, x["take"]))), " "))
-    out = keyed.alias("d").join(parts.alias("p"), F.expr("d.row_hash = p.row_hash")).select(
+    out = keyed.alias("d").join(parts.alias("p"), F.expr(
+        f"cast(d.doc_id as bigint) <=> p.doc_id AND d.{mark} = p.row_hash")).select(
         *[F.col(f"d.{c}") for c in docs.columns if c not in ("text", "n_chars")],
         text.alias("text"))
     if "n_chars" in docs.columns:

@@ -109,6 +109,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataF
     return round_trip_digests(_table(spark, sf_dir, "documents"), path)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline's result."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 ORACLE_SQL: dict[str, str] = {}
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -122,4 +129,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
+    "pipeline": pipeline,
 }
