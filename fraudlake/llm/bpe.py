@@ -139,6 +139,8 @@ def _encode_words(path: str):
         encoder = WordEncoder(path)
         last, ids = None, b""
         for batch in batches:
+            if not len(batch):
+                continue
             out = []
             for word in batch["word"]:
                 if word != last:  # sorted by word: each distinct one comes once

@@ -148,7 +148,8 @@ def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text in batch["text"]:
             if text:
                 counts.update(set(_WORD.findall(text.lower())))
-        yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
+        if counts:
+            yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
 
 
 def disclosure(docs: DataFrame, found: DataFrame, support: int) -> DataFrame:
