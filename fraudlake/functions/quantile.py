@@ -8,21 +8,22 @@ that finishes a global aggregate, and even ``percentile_approx`` merges every
 task's sketch in a single task. Here each pass is a *grouped* count instead:
 
 1. every value gets an order-preserving bucket key (sign class, then
-   ``floor(log2|x| * 16)``, i.e. 16 buckets per power of two); a ``groupBy``
-   of (column, key) with count / min / max is partially aggregated in each
-   task and finished in parallel by the reducers of a hash shuffle;
-2. the driver reads the bucket summaries (bounded by the number of possible
-   keys, typically a few hundred), finds the bucket holding rank ``k`` and
+   ``floor(log2|x| * OCTAVE_STEPS)``); a ``groupBy`` of (column, key) with
+   count / min / max is partially aggregated in each task and finished in
+   parallel by the reducers of a hash shuffle;
+2. the driver reads the bucket summaries (at most one row per possible key and
+   column, typically a few thousand), finds the bucket holding rank ``k`` and
    how many values lie below it;
-3. the next pass looks only at that bucket: if it holds one value, that is
-   the answer; if it holds at most ``max_band`` rows, they are grouped by
-   exact value (at most ``max_band`` summary rows); otherwise the bucket's
-   ``[min, max]`` is split into ``SPLIT`` equal sub-buckets and step 2 repeats.
-
-Counts are exact, so no pass is ever redone; each refinement divides the
-value range by ``SPLIT``, so a value repeated on a third of all rows ends up
-alone in its bucket and is returned without being collected. All columns are
-resolved in the same passes (one scan per pass). At sf0.1 this is two passes.
+3. if that bucket holds one value, it is the answer; otherwise the next pass
+   reads only the rows of the buckets still open (the range test is on the
+   plain columns, so it is pushed down to the scan), splits each
+   ``[min, max]`` into ``SPLIT`` equal sub-buckets, and step 2 repeats.
+
+Every pass is the same whatever the number of rows: it returns at most
+``SPLIT`` rows per open column after the first. Counts are exact, so no pass is
+ever redone; each refinement divides the value range by ``SPLIT``, so a value
+repeated on a third of all rows ends up alone in its bucket. All columns are
+resolved in the same passes (one scan per pass).
 """
 
 from __future__ import annotations
@@ -34,9 +35,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-OCTAVE_STEPS = 16  # log-scale buckets per power of two in the first pass
-SPLIT = 1024  # linear sub-buckets per refinement pass
-DEFAULT_MAX_BAND = 250_000  # most rows whose exact values are grouped in a pass
+OCTAVE_STEPS = 64  # log-scale buckets per power of two in the first pass
+SPLIT = 8192  # linear sub-buckets per refinement pass
 
 # Sign classes of the first-pass key, in value order.
 _NEG_INF, _NEG, _ZERO, _POS, _POS_INF, _NAN = range(6)
@@ -84,7 +84,6 @@ class _State:
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.95,
-                    max_band: int = DEFAULT_MAX_BAND,
                     ) -> tuple[dict[str, float | None], dict[str, float | None]]:
     """Exact discrete ``q`` quantile of each column, and its mean.
 
@@ -92,59 +91,64 @@ def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.95,
     a column without non-NULL values. The mean (NaN if any value is NaN, like
     ``avg``) comes from the first pass at no extra cost.
     """
-    pairs = [F.struct(F.lit(i).alias("cid"), F.col(c).cast("double").alias("x"))
-             for i, c in enumerate(columns)]
-    stacked = df.select(F.inline(F.array(*pairs))).filter(F.col("x").isNotNull())
     states = [_State(i) for i in range(len(columns))]
     cid, x = F.col("cid"), F.col("x")
-    first = True
-    while not all(st.done for st in states):
-        live = [st for st in states if not st.done]
-        if first:
-            rows, key = stacked, _log_key(x).cast("double")
-        else:
-            band, key = None, None
-            for st in live:
-                pred = (cid == st.cid) & (x >= F.lit(st.lo)) & (x <= F.lit(st.hi))
-                k = x if st.m <= max_band else _split_key(x, st.lo, st.hi).cast("double")
-                band = pred if band is None else band | pred
-                key = (F.when(cid == st.cid, k) if key is None
-                       else key.when(cid == st.cid, k))
-            rows = stacked.filter(band)
-        summary = (rows.groupBy(cid.alias("cid"), key.alias("key"))
-                   .agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"),
-                        F.max(x).alias("hi"), F.sum(x).alias("s"))
-                   .collect())  # bounded: one row per (column, bucket)
-        per_col: dict[int, list] = {st.cid: [] for st in live}
-        for r in summary:
-            per_col[r["cid"]].append(r)
+
+    def summary(rows: DataFrame, live: list[_State], key: Column) -> dict[int, list]:
+        """Bucket summaries of the live columns, stacked; bounded: one row per
+        (column, bucket)."""
+        pairs = [F.struct(F.lit(st.cid).alias("cid"),
+                          F.col(columns[st.cid]).cast("double").alias("x")) for st in live]
+        stacked = rows.select(F.inline(F.array(*pairs))).filter(x.isNotNull())
+        out: dict[int, list] = {st.cid: [] for st in live}
+        for r in (stacked.select("cid", "x", key.cast("double").alias("key"))
+                  .filter(F.col("key").isNotNull()).groupBy("cid", "key")
+                  .agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"),
+                       F.max(x).alias("hi"), F.sum(x).alias("s")).collect()):
+            out[r["cid"]].append(r)
+        return out
+
+    for st, rows in zip(states, summary(df, states, _log_key(x)).values()):
+        n = sum(r["n"] for r in rows)
+        if n == 0:
+            st.done = True
+            continue
+        st.k, st.m = target_rank(q, n), n
+        try:
+            st.mean = math.fsum(r["s"] for r in rows) / n
+        except (ValueError, OverflowError):  # inf - inf, or overflow
+            st.mean = sum(r["s"] for r in rows) / n
+        _descend(st, rows)
+    while live := [st for st in states if not st.done]:
+        # The band is tested on the base columns, so the scan can skip rows;
+        # stacked values outside their own column's band get no key.
+        band, key = None, None
+        for st in live:
+            lo, hi = F.lit(st.lo), F.lit(st.hi)
+            inside = F.col(columns[st.cid]).between(lo, hi)
+            band = inside if band is None else band | inside
+            part = F.when((cid == st.cid) & x.between(lo, hi), _split_key(x, st.lo, st.hi))
+            key = part if key is None else F.coalesce(key, part)
+        found = summary(df.filter(band), live, key)
         for st in live:
-            buckets = sorted(per_col[st.cid], key=lambda r: r["key"])
-            by_value = not first and st.m <= max_band
-            if not first and sum(r["n"] for r in buckets) != st.m:
+            if sum(r["n"] for r in found[st.cid]) != st.m:
                 raise RuntimeError(
                     "input changed between passes (non-deterministic plan?); "
                     "write it to a table or checkpoint() it first")
-            if first:
-                n = sum(r["n"] for r in buckets)
-                if n == 0:
-                    st.done = True
-                    continue
-                st.k = target_rank(q, n)
-                try:
-                    st.mean = math.fsum(r["s"] for r in buckets) / n
-                except (ValueError, OverflowError):  # inf - inf, or overflow
-                    st.mean = sum(r["s"] for r in buckets) / n
-            seen = st.below
-            for r in buckets:
-                if seen + r["n"] >= st.k:
-                    break
-                seen += r["n"]
-            lo, hi = r["lo"], r["hi"]
-            if by_value or lo == hi or math.isnan(lo) or math.isinf(lo):
-                st.done, st.answer = True, float(lo)
-            else:
-                st.lo, st.hi, st.below, st.m = lo, hi, seen, r["n"]
-        first = False
+            _descend(st, found[st.cid])
     return ({c: states[i].answer for i, c in enumerate(columns)},
             {c: states[i].mean for i, c in enumerate(columns)})
+
+
+def _descend(st: _State, buckets: list) -> None:
+    """Move ``st`` into the bucket that holds its rank, or end at its value."""
+    seen = st.below
+    for r in sorted(buckets, key=lambda r: r["key"]):
+        if seen + r["n"] >= st.k:
+            break
+        seen += r["n"]
+    lo, hi = r["lo"], r["hi"]
+    if lo == hi or math.isnan(lo) or math.isinf(lo):
+        st.done, st.answer = True, float(lo)
+    else:
+        st.lo, st.hi, st.below, st.m = lo, hi, seen, r["n"]

@@ -14,14 +14,16 @@ here and in DuckDB for the test oracle.
 
 from __future__ import annotations
 
+import datetime as _dt
 import string
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudlake import schema as S
+from fraudlake.sources.csv import with_corrupt_column
 
 # Statistics: name -> SQL aggregate over the table it belongs to.
 BRONZE_STATS = {"n_bronze": "count(*)"}
@@ -59,6 +61,7 @@ class Rule:
     alert: str | None = None
     bronze_stats: tuple[tuple[str, str], ...] = ()  # extra Bronze aggregates it needs
     silver_stats: tuple[tuple[str, str], ...] = ()  # extra Silver aggregates it needs
+    timed: Callable[[_dt.datetime], Rule] | None = None  # the rule as of a run's time
 
 
 def default_rules(min_rows: int = 100_000, fraud_rate_min: float = 0.5,
@@ -102,14 +105,33 @@ def extra_rules(max_critical_pct: float = 5.0) -> list[Rule]:
     ]
 
 
-def freshness_rule(max_age_hours: float, check_id: int = 10) -> Rule:
-    """Stale-data check: newest Bronze ingestion at most ``max_age_hours`` old."""
-    age = (f"(unix_micros(current_timestamp()) - unix_micros(max({S.INGEST_TS})))"
-           " / CAST(3600000000 AS DOUBLE)")
+def freshness_rule(max_age_hours: float, check_id: int = 10,
+                   now: _dt.datetime | None = None) -> Rule:
+    """Stale-data check: newest Bronze ingestion at most ``max_age_hours`` before
+    ``now`` (a run fills in its own time; else the time of the query)."""
+    if now is None:
+        at = "unix_micros(current_timestamp())"
+    else:
+        at = str(round(now.replace(tzinfo=now.tzinfo or _dt.timezone.utc).timestamp() * 1e6))
+    age = f"({at} - unix_micros(max({S.INGEST_TS}))) / CAST(3600000000 AS DOUBLE)"
     return Rule(check_id, "bronze_freshness", f"age_hours <= {max_age_hours!r}",
                 S.STATUS_WARN, "{age_hours:.2f} h since last ingestion",
                 "Bronze is stale: {age_hours:.2f} h since last ingestion",
-                (("age_hours", age),))
+                (("age_hours", age),), timed=lambda t: freshness_rule(max_age_hours, check_id, t))
+
+
+def malformed_rule(max_rows: int = 0, check_id: int = 11) -> Rule:
+    """Source rows with a value or a field count that could not be read, in any of
+    the eight columns: at most ``max_rows``."""
+    return Rule(check_id, "source_rows_readable", f"malformed <= {max_rows}", S.STATUS_FAIL,
+                "{malformed} malformed source rows",
+                "{malformed} source rows could not be read whole",
+                (("malformed", f"count_if({S.CORRUPT_COL} IS NOT NULL)"),))
+
+
+def at_time(rules: Sequence[Rule], now: _dt.datetime) -> list[Rule]:
+    """``rules`` with those that depend on the time held against ``now``."""
+    return [r.timed(now) if r.timed else r for r in rules]
 
 
 REPORT_COLUMNS = ("check_id", "check", "status", "detail", "alert")
@@ -145,7 +167,7 @@ def bronze_statistics(bronze: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     b_stats = dict(BRONZE_STATS)
     for r in rules:
         b_stats.update(dict(r.bronze_stats))
-    return bronze.agg(*[F.expr(e).alias(k) for k, e in b_stats.items()])
+    return with_corrupt_column(bronze).agg(*[F.expr(e).alias(k) for k, e in b_stats.items()])
 
 
 def silver_statistics(silver: DataFrame) -> DataFrame:

@@ -150,41 +150,49 @@ def fraud_profile(silver: DataFrame) -> DataFrame:
 # The same reports as SQL text over named tables (``spark.sql``).
 # ---------------------------------------------------------------------------
 
-def _label_sql() -> str:
-    return ",\n               ".join(
-        f"CASE WHEN {src} = 1 THEN '{yes}' ELSE '{no}' END AS {name}"
-        for name, src, yes, no in S.CHANNEL_LABELS)
+def _channel_names() -> str:
+    return ", ".join(f"if(g.{src} = 1, '{yes}', '{no}') AS {name}"
+                     for name, src, yes, no in S.CHANNEL_LABELS)
 
 
+_CHANNEL_KEYS = ", ".join(src for _, src, _, _ in S.CHANNEL_LABELS)
+
+# Aggregates run on the raw keys, labels and rounding on the few grouped rows.
 REPORT_SQL = {
-    "effectiveness": "SELECT * FROM {gold_effectiveness} ORDER BY taxa_fraude_pct DESC",
+    "effectiveness": f"""
+        FROM {{gold_effectiveness}}
+        SELECT {S.LEVEL}, total_transacoes, fraudes_reais, taxa_fraude_pct, dist_media_casa,
+               ratio_medio
+        ORDER BY taxa_fraude_pct DESC, {S.LEVEL}""",
     "by_channel": f"""
-        SELECT {_label_sql()},
-               COUNT(*) AS total,
-               CAST(SUM({S.FRAUD}) AS BIGINT) AS fraudes,
-               ROUND(AVG({S.FRAUD}) * 100, 2) AS taxa_fraude_pct
-        FROM {{silver}}
-        GROUP BY {S.ONLINE}, {S.USED_CHIP}, {S.USED_PIN}
-        ORDER BY taxa_fraude_pct DESC""",
+        WITH g AS (
+          SELECT {_CHANNEL_KEYS}, count(*) AS n, sum({S.FRAUD}) AS hits, count({S.FRAUD}) AS known
+          FROM {{silver}} GROUP BY {_CHANNEL_KEYS})
+        SELECT {_channel_names()}, g.n AS total, bigint(g.hits) AS fraudes,
+               round(g.hits / g.known * 100, 2) AS taxa_fraude_pct
+        FROM g ORDER BY taxa_fraude_pct DESC, canal, chip, pin, total""",
     "top_confirmed": f"""
-        SELECT {S.SCORE}, {S.LEVEL},
-               ROUND({S.DISTANCE_HOME}, 1) AS dist_casa_km,
-               ROUND({S.RATIO}, 1) AS ratio_valor,
-               {S.ONLINE}, {S.USED_CHIP}, {S.USED_PIN}
-        FROM {{gold_alerts}}
-        WHERE {S.FRAUD} = 1
-        ORDER BY {S.SCORE} DESC, {S.DISTANCE_HOME} DESC NULLS LAST,
-                 {S.RATIO} DESC NULLS LAST, {S.DISTANCE_LAST} DESC NULLS LAST,
-                 {S.ONLINE} NULLS LAST, {S.USED_CHIP} NULLS LAST,
-                 {S.USED_PIN} NULLS LAST, {S.REPEAT_RETAILER} NULLS LAST
-        LIMIT 20""",
-    "history": "SELECT * FROM {run_log} ORDER BY timestamp_execucao DESC",
+        WITH best AS (
+          SELECT * FROM {{gold_alerts}} WHERE {S.FRAUD} = 1
+          ORDER BY {S.SCORE} DESC,
+                   {', '.join(f'{c} DESC NULLS LAST' for c in (S.DISTANCE_HOME, S.RATIO,
+                                                               S.DISTANCE_LAST))},
+                   {', '.join(f'{c} NULLS LAST' for c in (S.ONLINE, S.USED_CHIP, S.USED_PIN,
+                                                          S.REPEAT_RETAILER))}
+          LIMIT {{k}})
+        SELECT {S.SCORE}, {S.LEVEL}, round({S.DISTANCE_HOME}, 1) AS dist_casa_km,
+               round({S.RATIO}, 1) AS ratio_valor, {_CHANNEL_KEYS}
+        FROM best""",
+    "history": f"""
+        FROM {{run_log}} SELECT * EXCEPT ({S.LOG_WRITTEN})
+        ORDER BY timestamp_execucao DESC, {S.RUN_ID}""",
 }
 
 
-def sql_report(spark: SparkSession, name: str, **tables: str) -> DataFrame:
-    """Run one of :data:`REPORT_SQL` with table names (or temp views) filled in."""
-    return spark.sql(REPORT_SQL[name].format(**tables))
+def sql_report(spark: SparkSession, name: str, k: int = 20, **tables: str) -> DataFrame:
+    """Run one of :data:`REPORT_SQL` with table names (or temp views) filled in;
+    ``k`` is the number of rows of the top report."""
+    return spark.sql(REPORT_SQL[name].format(k=int(k), **tables))
 
 
 # Short names used in the operator inventory.

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from fraudlake import schema as S
 from fraudlake.functions import risk
-from fraudlake.functions.quantile import DEFAULT_MAX_BAND, exact_quantiles
+from fraudlake.functions.quantile import exact_quantiles
 
 
 def typed(df: DataFrame, strict: bool = True) -> DataFrame:
@@ -45,16 +45,15 @@ def typed(df: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def threshold_values(df: DataFrame, p: float = S.DEFAULT_PERCENTILE,
-                     max_band: int = DEFAULT_MAX_BAND) -> dict[str, float | None]:
+                     ) -> dict[str, float | None]:
     """Exact thresholds and means as Python numbers (a few grouped jobs run now)."""
-    q, mean = exact_quantiles(df, list(S.MEASURES), p, max_band)
+    q, mean = exact_quantiles(df, list(S.MEASURES), p)
     values = [q[m] for m in S.MEASURES] + [mean[S.DISTANCE_HOME], mean[S.RATIO]]
     return {f.name: v for f, v in zip(S.THRESHOLDS_SCHEMA.fields, values)}
 
 
 def thresholds(df: DataFrame, p: float = S.DEFAULT_PERCENTILE,
-               accuracy: int = S.DEFAULT_ACCURACY, exact: bool = True,
-               max_band: int = DEFAULT_MAX_BAND) -> DataFrame:
+               accuracy: int = S.DEFAULT_ACCURACY, exact: bool = True) -> DataFrame:
     """One row: the ``p`` quantile of the three measures and two means.
 
     ``exact=True`` (default) gives the discrete quantile (smallest value with
@@ -69,7 +68,7 @@ def thresholds(df: DataFrame, p: float = S.DEFAULT_PERCENTILE,
               for m, t in zip(S.MEASURES, S.THRESHOLD_COLUMNS)],
             F.avg(S.DISTANCE_HOME).alias(S.MEAN_HOME), F.avg(S.RATIO).alias(S.MEAN_RATIO),
         )
-    values = threshold_values(df, p, max_band)
+    values = threshold_values(df, p)
     return df.sparkSession.range(1).select(
         *[F.lit(v).cast("double").alias(k) for k, v in values.items()])
 
@@ -120,6 +119,20 @@ def flag_prevalence(silver: DataFrame, flags: Sequence[str] = S.BASE_FLAGS) -> D
                        risk.pct(F.col("quantidade"), F.col("_n"), 1).alias("percentual"))
 
 
+def rank_within(df: DataFrame, values: DataFrame, p: float = S.DEFAULT_PERCENTILE,
+                accuracy: int = S.DEFAULT_ACCURACY) -> DataFrame:
+    """One row of booleans: does each threshold of the one-row ``values`` hold the
+    ``p`` quantile within the sketch's rank error of ``1 / accuracy`` (plus one
+    row for the rounding of the target rank)?"""
+    out = []
+    for m, t in zip(S.MEASURES, S.THRESHOLD_COLUMNS):
+        v, n = values.select(t).scalar(), F.count(m)
+        slack = n / F.lit(float(accuracy)) + 1
+        out.append(((F.count_if(F.col(m) <= v) >= n * p - slack)
+                    & (F.count_if(F.col(m) < v) <= n * p + slack)).alias(t))
+    return df.agg(*out)
+
+
 def level_distribution(silver: DataFrame) -> DataFrame:
     """Rows per risk level, most frequent first."""
     return (silver.groupBy(S.LEVEL).agg(F.count(F.lit(1)).alias("quantidade"))

@@ -1,20 +1,25 @@
 """Versioned snapshots: each write is partition ``version=N`` of one folder.
 
+A version is written by Spark's dynamic partition overwrite: files are staged
+and replace the partition when the job commits, so a job that dies half-way
+leaves the old rows as they were, and a version may be rebuilt from its own
+rows. An empty frame replaces the version by an empty one.
+
 A tiny manifest (``<path>/_versions``, skipped by Spark's file listing
-because of the leading underscore) records the versions written, so finding
-the next or latest version reads a handful of rows instead of listing every
-data file. Reading "as of" a version lists and reads only that version's
-folder. Rewriting a version replaces only its folder, so a backfill or a
-retried job is idempotent.
+because of the leading underscore) records number, rows and time of every
+write; versions and history are read from it, without touching a data file.
+Reading "as of" a version lists and reads only that version's folder.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fraudlake import schema as S
 
@@ -26,19 +31,23 @@ def manifest_path(path: str) -> str:
     return f"{path.rstrip('/')}/{MANIFEST}"
 
 
-def versions_in(spark: SparkSession, path: str) -> list[int]:
-    """Versions written under ``path`` (from the manifest; else from the listing)."""
+MANIFEST_SCHEMA = T.StructType([T.StructField(V, T.IntegerType()),
+                                T.StructField("linhas", T.LongType()),
+                                T.StructField("escrito_em", T.TimestampType())])
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame | None:
+    """(version, linhas, escrito_em) of every write, or None before the first."""
     try:
-        rows = spark.read.parquet(manifest_path(path)).select(V).distinct().collect()
-        return sorted(r[V] for r in rows)
-    except AnalysisException:
-        pass
-    try:  # folders written without a manifest
-        files = spark.read.parquet(path).inputFiles()
+        return spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path(path))
     except AnalysisException:
-        return []
-    marker = f"/{V}="
-    return sorted({int(f.split(marker, 1)[1].split("/", 1)[0]) for f in files if marker in f})
+        return None
+
+
+def versions_in(spark: SparkSession, path: str) -> list[int]:
+    """Versions written under ``path``, as the manifest records them."""
+    rows = manifest(spark, path)
+    return [] if rows is None else sorted(r[V] for r in rows.select(V).distinct().collect())
 
 
 def latest_version(spark: SparkSession, path: str) -> int | None:
@@ -51,43 +60,44 @@ def next_version(spark: SparkSession, path: str) -> int:
     return 0 if last is None else last + 1
 
 
-def write_snapshot(df: DataFrame, path: str, version: int | None = None) -> int:
+def replace_partition(df: DataFrame, path: str, column: str, value: int | str) -> int:
+    """Replace partition ``column=value`` of the folder by ``df``; returns its rows.
+
+    The partition changes only when the job commits: until then, and for good
+    if the job dies, readers see the old rows.
+    """
+    seen = Observation()
+    rows = df.drop(column).observe(seen, F.count(F.lit(1)).alias("n"))
+    (rows.withColumn(column, F.lit(value)).write.mode("overwrite").partitionBy(column)
+     .option("partitionOverwriteMode", "dynamic").parquet(path.rstrip("/")))
+    n = seen.get["n"]
+    if not n:  # no row, no partition to replace: leave an empty one
+        (df.sparkSession.createDataFrame([], df.drop(column).schema).write.mode("overwrite")
+         .parquet(f"{path.rstrip('/')}/{column}={value}"))
+    return n
+
+
+def write_snapshot(df: DataFrame, path: str, version: int | None = None,
+                   now: _dt.datetime | None = None) -> int:
     """Write ``df`` as version ``version`` (default: latest + 1); returns it.
 
-    The version is written into its own ``version=N`` folder (replacing it;
-    an empty ``df`` leaves an empty version, not the old rows) and then
-    recorded in the manifest. One writer at a time is assumed.
+    ``now`` is the time recorded for the write. One writer at a time is assumed.
     """
     spark = df.sparkSession
-    found = versions_in(spark, path)
-    if found and not _has_manifest(spark, path):
-        _record(spark, path, found)  # folder written before manifests existed
-    v = (found[-1] + 1 if found else 0) if version is None else int(version)
-    df.drop(V).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{V}={v}")
-    _record(spark, path, [v])
+    v = next_version(spark, path) if version is None else int(version)
+    n = replace_partition(df, path, V, v)
+    at = now or _dt.datetime.now(_dt.timezone.utc)
+    (spark.createDataFrame([(v, n, at)], MANIFEST_SCHEMA).coalesce(1)
+     .write.mode("append").parquet(manifest_path(path)))
     return v
 
 
-def _has_manifest(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(manifest_path(path)).schema  # noqa: B018
-        return True
-    except AnalysisException:
-        return False
-
-
-def _record(spark: SparkSession, path: str, vs: list[int]) -> None:
-    rows = spark.range(len(vs)).select(
-        F.element_at(F.array(*[F.lit(int(v)) for v in vs]), (F.col("id") + 1).cast("int"))
-        .alias(V), F.current_timestamp().alias("escrito_em"))
-    rows.write.mode("append").parquet(manifest_path(path))
-
-
-def read_as_of(spark: SparkSession, path: str, version: int) -> DataFrame:
-    """The snapshot at ``version`` without the version column (one folder read)."""
-    base = path.rstrip("/")
-    return (spark.read.option("basePath", base).parquet(f"{base}/{V}={int(version)}")
-            .drop(V))
+def read_as_of(spark: SparkSession, path: str, version: int,
+               schema: T.StructType | None = None) -> DataFrame:
+    """The snapshot at ``version`` without the version column (one folder read).
+    A known ``schema`` saves the job that reads it from a file."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{path.rstrip('/')}/{V}={int(version)}")
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
@@ -97,34 +107,46 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
     return read_as_of(spark, path, last)
 
 
-def snapshot_history(spark: SparkSession, path: str, ts_col: str = S.SILVER_TS) -> DataFrame:
-    """Per version: row count and write time (from the row timestamps)."""
-    df = spark.read.parquet(path)
-    aggs = [F.count(F.lit(1)).alias("linhas")]
-    if ts_col in df.columns:
-        aggs.append(F.min(ts_col).alias("escrito_em"))
-    return df.groupBy(V).agg(*aggs).orderBy(V)
+def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
+    """Per version: rows and time of its last write, from the manifest alone."""
+    rows = manifest(spark, path)
+    if rows is None:
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return (rows.groupBy(V).agg(F.max_by("linhas", "escrito_em").alias("linhas"),
+                                F.max("escrito_em").alias("escrito_em")).orderBy(V))
+
+
+def _digest(columns: Sequence[str]) -> list:
+    """128 bits of a row: two 64-bit hashes of its values and of where it is NULL
+    (hashes skip NULLs)."""
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in columns])
+    return [F.xxhash64(nulls, *columns).alias("_h1"),
+            F.xxhash64(*reversed(list(columns)), nulls, F.lit("second")).alias("_h2")]
 
 
 def snapshot_diff(spark: SparkSession, path: str, a: int, b: int,
                   exclude: Sequence[str] = S.TIME_COLUMNS) -> DataFrame:
     """Row counts of two versions and rows only in one of them (as multisets).
 
-    One aggregate over both partitions grouped on every data column; the
-    partial aggregation collapses repeated rows before the shuffle, so a
-    value repeated on a third of all rows costs one row per task.
+    One aggregate over both versions, grouped on a 128-bit digest of the data
+    columns: 16 bytes a row are shuffled instead of every column, and repeated
+    rows collapse before, so a value repeated on a third of all rows costs one
+    row per task. Two different rows of ``n`` share a digest with a chance of
+    about ``n * n / 2**129`` (one in 10**14 for 10**12 rows).
     """
-    df = spark.read.parquet(path).filter(F.col(V).isin(int(a), int(b)))
-    cols = [c for c in df.columns if c != V and c not in exclude]
-    in_a = (F.col(V) == int(a)).cast("long")
-    in_b = (F.col(V) == int(b)).cast("long")
-    per_row = df.groupBy(*cols).agg(F.sum(in_a).alias("_a"), F.sum(in_b).alias("_b"))
+    one, two = read_as_of(spark, path, a), read_as_of(spark, path, b)
+    if set(one.columns) != set(two.columns):
+        raise ValueError("the versions have different columns")
+    cols = sorted(c for c in one.columns if c not in exclude)
+    sides = (one.select(*_digest(cols), F.lit(1).alias("_a"), F.lit(0).alias("_b"))
+             .unionAll(two.select(*_digest(cols), F.lit(0).alias("_a"), F.lit(1).alias("_b"))))
+    per_row = sides.groupBy("_h1", "_h2").agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+
+    def total(x: F.Column, name: str) -> F.Column:
+        return F.coalesce(F.sum(x), F.lit(0)).cast("long").alias(name)
+
     return per_row.agg(
         F.lit(int(a)).alias("versao_a"), F.lit(int(b)).alias("versao_b"),
-        F.coalesce(F.sum("_a"), F.lit(0)).cast("long").alias("linhas_a"),
-        F.coalesce(F.sum("_b"), F.lit(0)).cast("long").alias("linhas_b"),
-        F.coalesce(F.sum(F.greatest(F.col("_a") - F.col("_b"), F.lit(0))), F.lit(0))
-         .cast("long").alias("so_em_a"),
-        F.coalesce(F.sum(F.greatest(F.col("_b") - F.col("_a"), F.lit(0))), F.lit(0))
-         .cast("long").alias("so_em_b"),
-    )
+        total(F.col("_a"), "linhas_a"), total(F.col("_b"), "linhas_b"),
+        total(F.greatest(F.col("_a") - F.col("_b"), F.lit(0)), "so_em_a"),
+        total(F.greatest(F.col("_b") - F.col("_a"), F.lit(0)), "so_em_b"))

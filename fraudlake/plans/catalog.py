@@ -4,7 +4,7 @@ Every query reads the ``lineitem`` parquet under ``sf_dir`` (whole table),
 maps it to card transactions (clean, or ``_dirty`` with NULLs and negative
 values), and runs one operator of the library on it. Thresholds are exact
 (discrete 95th percentile) so that an independent SQL engine can reproduce
-every row; ``*_approx`` keys use the default sketch instead.
+every row; ``*_approx`` keys hold the sketch's values against its rank error.
 
 Time columns are left out of row outputs, and queries that write (CSV,
 snapshots, run log) write to a fresh folder under ``spark.checkpoint.dir``.
@@ -12,16 +12,19 @@ snapshots, run log) write to a fresh folder under ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import datetime as _dt
+import zlib
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fraudlake import schema as S
 from fraudlake.operators import exercises, gold, profile, quality, reports, runlog, silver
 from fraudlake.operators import versions
 from fraudlake.operators.bronze import add_control_columns
+from fraudlake.plans import lakehouse
 from fraudlake.session import scratch_path
 from fraudlake.sources.csv import read_csv, write_csv
 from fraudlake.sources.fixtures import read_transactions
@@ -89,7 +92,9 @@ def q_thresholds_p95(spark, sf_dir, dirty=False):
 
 
 def q_thresholds_p95_approx(spark, sf_dir):
-    return _threshold_df(spark, sf_dir, False, exact=False).select(*S.THRESHOLD_COLUMNS)
+    """Whether each sketch threshold is within the sketch's rank error."""
+    t = silver.typed(bronze_of(spark, sf_dir))
+    return silver.rank_within(t, silver.thresholds(t, exact=False))
 
 
 def q_thresholds_means(spark, sf_dir, dirty=False):
@@ -107,7 +112,14 @@ def q_thresholds_means_exact(spark, sf_dir):
 
 
 def q_silver_approx_levels(spark, sf_dir):
-    return silver.level_distribution(silver_of(spark, sf_dir, exact=False))
+    """Per level: is its count with sketch thresholds within the rows that three
+    thresholds, each off by a rank error of 1 / accuracy, can move?"""
+    exact = silver.level_distribution(silver_of(spark, sf_dir))
+    approx = silver.level_distribution(silver_of(spark, sf_dir, exact=False))
+    slack = exact.select(F.sum("quantidade") * 3.0 / S.DEFAULT_ACCURACY + 3).scalar()
+    both = exact.join(approx.withColumnRenamed("quantidade", "n"), S.LEVEL, "full")
+    gap = F.abs(F.coalesce("quantidade", F.lit(0)) - F.coalesce("n", F.lit(0)))
+    return both.select(S.LEVEL, (gap <= slack).alias("dentro_da_margem"))
 
 
 # ---------------------------------------------------------------------------
@@ -126,6 +138,11 @@ def q_profile_describe(spark, sf_dir, dirty=False):
     return profile.describe_long(bronze_of(spark, sf_dir, dirty), list(S.SOURCE_COLUMNS))
 
 
+def q_profile_describe_text(spark, sf_dir):
+    """``describe`` of the text columns: count, mean, stddev, min, max as text."""
+    return profile.describe(bronze_of(spark, sf_dir).select(S.SOURCE_COL, S.VERSION_COL))
+
+
 def q_preview_bronze(spark, sf_dir):
     return profile.preview(_no_time(bronze_of(spark, sf_dir)), 20, ordered=True)
 
@@ -173,7 +190,7 @@ def q_top_confirmed_fraud(spark, sf_dir, dirty=False):
 def _views(spark: SparkSession, sf_dir: str, dirty: bool) -> dict[str, str]:
     """Silver, Gold effectiveness and alerts as uniquely named temp views."""
     s = silver_of(spark, sf_dir, dirty)
-    tag = "_".join(["fl", "dirty" if dirty else "clean", hex(abs(hash(sf_dir)))[2:10]])
+    tag = "_".join(["fl", "dirty" if dirty else "clean", f"{zlib.crc32(sf_dir.encode()):08x}"])
     names = {"silver": f"{tag}_silver", "gold_effectiveness": f"{tag}_gold_eff",
              "gold_alerts": f"{tag}_gold_alerts"}
     s.createOrReplaceTempView(names["silver"])
@@ -224,15 +241,81 @@ def q_notification_payload(spark, sf_dir):
     return runlog.payload(rep, gold.metrics(s), ts=run_ts())
 
 
-def q_run_log_history(spark, sf_dir):
-    """Two runs (clean, then dirty) appended to a fresh log; the second run is
-    appended twice to show the run-id guard keeps the log free of repeats."""
+def _logged(spark, sf_dir) -> TableStore:
+    """A log of three runs: run ids stay text, and a repeated id counts once."""
     store = TableStore(spark, scratch_path(spark, "lake"))
-    for i, (dirty, run_id) in enumerate(((False, "run-1"), (True, "run-2"), (True, "run-2"))):
+    for i, (dirty, run_id) in enumerate(((False, "007"), (True, "7"), (False, "2026-01-01"),
+                                         (True, "7"))):
         rep, s = _report(spark, sf_dir, dirty)
-        entry = runlog.log_entry(rep, gold.metrics(s), ts=run_ts(i), run_id=run_id)
-        store.append_once(entry, S.RUN_LOG_TABLE, S.RUN_ID)
-    return reports.run_history(store.read(S.RUN_LOG_TABLE))
+        store.append_log(runlog.log_entry(rep, gold.metrics(s), ts=run_ts(i), run_id=run_id))
+    return store
+
+
+def q_run_log_history(spark, sf_dir):
+    return reports.run_history(_logged(spark, sf_dir).read_log()).drop(S.LOG_WRITTEN)
+
+
+def q_sql_run_history(spark, sf_dir):
+    store = _logged(spark, sf_dir)
+    return reports.sql_report(spark, "history", run_log=store.name(S.RUN_LOG_TABLE))
+
+
+# ---------------------------------------------------------------------------
+# What a whole run writes
+# ---------------------------------------------------------------------------
+
+RUN_NOW = _dt.datetime.fromisoformat(RUN_TIME).replace(tzinfo=_dt.timezone.utc)
+
+
+def _run(spark, sf_dir, dirty=False, **options) -> lakehouse.RunResult:
+    options.setdefault("root", scratch_path(spark, "lake"))
+    return lakehouse.run(spark, read_transactions(spark, sf_dir, dirty), now=RUN_NOW,
+                         rules=quality.default_rules(min_rows=MIN_ROWS), **options)
+
+
+def q_bronze_stored(spark, sf_dir):
+    """Stored Bronze of the dirty feed: raw doubles, control columns."""
+    return _run(spark, sf_dir, True).bronze().drop(S.INGEST_TS)
+
+
+def q_stored(spark, sf_dir, table):
+    """A table that a run over the dirty feed wrote."""
+    return _run(spark, sf_dir, True, run_id="r").table(table)
+
+
+def q_stored_silver_time(spark, sf_dir):
+    """Rows and time of the Silver that a run wrote, and whether every file is
+    sorted by score."""
+    s = _run(spark, sf_dir).silver()
+    place = F.monotonically_increasing_id()  # rows of a file in their stored order
+    pairs = s.select(S.SCORE, S.SILVER_TS, F.input_file_name().alias("f"), place.alias("i"))
+    before = F.max(S.SCORE).over(Window.partitionBy("f").orderBy("i")
+                                 .rowsBetween(Window.unboundedPreceding, -1))
+    down = (F.col(S.SCORE) < F.coalesce(before, F.lit(0))).cast("int")
+    return pairs.withColumn("down", down).agg(
+        F.count(F.lit(1)).alias("linhas"), F.min(S.SILVER_TS).cast("string").alias("desde"),
+        F.max(S.SILVER_TS).cast("string").alias("ate"),
+        (F.sum("down") == 0).alias("ordenado"))
+
+
+def q_backfill_from_bronze(spark, sf_dir):
+    """Silver version 0, rebuilt from its own stored Bronze after version 1."""
+    root = scratch_path(spark, "lake")
+    _run(spark, sf_dir, False, root=root)
+    _run(spark, sf_dir, True, root=root)
+    (again,) = lakehouse.backfill(spark, {0: None}, root, now=RUN_NOW,
+                                  rules=quality.default_rules(min_rows=MIN_ROWS))
+    return _no_time(again.silver())
+
+
+def q_gate_blocked_log(spark, sf_dir):
+    """The log row of a run that the gate stopped (the dirty feed)."""
+    root = scratch_path(spark, "lake")
+    try:
+        _run(spark, sf_dir, True, root=root, run_id="stopped", on_fail="raise")
+    except lakehouse.QualityGateError:
+        pass
+    return TableStore(spark, root).read_log().drop(S.LOG_WRITTEN)
 
 
 # ---------------------------------------------------------------------------
@@ -261,14 +344,39 @@ def q_csv_source_roundtrip(spark, sf_dir):
     """Transactions written as CSV, read back with the CSV source, then typed."""
     path = scratch_path(spark, "card_transdata_csv")
     write_csv(read_transactions(spark, sf_dir), path)
-    return silver.typed(read_csv(spark, path))
+    return silver.typed(read_csv(spark, path)).drop(S.CORRUPT_COL)
+
+
+def q_csv_malformed_rows(spark, sf_dir):
+    """A CSV with unreadable values and with rows of nine and of two fields, by
+    the order key: every row is kept with its text, and counted by kind."""
+    line = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    fields = [F.col("l_extendedprice") / 1000.0, F.lit(0.5), F.lit(1.5), F.lit(1), F.lit(0),
+              F.lit(1), F.lit(0), F.lit(0)]
+    fields = [f.cast("string") for f in fields]
+    key = F.col("l_orderkey")
+    text = (F.when(key % 97 == 0, F.concat_ws(",", *fields[:4], F.lit("abc"), *fields[5:]))
+            .when(key % 89 == 0, F.concat_ws(",", *fields, F.lit("9")))
+            .when(key % 83 == 0, F.concat_ws(",", *fields[:2]))
+            .otherwise(F.concat_ws(",", *fields)))
+    path = scratch_path(spark, "malformed_csv")
+    (line.select(text.alias(",".join(S.SOURCE_COLUMNS))).write.option("header", True)
+     .option("quote", "").option("sep", "\x01").csv(path))
+    rows, bad = read_csv(spark, path), F.col(S.CORRUPT_COL)
+    n_fields = F.size(F.split(bad, ","))
+    return rows.agg(
+        F.count(F.lit(1)).alias("linhas"), F.count(bad).alias("com_texto"),
+        F.count_if(bad.contains("abc") & F.col(S.USED_CHIP).isNull()).alias("valor_ilegivel"),
+        F.count_if(n_fields == 9).alias("nove_campos"),
+        F.count_if((n_fields == 2) & F.col(S.FRAUD).isNull()).alias("dois_campos"),
+        F.count(S.DISTANCE_HOME).alias("distancias"))
 
 
 def _snapshots(spark, sf_dir) -> str:
     """Version 0: Silver of the clean feed; version 1: of the dirty feed."""
     path = scratch_path(spark, S.SILVER_TABLE)
-    versions.write_snapshot(silver_of(spark, sf_dir, False), path)
-    versions.write_snapshot(silver_of(spark, sf_dir, True), path)
+    versions.write_snapshot(silver_of(spark, sf_dir, False), path, now=RUN_NOW)
+    versions.write_snapshot(silver_of(spark, sf_dir, True), path, now=RUN_NOW)
     return path
 
 
@@ -319,6 +427,16 @@ def queries() -> dict[str, Query]:
         "ext_quality_report": q_ext_quality_report,
         "notification_payload": q_notification_payload,
         "run_log_history": q_run_log_history,
+        "sql_run_history": q_sql_run_history,
+        "profile_describe_text": q_profile_describe_text,
+        "bronze_stored": q_bronze_stored,
+        "backfill_from_bronze": q_backfill_from_bronze,
+        "gate_blocked_log": q_gate_blocked_log,
+        "stored_gold_effectiveness": partial(q_stored, table=S.GOLD_EFFECTIVENESS_TABLE),
+        "stored_gold_metrics": partial(q_stored, table=S.GOLD_METRICS_TABLE),
+        "stored_quality_report": partial(q_stored, table=lakehouse.REPORT_TABLE),
+        "stored_silver_time": q_stored_silver_time,
+        "csv_malformed_rows": q_csv_malformed_rows,
         "dash_kpis": partial(q_dash, fn=reports.dash_kpis),
         "dash_by_level": partial(q_dash, fn=reports.dash_by_level),
         "dash_by_score": partial(q_dash, fn=reports.dash_by_score),

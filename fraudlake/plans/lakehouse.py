@@ -3,20 +3,18 @@
 This is the one place with actions. Each layer is written to shared storage
 and read back, so later stages start from files (short lineage; a lost
 executor only recomputes from the last written table) and nothing is
-computed twice.
+computed twice. The source is read once.
 
 Bronze, thresholds and Silver are versioned together: run N writes
 ``version=N`` of each (their plain table names show the latest version).
 Gold tables describe the latest version: a backfill of an older version
-rewrites that version's Bronze/thresholds/Silver and logs its gate result,
-but leaves Gold alone.
+rewrites that version's thresholds and Silver (and Bronze, if it comes from a
+source) and logs its gate result, but leaves Gold alone. Every table and
+version is replaced at job commit (``versions.replace_partition``).
 
 Per run, Silver is read once for Gold 1, Gold 2 and the gate (a per-score
-rollup of at most six rows) and once for the alert rows. Actions: Bronze
-write, thresholds (2 grouped passes; 1 job with ``exact=False``), Silver
-write, rollup, gate rows, Gold writes (effectiveness and metrics from the
-rollup, alerts from Silver), log write. The run log is partitioned by run
-id, so a retried run replaces its own row.
+rollup of at most six rows) and once for the alert rows. A repeated run id is
+logged again; its last row counts.
 """
 
 from __future__ import annotations
@@ -30,9 +28,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlake import schema as S
-from fraudlake.operators import gold, profile, quality, runlog, silver
+from fraudlake.operators import gold, quality, runlog, silver, versions
 from fraudlake.operators.bronze import add_control_columns
-from fraudlake.sources.csv import read_csv
+from fraudlake.sources.csv import read_csv, with_corrupt_column
 from fraudlake.sources.tables import TableStore
 
 ROLLUP_TABLE = "gold_rollup_score"
@@ -71,7 +69,7 @@ class RunResult:
         return [r["alert"] for r in self.report if r["alert"] is not None]
 
 
-def run(spark: SparkSession, source: DataFrame | str, root: str,
+def run(spark: SparkSession, source: DataFrame | str | None, root: str,
         database: str | None = None, run_id: str | None = None,
         version: int | None = None, exact: bool = True,
         rules: Sequence[quality.Rule] | None = None, on_fail: str = "warn",
@@ -80,72 +78,85 @@ def run(spark: SparkSession, source: DataFrame | str, root: str,
         ) -> RunResult:
     """Run every layer once.
 
-    ``source``: a CSV path, a DataFrame with the eight source columns, or an
+    ``source``: a CSV path, a DataFrame with the eight source columns, an
     already landed Bronze (it has the control columns; its ingestion times
-    are kept, which is what the freshness rule measures). ``root``: shared
+    are kept, which is what the freshness rule measures), or None: the stored
+    Bronze of ``version``, which then is not written again. ``root``: shared
     folder for all tables. ``version``: the version to (re)write (default:
-    next). ``on_fail='raise'`` runs the gate on the not-yet-written Silver,
-    logs the run and raises on a FAIL, so no Silver or Gold is written; the
-    default records the result and continues. A run that failed half-way can
-    be repeated with the same ``run_id`` and ``version``: every write replaces
-    its table or partition, and the log keeps one row per run id.
+    next). ``rules``: default the seven standard checks, and for a CSV the one
+    for rows that could not be read. ``on_fail='raise'`` lands the source once
+    under ``root/_landing/<run_id>`` and runs the gate on that; on a FAIL it
+    logs the run and raises, and no table changes; on a pass Bronze is written
+    from the landed rows. The default records the result and continues. A run
+    that failed half-way can be repeated with the same ``run_id`` and
+    ``version``.
     """
     if on_fail not in ("warn", "raise"):
         raise ValueError("on_fail must be 'warn' or 'raise'")
-    rules = list(quality.default_rules() if rules is None else rules)
+    if source is None and version is None:
+        raise ValueError("a run from the stored Bronze needs its version")
+    if rules is None:
+        rules = quality.default_rules()
+        if isinstance(source, str):
+            rules.append(quality.malformed_rule())
     run_id = run_id or uuid.uuid4().hex
     # One instant for every table of the run (naive ``now`` is taken as UTC).
     now = now or _dt.datetime.now(_dt.timezone.utc)
     if now.tzinfo is None:
         now = now.replace(tzinfo=_dt.timezone.utc)
-    ts = F.lit(now)
+    rules, ts = quality.at_time(rules, now), F.lit(now)
     store = TableStore(spark, root, database)
-    src = read_csv(spark, source) if isinstance(source, str) else source
 
     # Version numbers follow Silver (a run stopped by the gate reuses its number).
     last = store.latest(S.SILVER_TABLE)
     v = (0 if last is None else last + 1) if version is None else int(version)
     latest = last is None or v >= last
 
-    # Bronze rows (landed rows keep their control columns). The stored
-    # contract is the raw CSV one, every source column a double, so versions
-    # from different kinds of source read back together.
-    landed = all(c in src.columns for c in S.CONTROL_COLUMNS)
-    b_new = src if landed else add_control_columns(src, source=source_name, ts=ts)
-    b_new = b_new.select(*[F.col(c).cast("double").alias(c) for c in S.SOURCE_COLUMNS],
-                         *S.CONTROL_COLUMNS)
-
     def log(report_rows: list, report_schema, metrics: DataFrame) -> None:
         report = spark.createDataFrame(report_rows, report_schema)  # one row per rule
-        entry = runlog.log_entry(report, metrics, ts=ts, name=name, run_id=run_id)
-        store.upsert(entry, S.RUN_LOG_TABLE, S.RUN_ID)  # a retry replaces its row
-
+        store.append_log(runlog.log_entry(report, metrics, ts=ts, name=name, run_id=run_id))
+
+    if source is None:
+        bronze = store.read_version(S.BRONZE_TABLE, v)
+    else:
+        src = read_csv(spark, source) if isinstance(source, str) else source
+        landed = all(c in src.columns for c in S.CONTROL_COLUMNS)
+        rows = with_corrupt_column(
+            src if landed else add_control_columns(src, source=source_name, ts=ts))
+        bronze = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                               for f in S.BRONZE_SCHEMA.fields])
+        if on_fail == "raise":
+            folder = f"{store.root}/_landing/{run_id}"
+            bronze.write.mode("overwrite").parquet(folder)
+            bronze = spark.read.schema(S.BRONZE_SCHEMA).parquet(folder)
+        else:
+            store.write_version(bronze, S.BRONZE_TABLE, v, now)
+            bronze = store.read_version(S.BRONZE_TABLE, v)
+
+    rows = bronze.drop(S.CORRUPT_COL)
+    th_vals = silver.thresholds(silver.typed(rows), exact=exact).first().asDict()
+    s_new = silver.build_silver(rows, th=th_vals, ts=ts)
     gate_rows = None
     if on_fail == "raise":
-        # Gate first, on the incoming rows: nothing is written unless it passes.
-        th_vals = silver.thresholds(silver.typed(b_new), exact=exact).first().asDict()
-        s_check = silver.build_silver(b_new, th=th_vals, ts=ts)
-        rep = quality.quality_report(b_new, s_check, rules)
+        # Gate first: nothing is published unless it passes.
+        rep = quality.quality_report(bronze, s_new, rules)
         gate_rows = rep.collect()
         failed = [r for r in gate_rows if r["status"] == S.STATUS_FAIL]
         if failed:
-            log(gate_rows, rep.schema, gold.metrics(s_check, cut))
+            log(gate_rows, rep.schema, gold.metrics(s_new, cut))
             raise QualityGateError("; ".join(f"{r['check']}: {r['detail']}" for r in failed))
+        if source is not None:
+            store.write_version(bronze, S.BRONZE_TABLE, v, now)
 
-    store.write_version(b_new, S.BRONZE_TABLE, v)
-    bronze = store.read_version(S.BRONZE_TABLE, v)
-    if gate_rows is None:
-        th_vals = silver.thresholds(silver.typed(bronze), exact=exact).first().asDict()
     # Thresholds of this version, stored with it (one row of literals).
     store.write_version(spark.range(1).select(
         *[F.lit(th_vals[f.name]).cast("double").alias(f.name)
-          for f in S.THRESHOLDS_SCHEMA.fields]), S.THRESHOLDS_TABLE, v)
+          for f in S.THRESHOLDS_SCHEMA.fields]), S.THRESHOLDS_TABLE, v, now)
 
     # Silver (thresholds inlined as literals), sorted by score inside each
     # file so ``score >= cut`` scans skip most row groups; then read back.
-    s_new = silver.build_silver(bronze, th=th_vals, ts=ts)
-    store.write_version(s_new.sortWithinPartitions(S.SCORE), S.SILVER_TABLE, v)
-    s = store.read_version(S.SILVER_TABLE, v)
+    store.write_version(s_new.sortWithinPartitions(S.SCORE), S.SILVER_TABLE, v, now)
+    s = versions.read_as_of(spark, store.path(S.SILVER_TABLE), v, s_new.schema)
 
     # One Silver scan for Gold 1, Gold 2 and the gate's Silver statistics.
     rollup_df = gold.score_rollup(s)
@@ -157,7 +168,7 @@ def run(spark: SparkSession, source: DataFrame | str, root: str,
 
     if latest:
         store.write(rollup, ROLLUP_TABLE)
-        store.write(gold.effectiveness_from_rollup(rollup), S.GOLD_EFFECTIVENESS_TABLE)
+        store.write(gold.effectiveness_from_rollup(rollup).coalesce(1), S.GOLD_EFFECTIVENESS_TABLE)
         store.write(metrics, S.GOLD_METRICS_TABLE)
         store.write(gold.alerts(s, cut).sortWithinPartitions(F.desc(S.SCORE)),
                     S.GOLD_ALERTS_TABLE)
@@ -170,28 +181,20 @@ def run(spark: SparkSession, source: DataFrame | str, root: str,
     return RunResult(run_id, v, store, rows, latest)
 
 
-def profile_views(bronze: DataFrame) -> dict[str, DataFrame]:
-    """Lazy profiling datasets of Bronze (nothing runs until they are shown)."""
-    return {
-        "nulls": profile.null_profile(bronze),
-        "describe": profile.describe_long(bronze, list(S.SOURCE_COLUMNS)),
-        "target": profile.target_distribution(bronze),
-        "preview": profile.preview(bronze),
-    }
-
-
-def backfill(spark: SparkSession, sources: dict[int, DataFrame], root: str,
+def backfill(spark: SparkSession, sources: dict[int, DataFrame | str | None], root: str,
              run_id: str | None = None, **kwargs) -> list[RunResult]:
-    """Rebuild the given versions from their sources. Each version's
-    partitions are replaced, so repeating a backfill gives the same tables;
-    each version logs under ``{run_id}-v{N}`` (a fresh id per call by default,
-    so a corrected re-backfill is logged too)."""
+    """Rebuild the given versions, each from its source, or from its own stored
+    Bronze where the source is None. Each version's partitions are replaced, so
+    repeating a backfill gives the same tables; each version logs under
+    ``{run_id}-v{N}`` (a fresh id per call by default, so a corrected
+    re-backfill is logged too)."""
     run_id = run_id or f"backfill-{uuid.uuid4().hex[:12]}"
     return [run(spark, src, root, version=v, run_id=f"{run_id}-v{v}", **kwargs)
             for v, src in sorted(sources.items())]
 
 
-def reset(store: TableStore) -> None:
-    """Forget all layer tables in the catalog (external files stay)."""
+def reset(store: TableStore, delete_files: bool = False) -> None:
+    """Forget all layer tables; with ``delete_files`` delete their rows, too, so
+    that the next run is version 0 and the log starts anew."""
     for t in VERSIONED + UNVERSIONED:
-        store.drop(t)
+        store.drop(t, delete_files)

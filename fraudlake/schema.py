@@ -77,6 +77,8 @@ GOLD_METRICS_TABLE = "gold_metricas"
 THRESHOLDS_TABLE = "silver_thresholds"
 SNAPSHOT_VERSION = "version"
 RUN_ID = "run_id"
+LOG_WRITTEN = "_gravado_em"  # when a log row was written; the last one of a run id counts
+CORRUPT_COL = "_corrupt_record"  # text of a source row that could not be read whole
 DEFAULT_PIPELINE_NAME = "card_fraud_pipeline"
 
 MEASURES = (DISTANCE_HOME, DISTANCE_LAST, RATIO)
@@ -105,3 +107,23 @@ THRESHOLDS_SCHEMA = T.StructType(
     [T.StructField(c, T.DoubleType(), True)
      for c in THRESHOLD_COLUMNS + (MEAN_HOME, MEAN_RATIO)]
 )
+
+# Stored Bronze: the raw contract (every source column a double) plus the text
+# of rows that could not be read whole, plus the control columns.
+BRONZE_SCHEMA = T.StructType(
+    [T.StructField(c, T.DoubleType(), True) for c in SOURCE_COLUMNS]
+    + [T.StructField(CORRUPT_COL, T.StringType(), True),
+       T.StructField(INGEST_TS, T.TimestampType(), True),
+       T.StructField(SOURCE_COL, T.StringType(), True),
+       T.StructField(VERSION_COL, T.StringType(), True)]
+)
+
+RUN_LOG_SCHEMA = T.StructType(
+    [T.StructField(c, T.StringType(), True) for c in ("pipeline_nome", "timestamp_execucao")]
+    + [T.StructField(c, T.LongType(), True)
+       for c in ("total_checks", "checks_passed", "checks_failed", "checks_warned",
+                 "total_transacoes", "total_fraudes")]
+    + [T.StructField("taxa_deteccao_pct", T.DoubleType(), True)]
+    + [T.StructField(c, T.StringType(), True) for c in ("alertas_detalhe", "resultado", RUN_ID)]
+    + [T.StructField(LOG_WRITTEN, T.TimestampType(), True)]
+)

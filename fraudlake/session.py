@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -28,7 +28,7 @@ def local_session(cpus: int | str = "*", app: str = "fraudlake",
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -50,7 +50,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at shared storage")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fraudlake-ckpt-"))
@@ -64,6 +64,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder name under the shared checkpoint root."""
     return "/".join([checkpoint_root(spark), "fraudlake", uuid.uuid4().hex, *parts])
 
-
-def default_cpus() -> str:
-    return os.environ.get("BENCH_CPUS", "8")

@@ -14,14 +14,18 @@ time only, so use a ``database`` for large, long-lived lakes.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fraudlake import schema as S
 from fraudlake.operators import versions
 
 VERSIONS_SUFFIX = "_versions"
-
+# Unversioned tables are one partition, so that they are replaced as versions are.
+CURRENT, CURRENT_VALUE = "lote", "atual"
 
 
 class TableStore:
@@ -39,44 +43,48 @@ class TableStore:
         """Name to use in SQL: ``database.table`` or a temp view ``table``."""
         return f"{self.database}.{table}" if self.database else table
 
-    def exists(self, table: str) -> bool:
-        try:
-            self.spark.read.parquet(self.path(table)).schema  # noqa: B018
-            return True
-        except AnalysisException:
-            return False
+    def _schema(self, table: str) -> T.StructType | None:
+        return {S.RUN_LOG_TABLE: S.RUN_LOG_SCHEMA, S.BRONZE_TABLE: S.BRONZE_SCHEMA,
+                S.THRESHOLDS_TABLE: S.THRESHOLDS_SCHEMA}.get(table)
+
+    def _reader(self, table: str):
+        schema = self._schema(table)
+        return self.spark.read if schema is None else self.spark.read.schema(schema)
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
-
-    def write(self, df: DataFrame, table: str, mode: str = "overwrite",
-              partition_by: str | None = None) -> None:
-        w = df.write.mode(mode)
-        if partition_by:
-            # Replace only the partitions present in ``df``.
-            w = w.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
-        w.parquet(self.path(table))
-        self.register(table)
-
-    def append_once(self, df: DataFrame, table: str, key: str) -> None:
-        """Append rows whose ``key`` is not in the table yet (safe to retry)."""
-        if self.exists(table):
-            seen = self.read(table).select(key).distinct()
-            df = df.join(seen, key, "left_anti")
-        self.write(df, table, mode="append")
-
-    def upsert(self, df: DataFrame, table: str, key: str) -> None:
-        """Write rows partitioned by ``key``, replacing rows with the same key
-        (a retried run replaces its own log row; other keys are untouched)."""
-        self.write(df, table, mode="overwrite", partition_by=key)
+        return self.read_log() if table == S.RUN_LOG_TABLE else self._reader(table).parquet(
+            self._folder(table))
+
+    def _folder(self, table: str) -> str:
+        return f"{self.path(table)}/{CURRENT}={CURRENT_VALUE}"
+
+    def write(self, df: DataFrame, table: str) -> None:
+        """Replace the table's rows (staged: a job that dies leaves the old ones)."""
+        versions.replace_partition(df, self.path(table), CURRENT, CURRENT_VALUE)
+        self.register(table, df.schema)
+
+    def append_log(self, entry: DataFrame, now: _dt.datetime | None = None) -> None:
+        """Append run-log rows. A repeated run id (always text: ``007`` is not
+        ``7``) is appended again, and the row written last counts."""
+        at = now or _dt.datetime.now(_dt.timezone.utc)
+        rows = entry.withColumn(S.LOG_WRITTEN, F.lit(at))
+        (rows.select(*[F.col(f.name).cast(f.dataType) for f in S.RUN_LOG_SCHEMA.fields])
+         .coalesce(1).write.mode("append").parquet(self.path(S.RUN_LOG_TABLE)))
+        self.register(S.RUN_LOG_TABLE)
+
+    def read_log(self) -> DataFrame:
+        """The run log: of each run id, the row written last."""
+        return _last_of_run(self.spark.read.schema(S.RUN_LOG_SCHEMA).parquet(
+            self.path(S.RUN_LOG_TABLE)))
 
     # --- versioned tables ---------------------------------------------------
 
-    def write_version(self, df: DataFrame, table: str, version: int) -> None:
-        versions.write_snapshot(df, self.path(table), version)
+    def write_version(self, df: DataFrame, table: str, version: int,
+                      now: _dt.datetime | None = None) -> None:
+        versions.write_snapshot(df, self.path(table), version, now)
 
     def read_version(self, table: str, version: int) -> DataFrame:
-        return versions.read_as_of(self.spark, self.path(table), version)
+        return versions.read_as_of(self.spark, self.path(table), version, self._schema(table))
 
     def latest(self, table: str) -> int | None:
         return versions.latest_version(self.spark, self.path(table))
@@ -91,7 +99,12 @@ class TableStore:
             self._view(table + VERSIONS_SUFFIX, f"parquet.`{path}`")
             self._view(table, f"parquet.`{path}/{S.SNAPSHOT_VERSION}={last}`")
         else:
-            self.spark.read.parquet(path).createOrReplaceTempView(table + VERSIONS_SUFFIX)
+            schema = self._schema(table)
+            rows = self.spark.read.option("basePath", path)
+            if schema is not None:
+                rows = rows.schema(T.StructType(
+                    schema.fields + [T.StructField(S.SNAPSHOT_VERSION, T.IntegerType())]))
+            rows.parquet(path).createOrReplaceTempView(table + VERSIONS_SUFFIX)
             self.read_version(table, last).createOrReplaceTempView(table)
 
     # --- catalog -------------------------------------------------------------
@@ -102,17 +115,38 @@ class TableStore:
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(table)} AS "
                        f"SELECT * FROM {relation}")
 
-    def register(self, table: str) -> None:
+    def register(self, table: str, schema: T.StructType | None = None) -> None:
         """Expose an unversioned table to SQL (catalog view or temp view)."""
-        if self.database:
-            self._view(table, f"parquet.`{self.path(table)}`")
+        if table == S.RUN_LOG_TABLE and self.database:
+            columns = [f.name for f in S.RUN_LOG_SCHEMA.fields if f.name != S.RUN_ID]
+            last = ", ".join(f"max_by({c}, {S.LOG_WRITTEN}) AS {c}" for c in columns)
+            self.spark.sql(
+                f"CREATE OR REPLACE VIEW {self.name(table)} AS SELECT {S.RUN_ID}, {last} "
+                f"FROM parquet.`{self.path(table)}` GROUP BY {S.RUN_ID}")
+        elif self.database:
+            self._view(table, f"parquet.`{self._folder(table)}`")
+        elif schema is not None:
+            (self.spark.read.schema(schema).parquet(self._folder(table))
+             .createOrReplaceTempView(table))
         else:
             self.read(table).createOrReplaceTempView(table)
 
-    def drop(self, table: str) -> None:
-        """Forget the catalog views / temp views (the files stay)."""
+    def drop(self, table: str, delete_files: bool = False) -> None:
+        """Forget the catalog views / temp views; with ``delete_files`` the rows
+        are deleted too and cannot be brought back."""
         for t in (table, table + VERSIONS_SUFFIX):
             if self.database:
                 self.spark.sql(f"DROP VIEW IF EXISTS {self.name(t)}")
             else:
                 self.spark.catalog.dropTempView(t)
+        if delete_files:
+            jvm = self.spark.sparkContext._jvm
+            path = jvm.org.apache.hadoop.fs.Path(self.path(table))
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _last_of_run(rows: DataFrame) -> DataFrame:
+    """Of each run id, the row written last."""
+    others = [c for c in rows.columns if c != S.RUN_ID]
+    return rows.groupBy(S.RUN_ID).agg(
+        *[F.max_by(c, S.LOG_WRITTEN).alias(c) for c in others]).select(*rows.columns)

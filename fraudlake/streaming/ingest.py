@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fraudlake import schema as S
@@ -24,8 +25,11 @@ def bronze_stream(spark: SparkSession, landing: str, bronze_path: str, checkpoin
     """Start the landing stream; returns the running query."""
     # A file stream needs a schema; enforceSchema=false makes Spark check
     # each file's header names against it instead of mapping by position.
-    reader = (spark.readStream.schema(S.CSV_SCHEMA).option("header", True)
-              .option("enforceSchema", False))
+    # Rows that cannot be read whole keep their text, as in the batch source.
+    reader = (spark.readStream.schema(T.StructType(
+        S.CSV_SCHEMA.fields + [T.StructField(S.CORRUPT_COL, T.StringType())]))
+              .option("header", True).option("enforceSchema", False)
+              .option("columnNameOfCorruptRecord", S.CORRUPT_COL))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = add_control_columns(reader.csv(landing), source=source_name,

@@ -4,11 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from fraudlake.plans import catalog, oracle
 from tests.conftest import SF_SMALL
 from tools.oracle_check import TABLES, digest
 
-ORACLE = E.oracle_sql()
-QUERIES = E.queries()
+ORACLE = oracle.oracle_sql()
+QUERIES = catalog.queries()
 
 
 @pytest.fixture(scope="module")
@@ -19,10 +20,29 @@ def con():
     return c
 
 
-def test_every_query_has_an_oracle_or_is_approximate():
-    missing = set(QUERIES) - set(ORACLE)
-    assert missing == {"thresholds_p95_approx", "level_distribution_approx"}
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
+
+
+def test_a_wrong_rule_turns_its_key_red(spark, con, monkeypatch):
+    """The oracle does not share the rules: a changed limit shows."""
+    import dataclasses
+
+    from fraudlake.operators import quality
+
+    right = quality.default_rules
+
+    def wrong(**limits):
+        rules = right(**limits)
+        rules[5] = dataclasses.replace(rules[5], predicate="qa_pct >= 101.0")
+        return rules
+
+    monkeypatch.setattr(quality, "default_rules", wrong)
+    df = QUERIES["quality_report"](spark, SF_SMALL)
+    res = con.execute(ORACLE["quality_report"])
+    cols = [d[0] for d in res.description]
+    assert digest([tuple(r) for r in df.collect()], df.columns)[0] != digest(res.fetchall(), cols)[0]
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))

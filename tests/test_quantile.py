@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
+from fraudlake.functions import quantile
 from fraudlake.functions.quantile import exact_quantiles, target_rank
 
 
@@ -27,8 +28,9 @@ def _df(spark, cols):
 
 
 @pytest.mark.parametrize("q", [0.95, 0.5, 0.01, 1.0])
-@pytest.mark.parametrize("max_band", [1, 10, 250_000])
-def test_matches_brute_force(spark, q, max_band):
+@pytest.mark.parametrize("split", [16, 8192])
+def test_matches_brute_force(spark, q, split, monkeypatch):
+    monkeypatch.setattr(quantile, "SPLIT", split)
     rnd = random.Random(7)
     n = 3000
     cols = {
@@ -40,7 +42,7 @@ def test_matches_brute_force(spark, q, max_band):
         "signed": [rnd.uniform(-1e6, 1e6) * (10 ** rnd.randint(-300, 300)) for _ in range(n)],
         "close": [1.0 + i * 2.0 ** -52 for i in range(n)],  # adjacent doubles
     }
-    got, means = exact_quantiles(_df(spark, cols), list(cols), q, max_band=max_band)
+    got, means = exact_quantiles(_df(spark, cols), list(cols), q)
     for c, vals in cols.items():
         assert got[c] == brute(vals, q), c
     known = [v for v in cols["uniform"]]
@@ -66,10 +68,32 @@ def test_agrees_with_percentile_disc(spark):
     rnd = np.random.default_rng(3)
     vals = [float(x) for x in np.round(rnd.lognormal(3, 1, 5000), 3)]
     df = _df(spark, {"x": vals})
-    for max_band in (50, 250_000):
-        exact, _ = exact_quantiles(df, ["x"], 0.95, max_band=max_band)
-        disc = df.selectExpr("percentile_disc(0.95) WITHIN GROUP (ORDER BY x) AS p").first()["p"]
-        assert exact["x"] == disc
+    exact, _ = exact_quantiles(df, ["x"], 0.95)
+    disc = df.selectExpr("percentile_disc(0.95) WITHIN GROUP (ORDER BY x) AS p").first()["p"]
+    assert exact["x"] == disc
+
+
+def test_band_filter_reaches_the_scan_and_passes_are_bounded(spark, tmp_root, monkeypatch):
+    """Later passes push the band to the scan and return at most SPLIT rows a column."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    rnd = random.Random(9)
+    _df(spark, {"x": [rnd.gauss(50, 9) for _ in range(5000)],
+                "y": [rnd.gauss(9, 50) for _ in range(5000)]}).write.parquet(tmp_root + "/t")
+    monkeypatch.setattr(quantile, "SPLIT", 32)
+    sizes, plans = [], []
+    collect = DataFrame.collect
+
+    def spy(self):
+        rows = collect(self)
+        sizes.append(len(rows))
+        plans.append(self._jdf.queryExecution().toString())
+        return rows
+
+    monkeypatch.setattr(DataFrame, "collect", spy)
+    exact_quantiles(spark.read.parquet(tmp_root + "/t"), ["x", "y"], 0.95)
+    assert len(sizes) > 2 and max(sizes[1:]) <= 2 * 32
+    assert "PushedFilters: []" not in plans[1] and "GreaterThanOrEqual(x" in plans[1]
 
 
 from hypothesis import HealthCheck, given, settings  # noqa: E402
@@ -84,11 +108,10 @@ _values = st.one_of(
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(vals=st.lists(_values, min_size=1, max_size=60),
-       q=st.sampled_from([0.01, 0.25, 0.5, 0.95, 1.0]),
-       max_band=st.sampled_from([1, 3, 1000]))
-def test_property_matches_brute_force(spark, vals, q, max_band):
+       q=st.sampled_from([0.01, 0.25, 0.5, 0.95, 1.0]))
+def test_property_matches_brute_force(spark, vals, q):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    got, _ = exact_quantiles(df, ["x"], q, max_band=max_band)
+    got, _ = exact_quantiles(df, ["x"], q)
     want = brute(vals, q)
     if want is None or got["x"] is None:
         assert want is None and got["x"] is None

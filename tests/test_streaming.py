@@ -22,7 +22,7 @@ def test_bronze_stream_available_now(spark, tmp_root):
     q.awaitTermination(120)
     out = spark.read.parquet(bronze)
     assert out.count() == 1500
-    assert set(out.columns) == set(S.SOURCE_COLUMNS) | set(S.CONTROL_COLUMNS)
+    assert set(out.columns) == {f.name for f in S.BRONZE_SCHEMA.fields}
 
 
 def test_checkpoint_root_fallback_on_bare_local_session():
