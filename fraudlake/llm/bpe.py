@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlake.llm.common import scratch_path, text_rows
+from fraudlake.llm.common import scratch_path, shuffle_partitions, text_rows
 
 # Fixed values of the tokenizer file: contractions and word classes of its
 # split pattern. In texts of the plain alphabet below (ASCII and Latin letters
@@ -134,19 +134,38 @@ def _places(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw[:-1], "<u2" if raw[-1:] == b"2" else "<u4")
 
 
+def to_planes(x: np.ndarray) -> bytes:
+    """32-bit numbers as all their lowest bytes, then all second ones, and so on:
+    small numbers leave planes of zeros, which the shuffle's compression takes."""
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _encode_words(path: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = WordEncoder(path)
-        last, ids = None, b""
+        last, ids = None, np.zeros(0, np.uint32)
         for batch in batches:
-            if not len(batch):
-                continue
-            out = []
+            found = []
             for word in batch["word"]:
                 if word != last:  # sorted by word: each distinct one comes once
-                    last, ids = word, np.array(encoder.ids(word), "<u4").tobytes()
-                out.append(ids)
-            yield pd.DataFrame({"chunk": batch["chunk"], "place": batch["place"], "ids": out})
+                    last, ids = word, np.array(encoder.ids(word), np.uint32)
+                found.append(ids)
+            # One row for each chunk that the batch's words belong to.
+            chunk, place = batch["chunk"].to_numpy(), batch["place"].to_numpy()
+            order = np.argsort(chunk, kind="stable")
+            cuts = np.flatnonzero(np.diff(chunk[order])) + 1
+            out = []
+            for at in np.split(order, cuts) if len(order) else []:
+                own = [found[i] for i in at]
+                out.append((chunk[at[0]], to_planes(place[at]),
+                            to_planes(np.fromiter(map(len, own), np.int64, len(own))),
+                            to_planes(np.concatenate(own))))
+            if out:
+                yield pd.DataFrame(out, columns=["chunk", "places", "counts", "ids"])
 
     return run
 
@@ -160,29 +179,32 @@ def split_words(docs: DataFrame, path: str, chunk_words: int = 4_000_000,
         _split(path, chunk_words),
         "chunk long, doc_id long, places binary, words array<string>")
     name = f"bpe_{uuid.uuid4().hex}"
-    (parts.write.bucketBy(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk")
+    (parts.write.bucketBy(buckets or shuffle_partitions(spark), "chunk")
      .option("path", scratch_path(spark, name)).option("compression", "zstd").saveAsTable(name))
     return spark.table(name)
 
 
 def word_table(split: DataFrame, path: str) -> DataFrame:
-    """(chunk, place, ids): every chunk's words with their ids as little-endian
-    unsigned 32-bit integers; each distinct word is encoded once."""
+    """(chunk, places, counts, ids): the ids of every chunk's words, packed by
+    :func:`to_planes`; each distinct word is encoded once."""
     words = split.filter("words IS NOT NULL").select(
         "chunk", F.posexplode("words").alias("place", "word"))
     return (words.repartition("word").sortWithinPartitions("word")
-            .mapInPandas(_encode_words(path), "chunk long, place int, ids binary"))
+            .mapInPandas(_encode_words(path),
+                         "chunk long, places binary, counts binary, ids binary"))
 
 
 def _join(emit):
     """Cogroup function: a chunk's documents and its words' ids, by position."""
 
     def run(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        order = np.argsort(words["place"].to_numpy())
-        raw = words["ids"].to_numpy()[order]
-        n = np.fromiter((len(x) // 4 for x in raw), np.int64, len(raw))
-        flat = np.frombuffer(b"".join(raw), "<u4")
-        first = np.cumsum(n) - n
+        def whole(column: str) -> np.ndarray:
+            parts = [from_planes(raw) for raw in words[column]]
+            return np.concatenate(parts or [np.zeros(0, np.uint32)]).astype(np.int64)
+
+        places, counts, flat = whole("places"), whole("counts"), whole("ids").astype("<u4")
+        first, n = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
+        first[places], n[places] = np.cumsum(counts) - counts, counts
         return emit(docs, flat, first, n)
 
     return run
