@@ -37,7 +37,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudlake.llm.common import group_starts, scratch_path, staged, text_rows, whole_groups
+from fraudlake.llm.common import (
+    group_starts,
+    scratch_path,
+    shuffle_partitions,
+    staged,
+    text_rows,
+    whole_groups,
+)
 
 GRAM = 128
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -130,7 +137,7 @@ def suffix_array(text: np.ndarray, eight: np.ndarray | None = None) -> np.ndarra
     if n == 0:
         return np.zeros(0, np.int64)
     eight = packed(text) if eight is None else eight
-    sa = np.argsort(eight, kind="stable")
+    sa = np.argsort(eight)
     # The last seven suffixes end inside their eight bytes: the shorter one of
     # two that look equal is smaller, which is the one that starts later.
     ends = np.flatnonzero(sa >= n - 7)
@@ -151,14 +158,14 @@ def suffix_array(text: np.ndarray, eight: np.ndarray | None = None) -> np.ndarra
     h = 8
     while len(todo):
         own = sa[todo]
-        ahead = np.zeros(len(own), np.int64)
+        # One key: the group so far, then the rank h places on (0: the end).
+        key = rank[own] * (n + 1)
         inside = own + h < n
-        ahead[inside] = rank[own[inside] + h] + 1
-        group = rank[own]
-        order = np.lexsort((ahead, group))
-        own, ahead, group = own[order], ahead[order], group[order]
+        key[inside] += rank[own[inside] + h] + 1
+        order = np.argsort(key)
+        own, key = own[order], key[order]
         sa[todo] = own
-        new = np.r_[True, (group[1:] != group[:-1]) | (ahead[1:] != ahead[:-1])]
+        new = np.r_[True, key[1:] != key[:-1]]
         first = np.maximum.accumulate(np.where(new, todo, 0))
         rank[own] = first
         todo = todo[~(new & np.r_[new[1:], True])]
@@ -415,7 +422,7 @@ def _text(raw: bytes, cut: list[tuple[int, int]]) -> tuple:
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, digest: bool = False,
-                   shard_bytes: int = 4 << 20, unit_bytes: int = 8 << 20) -> DataFrame:
+                   shard_bytes: int = 2 << 20, unit_bytes: int = 8 << 20) -> DataFrame:
     """One row per document: doc_id, ``text`` without the removed bytes (torn
     letters become U+FFFD) and ``spans``, the removed byte ranges; or, with
     ``digest``, n_bytes, n_removed, n_spans and kept_sha256.
@@ -431,7 +438,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, digest: bool = False,
         _stage(length, unit_bytes),
         "unit long, idx int, doc_id long, raw binary, starts array<int>, spans array<int>, "
         "vs array<long>, digests array<long>, inner array<boolean>")
-     .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "unit")
+     .write.bucketBy(shuffle_partitions(spark), "unit")
      .option("path", scratch_path(spark, name)).option("compression", "zstd").saveAsTable(name))
     texts = spark.table(name)
     cut = texts.select("unit", "idx", F.explode(F.arrays_zip(
@@ -458,7 +465,9 @@ def remove_repeats(docs: DataFrame, length: int = 400, digest: bool = False,
              .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("v", F.least("block", "o").alias("lo"), F.greatest("block", "o").alias("hi"),
                      "block", "digest", "n", "span", "bytes"))
-    solved = staged(cells.repartition("v", "lo", "hi").sortWithinPartitions("v", "lo", "hi")
+    # A fixed number of partitions: shards are work enough not to be coalesced.
+    parts = shuffle_partitions(spark)
+    solved = staged(cells.repartition(parts, "v", "lo", "hi").sortWithinPartitions("v", "lo", "hi")
                     .mapInPandas(_solve(length, shard_bytes),
                                  "v long, digest long, first int, last int"), "suffix-found")
     whole = segments.filter("n > 1").select(
