@@ -17,6 +17,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -26,6 +28,7 @@ from fraudlake.llm.common import text_rows
 from fraudlake.llm.toxicity import labelled_sample
 
 DIM = 64
+FEATURES = 2 * DIM + 3
 _SIGNS = 4  # entries of an index vector that are not zero
 _PIECE = 1 << 16
 _RUNS = re.compile(r"[^\W\d_]+|\d+|(.)\1*", re.S)
@@ -93,24 +96,32 @@ class Scorer:
         return pool((text or "").split(), self.ids, self.model.vectors)
 
     def scores(self, texts) -> np.ndarray:
-        x = np.array([self.pooled(t) for t in texts], np.float64).reshape(-1, 2 * DIM + 1)
+        x = np.array([self.pooled(t) for t in texts], np.float64).reshape(-1, FEATURES)
         x = (x - self.model.center) / self.model.scale
         z = _forward(x, self.model.layers)[1] / self.model.temperature
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
 def pool(words: list[str], ids: WordIds, vectors: np.ndarray) -> np.ndarray:
-    """Mean and standard deviation of the words' vectors, and log(1 + words)."""
+    """Mean and standard deviation of the words' vectors, the mean squared step
+    from a word's vector to the next, the share of steps between equal words,
+    and log(1 + words)."""
     n = len(words)
     if not n:
-        return np.zeros(2 * DIM + 1)
-    total, squares = np.zeros(DIM), np.zeros(DIM)
+        return np.zeros(FEATURES)
+    total, squares, steps = np.zeros(DIM), np.zeros(DIM), 0.0
     for at in range(0, n, _PIECE):
-        v = vectors[[*map(ids.__getitem__, words[at:at + _PIECE])]]
+        v = vectors[[*map(ids.__getitem__, words[at:at + _PIECE + 1])]]
+        if len(v) > 1:
+            step = v[1:] - v[:-1]
+            steps += float(np.einsum("ij,ij->", step, step))
+        v = v[:_PIECE]
         total += v.sum(0)
         squares += np.einsum("ij,ij->j", v, v)
     mean = total / n
-    return np.r_[mean, np.sqrt(np.maximum(squares / n - mean * mean, 0)), np.log1p(n)]
+    same = sum(map(eq, words, islice(words, 1, None)))
+    return np.r_[mean, np.sqrt(np.maximum(squares / n - mean * mean, 0)),
+                 steps / max(n - 1, 1), same / max(n - 1, 1), np.log1p(n)]
 
 
 def random_indexing(texts: list[str], max_words: int, reach: int = 2) -> tuple[list, np.ndarray]:
@@ -183,7 +194,7 @@ def _temperature(z: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
     def loss(t: float) -> float:
         return float(np.mean(w * (np.logaddexp(0, z / t) - y * z / t)))
 
-    return min(np.exp(np.linspace(np.log(0.25), np.log(8), 121)).tolist(), key=loss)
+    return min(np.exp(np.linspace(np.log(0.05), np.log(20), 241)).tolist(), key=loss)
 
 
 def train(texts: list[str], y: np.ndarray, prior: float, max_words: int = 50_000,
@@ -194,9 +205,9 @@ def train(texts: list[str], y: np.ndarray, prior: float, max_words: int = 50_000
     prior = min(max(prior, 1e-4), 1 - 1e-4)
     vocabulary, vectors = random_indexing(texts, max_words)
     ids = WordIds({v: k for k, v in enumerate(vocabulary)}, len(vocabulary))
-    x = np.array([pool(t.split(), ids, vectors) for t in texts]).reshape(-1, 2 * DIM + 1)
+    x = np.array([pool(t.split(), ids, vectors) for t in texts]).reshape(-1, FEATURES)
     if len(set(y.tolist())) < 2:
-        n = 2 * DIM + 1
+        n = FEATURES
         layers = (np.zeros((n, 1)), np.zeros(1), np.zeros(1), np.log(prior / (1 - prior)))
         return QualityModel(vocabulary, vectors, np.zeros(n), np.ones(n), layers, 1.0)
     w = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean()))

@@ -91,12 +91,19 @@ class Scorer:
 
 
 def summary(d: np.ndarray, threshold: int) -> np.ndarray:
-    """Largest distance, mean of the three largest, log of the number of windows
-    at the threshold, their share, and 1. Texts without windows: zeros and 1."""
-    if not len(d):
-        return np.array([0.0, 0.0, 0.0, 0.0, 1.0])
-    top, hits = np.sort(d)[-3:], np.count_nonzero(d >= threshold)
-    return np.array([top[-1], top.mean(), np.log1p(hits), 10.0 * hits / len(d), 1.0])
+    """Features of a text's distances: the three largest, windows at the threshold
+    and at one and two bytes less (logs of numbers, and shares), the log of the
+    number of windows, and 1. Texts without windows: zeros and 1."""
+    out = np.zeros(11)
+    out[10] = 1.0
+    if len(d):
+        top = np.sort(d)[-3:][::-1]
+        out[:len(top)] = top
+        for k in range(3):
+            hits = np.count_nonzero(d >= threshold - k)
+            out[3 + k], out[6 + k] = np.log1p(hits), 10.0 * hits / len(d)
+        out[9] = np.log1p(len(d))
+    return out
 
 
 def _grams(text: str) -> tuple[np.ndarray, bytes]:
@@ -159,7 +166,7 @@ def train(toxic: list[str], ordinary: list[str], prior: float, width: int = 48,
     cut_t, cut_o = len(toxic) * 2 // 3, len(ordinary) * 2 // 3
     prior = min(max(prior, 1e-4), 1 - 1e-4)
     flat = ToxicityModel(b"\0" * 64, b"\0" * 64, width, 1,
-                         [0.0, 0.0, 0.0, 0.0, float(np.log(prior / (1 - prior)))])
+                         [0.0] * 10 + [float(np.log(prior / (1 - prior)))])
     if cut_t < 3 or cut_o < 3:
         return flat
     marked = np.sort(marked_grams(toxic[:cut_t], ordinary[:cut_o]))
