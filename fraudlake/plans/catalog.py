@@ -372,7 +372,7 @@ def q_csv_malformed_rows(spark, sf_dir):
         F.count(S.DISTANCE_HOME).alias("distancias"))
 
 
-def _snapshots(spark, sf_dir) -> str:
+def snapshots(spark, sf_dir) -> str:
     """Version 0: Silver of the clean feed; version 1: of the dirty feed."""
     path = scratch_path(spark, S.SILVER_TABLE)
     versions.write_snapshot(silver_of(spark, sf_dir, False), path, now=RUN_NOW)
@@ -381,17 +381,17 @@ def _snapshots(spark, sf_dir) -> str:
 
 
 def q_snapshot_as_of(spark, sf_dir):
-    return _no_time(versions.read_as_of(spark, _snapshots(spark, sf_dir), 0))
+    return _no_time(versions.read_as_of(spark, snapshots(spark, sf_dir), 0))
 
 
 def q_snapshot_history(spark, sf_dir):
-    h = versions.snapshot_history(spark, _snapshots(spark, sf_dir))
+    h = versions.snapshot_history(spark, snapshots(spark, sf_dir))
     return h.select(S.SNAPSHOT_VERSION, "linhas",
                     F.date_format("escrito_em", "yyyy-MM-dd HH:mm:ss").alias("escrito_em"))
 
 
 def q_snapshot_diff(spark, sf_dir):
-    return versions.snapshot_diff(spark, _snapshots(spark, sf_dir), 0, 1)
+    return versions.snapshot_diff(spark, snapshots(spark, sf_dir), 0, 1)
 
 
 def _both(name: str, fn) -> dict[str, Query]:
