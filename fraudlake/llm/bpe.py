@@ -170,7 +170,7 @@ def _encode_words(path: str):
     return run
 
 
-def split_words(docs: DataFrame, path: str, chunk_words: int = 4_000_000,
+def split_words(docs: DataFrame, path: str, chunk_words: int = 8_000_000,
                 buckets: int | None = None) -> DataFrame:
     """The staged table (chunk, doc_id, places, words), bucketed by chunk; a
     chunk's first row has its word list."""
@@ -218,7 +218,7 @@ def gather(places: np.ndarray, flat: np.ndarray, first: np.ndarray, n: np.ndarra
     return flat[start + np.arange(total)]
 
 
-def encode(docs: DataFrame, path: str, chunk_words: int = 4_000_000) -> DataFrame:
+def encode(docs: DataFrame, path: str, chunk_words: int = 8_000_000) -> DataFrame:
     """``docs`` (doc_id, text) -> (doc_id, ids array<int>), one row per document,
     as the tokenizers library encodes each whole text without special tokens
     added, truncation or padding.
@@ -285,7 +285,7 @@ def join_pieces(ids: np.ndarray, table: list) -> str:
                      and (p := table[i]) is not None])
 
 
-def round_trip(docs: DataFrame, path: str, chunk_words: int = 4_000_000) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, chunk_words: int = 8_000_000) -> DataFrame:
     """(doc_id, n_tokens, ids array<int>, text), one row per document: its ids and
     the text decoded from them. Rows are as in :func:`encode`."""
     table = _piece_list(path)
@@ -300,7 +300,7 @@ def round_trip(docs: DataFrame, path: str, chunk_words: int = 4_000_000) -> Data
                      "doc_id long, n_tokens long, ids array<int>, text string")
 
 
-def round_trip_digests(docs: DataFrame, path: str, chunk_words: int = 4_000_000) -> DataFrame:
+def round_trip_digests(docs: DataFrame, path: str, chunk_words: int = 8_000_000) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document: encoding
     and decoding as in :func:`encode` and :func:`decode`, without shipping the
     ids. A document is decoded from its ids, whose pieces come from the

@@ -38,7 +38,7 @@ def test_words_as_the_library_splits_them():
 
 def test_hard_rows_in_many_chunks(hard_docs):
     rows = [(r.doc_id, r.text) for r in hard_docs.select("doc_id", "text").collect()]
-    for chunk_words in (10, 4_000_000):
+    for chunk_words in (10, 8_000_000):
         got = bpe.round_trip_digests(hard_docs, PATH, chunk_words).collect()
         assert sorted(map(tuple, got), key=str) == digests(rows)
 
