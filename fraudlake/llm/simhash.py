@@ -62,14 +62,17 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
+    """(doc_id, text_key, fp): xxhash64 of the text, and the fingerprint as a
+    signed long."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fp = np.array([fingerprint(t, shingle, seed) for t in batch["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fp.view(np.int64)})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "text_key": batch["text_key"],
+                                "fp": fp.view(np.int64)})
 
-    return text_rows(docs).mapInPandas(run, "doc_id long, fp long")
+    own = text_rows(docs).withColumn("text_key", F.xxhash64("text"))
+    return own.mapInPandas(run, "doc_id long, text_key long, fp long")
 
 
 def segments(max_distance: int) -> list[tuple[int, int]]:
@@ -192,7 +195,8 @@ def links(distinct_fps: DataFrame, max_distance: int = 4, block: int = 2048) ->
 
 def simhash_classes(docs: DataFrame, shingle: int = 4, max_distance: int = 4,
                     seed: int = 42, block: int = 2048) -> DataFrame:
-    """One row per document: ``doc_id``, ``fp`` (signed long), ``component_id``.
+    """One row per document: ``doc_id``, ``text_key``, ``fp`` (signed long),
+    ``component_id`` and ``component`` (a fingerprint that names the class).
 
     ``component_id`` is the smallest doc_id reachable over links, itself
     included. Null or blank texts have fingerprint 0 and link like any other.
@@ -206,14 +210,20 @@ def simhash_classes(docs: DataFrame, shingle: int = 4, max_distance: int = 4,
     classes = (nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
                .select("fp", "rep", F.coalesce("component", "fp").alias("component")))
     lowest = classes.groupBy("component").agg(F.min("rep").alias("component_id"))
-    by_fp = classes.join(lowest, "component").select("fp", "component_id")
-    return own.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    by_fp = classes.join(lowest, "component").select("fp", "component_id", "component")
+    return own.join(by_fp, "fp").select("doc_id", "text_key", "fp", "component_id", "component")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, max_distance: int = 4) -> DataFrame:
     """One row of ``docs`` per near-duplicate class: that with the smallest
-    doc_id (of repeated rows, one). Rows without doc_id stay."""
+    doc_id (null ids last; of several rows of that id, the one with the
+    smallest hash of its text)."""
     classes = simhash_classes(docs, shingle, max_distance)
-    kept = classes.filter("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(docs.filter("doc_id IS NULL"))
+    kept = classes.groupBy("component").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("k")).select(
+        F.col("k.doc_id").alias("doc_id"), F.col("k.text_key").alias("text_key"))
+    mark = "__simhash_text_key"
+    keyed = docs.withColumn(mark, F.xxhash64(F.col("text").cast("string")))
+    first = keyed.alias("d").join(kept.alias("k"), F.expr(
+        f"cast(d.doc_id as bigint) <=> k.doc_id AND d.{mark} = k.text_key"), "left_semi")
+    return first.dropDuplicates(["doc_id", mark]).drop(mark)

@@ -96,6 +96,16 @@ def test_hot_key_is_split_and_stays_whole(spark):
 def test_keep_one(hard_docs):
     kept = S.keep_one(hard_docs)
     assert kept.columns == hard_docs.columns
-    ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
+    ids = sorted(r.doc_id for r in kept.collect())
     classes = {r.component_id for r in S.simhash_classes(hard_docs).collect()}
     assert ids == sorted(classes)
+
+
+def test_keep_one_keeps_every_class(spark):
+    """Different texts under one id, and texts without an id, are classes, too."""
+    rows = [(1, "alpha beta gamma delta epsilon"), (1, "one two three four five six"),
+            (None, "uno dos tres cuatro cinco"), (None, "uno dos tres cuatro cinco"), (2, None),
+            (3, "alpha beta gamma delta epsilon")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in S.keep_one(df).collect()), key=str)
+    assert got == sorted({rows[0], rows[1], rows[2], rows[4]}, key=str)
