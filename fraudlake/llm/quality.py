@@ -164,7 +164,7 @@ def _forward(x: np.ndarray, layers: tuple) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _train_network(x: np.ndarray, y: np.ndarray, w: np.ndarray, hidden: int, epochs: int,
-                   seed: int) -> tuple:
+                   seed: int, decay: float = 1e-3) -> tuple:
     """Two layers by Adam on the weighted cross entropy, with weight decay."""
     rng = np.random.default_rng(seed)
     layers = [rng.normal(0, 1 / np.sqrt(x.shape[1]), (x.shape[1], hidden)), np.zeros(hidden),
@@ -181,7 +181,7 @@ def _train_network(x: np.ndarray, y: np.ndarray, w: np.ndarray, hidden: int, epo
             grads = [x[i].T @ dh, dh.sum(0), h.T @ dz, dz.sum()]
             step += 1
             for k, g in enumerate(grads):
-                g = g + 1e-4 * layers[k]
+                g = g + decay * layers[k]
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.999 * second[k] + 0.001 * g * g
                 layers[k] = layers[k] - 2e-3 * (first[k] / (1 - 0.9 ** step)) / (
@@ -190,9 +190,14 @@ def _train_network(x: np.ndarray, y: np.ndarray, w: np.ndarray, hidden: int, epo
 
 
 def _temperature(z: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
-    """The temperature with the smallest weighted cross entropy."""
-    def loss(t: float) -> float:
-        return float(np.mean(w * (np.logaddexp(0, z / t) - y * z / t)))
+    """The temperature with the smallest weighted cross entropy against targets
+    drawn in from 0 and 1 as few examples warrant (one pseudo-example a class),
+    so that a small, cleanly parted sample does not give certainties."""
+    ones, zeros = max(y.sum(), 0), max((1 - y).sum(), 0)
+    t = np.where(y == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
+
+    def loss(heat: float) -> float:
+        return float(np.mean(w * (np.logaddexp(0, z / heat) - t * z / heat)))
 
     return min(np.exp(np.linspace(np.log(0.05), np.log(20), 241)).tolist(), key=loss)
 
