@@ -16,7 +16,6 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,10 +37,15 @@ MANIFEST_SCHEMA = T.StructType([T.StructField(V, T.IntegerType()),
 
 def manifest(spark: SparkSession, path: str) -> DataFrame | None:
     """(version, linhas, escrito_em) of every write, or None before the first."""
-    try:
-        return spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path(path))
-    except AnalysisException:
+    if not folder_exists(spark, manifest_path(path)):
         return None
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path(path))
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, asked of the store that holds it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
 def versions_in(spark: SparkSession, path: str) -> list[int]:

@@ -30,8 +30,10 @@ def read_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
     schema = T.StructType([
         f if infer or f.name not in S.SOURCE_COLUMNS else T.StructField(f.name, T.DoubleType())
         for f in header.schema.fields] + [T.StructField(S.CORRUPT_COL, T.StringType())])
-    rows = reader.option("inferSchema", False).schema(schema).option(
-        "columnNameOfCorruptRecord", S.CORRUPT_COL).csv(path)
+    # Without pruning every field is parsed, whatever a query needs, so that a
+    # row is malformed in all queries or in none.
+    rows = (reader.option("inferSchema", False).schema(schema).option("columnPruning", False)
+            .option("columnNameOfCorruptRecord", S.CORRUPT_COL).csv(path))
     return rows.select(*S.SOURCE_COLUMNS, S.CORRUPT_COL)
 
 
