@@ -218,7 +218,7 @@ def gather(places: np.ndarray, flat: np.ndarray, first: np.ndarray, n: np.ndarra
     return flat[start + np.arange(total)]
 
 
-def encode(docs: DataFrame, path: str, chunk_words: int = 8_000_000) -> DataFrame:
+def encode(docs: DataFrame, path: str, chunk_words: int = 2_000_000) -> DataFrame:
     """``docs`` (doc_id, text) -> (doc_id, ids array<int>), one row per document,
     as the tokenizers library encodes each whole text without special tokens
     added, truncation or padding.
@@ -285,9 +285,10 @@ def join_pieces(ids: np.ndarray, table: list) -> str:
                      and (p := table[i]) is not None])
 
 
-def round_trip(docs: DataFrame, path: str, chunk_words: int = 8_000_000) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, chunk_words: int = 2_000_000) -> DataFrame:
     """(doc_id, n_tokens, ids array<int>, text), one row per document: its ids and
-    the text decoded from them. Rows are as in :func:`encode`."""
+    the text decoded from them. Rows are as in :func:`encode`. A task returns a
+    chunk's ids and texts at once, so chunks are smaller than for digests."""
     table = _piece_list(path)
 
     def emit(own, flat, first, n):
