@@ -7,25 +7,31 @@ is a base value; with document counts over the whole corpus,
     IC(e)     = log2(N / n_e)
     PMI(t, e) = log2(n_te * N / (n_t * n_e))
 
-where ``n_te`` counts documents with term ``t`` within ``window`` words of a
-mention of ``e``, and ``n_t`` those with ``t`` anywhere. ``PMI / IC`` is the
-share of what is known about ``e`` that ``t`` discloses (1: ``t`` tells it
-all). Near a mention of ``e``, terms at or above ``remove_at`` are removed,
-those at or above ``generalise_at`` are replaced by their class. Terms and
-entities seen together in fewer than ``support`` documents are left alone:
-such counts are no evidence. Documents without a base span get no spans.
-
-Scale: one scan finds base spans and contexts and stages them without texts;
-another counts document frequencies, summed per batch before the shuffle. The
-tables of pairs have one row per (entity, term); skewed joins are split.
+where ``n_t``, ``n_e`` and ``n_te`` count whole documents with ``t``, with ``e``
+and with both. A document has ``t`` if it stands there as a word (letters in
+lower case) outside base spans. ``PMI / IC`` is the share of what is known about
+``e`` that ``t`` discloses (1: ``t`` tells it all). Terms that disclose
+``remove_at`` or more of any entity are removed and those from ``generalise_at``
+on replaced by their class wherever they stand, in every document, with or
+without a base span. Terms and entities seen together in fewer than ``support``
+documents are left alone: such counts are no evidence.
+
+Scale: one scan finds base spans and stages them, with the distinct words of
+documents that have an entity; another counts document frequencies, summed per
+batch before the shuffle. The tables of pairs have one row per (entity, term) of
+entities in ``support`` documents; skewed joins are split. A third scan places
+the disclosing terms: a bitmap of their hashes, of ``_BITS`` bits at most, drops
+nearly all other words before the join, which is exact.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +47,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"\w+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_REACH = 400  # characters on each side of a mention that are looked at for context
+_BITS = 1 << 27  # most bits of the bitmap of disclosing terms (16 MB)
+_BLOCK = 1 << 15  # bits of one value of bitmap_construct_agg
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -93,52 +100,38 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def context(text: str, spans: list, a: int, b: int, window: int) -> list[tuple[int, int]]:
-    """Places of the words next to the mention [a, b) that lie in no base span."""
-    def free(x: int, y: int) -> bool:
-        return not any(s < y and x < e for s, _, e in near)
+def free_words(text: str, spans: list) -> Iterator[re.Match]:
+    """Words of the text between its base spans, in order."""
+    at = 0
+    for a, _, b in spans:
+        yield from _WORD.finditer(text, at, max(at, a))
+        at = max(at, b)
+    yield from _WORD.finditer(text, at)
 
-    near = [s for s in spans if s[0] < b + _REACH and s[2] > a - _REACH]
-    low, high = max(0, a - _REACH), min(len(text), b + _REACH)
-    before = [m.span() for m in _WORD.finditer(text, low, a)]
-    if before and low > 0 and before[0][0] == low:  # perhaps the end of a longer word
-        before = before[1:]
-    after = [m.span() for m in _WORD.finditer(text, b, high)]
-    if after and high < len(text) and after[-1][1] == high:
-        after = after[:-1]
-    return ([s for s in before if free(*s)][-window:] + [s for s in after if free(*s)][:window])
+
+def terms_of(text: str, spans: list) -> set[str]:
+    """Distinct free words; lower() can change what a word is, so it comes last."""
+    return {w.lower() for w in {m[0] for m in free_words(text, spans)}}
 
 
 _FOUND = ("doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long, "
-          "base string, mentions array<struct<entity:string,term:string,start:int,end:int>>, "
-          "entities array<string>")
+          "base string, entities array<string>, words array<string>")
 
 
-def _find(window: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for doc_id, key, text in zip(batch["doc_id"], batch["text_key"], batch["text"],
-                                         strict=True):
-                spans = base_spans(text) if text else []
-                seen: set = set()
-                entities: set = set()
-                for a, kind, b in spans:
-                    value = f"{KINDS[kind]}:{text[a:b].lower()}"
-                    entities.add(value)
-                    seen.update((value, text[x:y].lower(), x, y)
-                                for x, y in context(text, spans, a, b, window))
-                count = Counter(k for _, k, _ in spans)
-                rows.append((doc_id, key, *[count[k] for k in range(4)],
-                             ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans),
-                             sorted(seen), sorted(entities)))
-            out = pd.DataFrame(rows, columns=[c.split()[0] for c in _FOUND.split(", ")][:9])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            out["mentions"] = [[{"entity": e, "term": t, "start": x, "end": y}
-                                for e, t, x, y in m] for m in out["mentions"]]
-            yield out
-
-    return run
+def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = []
+        for doc_id, key, text in zip(batch["doc_id"], batch["text_key"], batch["text"],
+                                     strict=True):
+            spans = base_spans(text) if text else []
+            entities = {f"{KINDS[kind]}:{text[a:b].lower()}" for a, kind, b in spans}
+            count = Counter(k for _, k, _ in spans)
+            rows.append((doc_id, key, *[count[k] for k in range(4)],
+                         ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans),
+                         sorted(entities), sorted(terms_of(text, spans)) if spans else []))
+        out = pd.DataFrame(rows, columns=[c.split()[0] for c in _FOUND.split(", ")])
+        out["doc_id"] = out["doc_id"].astype("Int64")
+        yield out
 
 
 def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -147,7 +140,7 @@ def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter = Counter()
         for text in batch["text"]:
             if text:
-                counts.update(set(_WORD.findall(text.lower())))
+                counts.update(terms_of(text, base_spans(text)))
         if counts:
             yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
 
@@ -155,13 +148,18 @@ def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def disclosure(docs: DataFrame, found: DataFrame, support: int) -> DataFrame:
     """(entity, term, share): PMI / IC of every pair seen in ``support`` documents."""
     total = found.agg(F.count("*").alias("n")).first()["n"]
-    seen = found.select("entities", F.array_distinct(F.transform(
-        "mentions", lambda m: F.struct(m["entity"].alias("entity"), m["term"].alias("term"))))
-        .alias("pairs"))
-    n_e = (seen.select(F.explode("entities").alias("entity")).groupBy("entity")
-           .agg(F.count("*").alias("n_e")))
-    n_te = (seen.select(F.explode("pairs").alias("p")).groupBy("p.entity", "p.term")
-            .agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= support))
+    n_e = (found.select(F.explode("entities").alias("entity")).groupBy("entity")
+           .agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= support))
+    # Entities of fewer documents cannot be in a pair: they go before words are paired.
+    live = (found.filter(F.size("entities") > 0).dropDuplicates(["doc_id", "text_key"])
+            .select("doc_id", "text_key", F.explode("entities").alias("entity"))
+            .join(n_e.select("entity"), "entity").groupBy("doc_id", "text_key")
+            .agg(F.collect_list("entity").alias("entities")))
+    n_te = (found.filter(F.size("words") > 0).alias("f").join(
+        live.alias("l"), F.expr("f.doc_id <=> l.doc_id AND f.text_key = l.text_key"))
+        .select("f.words", F.explode("l.entities").alias("entity"))
+        .select("entity", F.explode("words").alias("term")).groupBy("entity", "term")
+        .agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= support))
     n_te = staged(n_te, "pii-pairs")
     n_t = (docs.select(F.col("text").cast("string").alias("text"))
            .mapInPandas(_frequencies, "term string, n long").groupBy("term")
@@ -172,7 +170,60 @@ def disclosure(docs: DataFrame, found: DataFrame, support: int) -> DataFrame:
             .select("entity", "term", F.when(ic > 0, pmi / ic).otherwise(0.0).alias("share")))
 
 
-def find_spans(docs: DataFrame, window: int = 8, support: int = 2, generalise_at: float = 0.8,
+def term_bitmap(terms: DataFrame, bits: int) -> np.ndarray:
+    """Bytes with the bit crc32(term) % ``bits`` set for every row of ``terms``."""
+    h = F.crc32(F.encode("term", "UTF-8")) % bits
+    # Rows of a block meet before they become a bitmap, so no task ships more than its own.
+    blocks = (terms.select((h / _BLOCK).cast("long").alias("block"), (h % _BLOCK).alias("bit"))
+              .repartition("block").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("b")))
+    out = np.zeros(bits // 8, np.uint8)
+    for r in blocks.collect():
+        out[r["block"] * _BLOCK // 8:][:_BLOCK // 8] = np.frombuffer(r["b"], np.uint8)
+    return out
+
+
+def places(own: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc_id, text_key, start, end, share): every place of every row of ``terms``
+    (term, share) outside the base spans of all documents."""
+    number = terms.count()
+    bits = _BLOCK
+    while bits < min(64 * number, _BITS):
+        bits *= 2
+    bitmap = term_bitmap(terms, bits)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, str | None] = {}
+
+        def term(word: str) -> str | None:
+            """The lower-case word if it may be a term."""
+            low = word.lower()
+            h = zlib.crc32(low.encode()) % bits
+            if len(known) > 200_000:
+                known.clear()
+            known[word] = out = low if bitmap[h >> 3] >> (h & 7) & 1 else None
+            return out
+
+        for batch in batches if number else ():
+            rows = []
+            for doc_id, key, text in zip(batch["doc_id"], batch["text_key"], batch["text"],
+                                         strict=True):
+                if not text:
+                    continue
+                for m in free_words(text, base_spans(text)):
+                    word = m[0]
+                    t = known[word] if word in known else term(word)
+                    if t is not None:
+                        rows.append((doc_id, key, t, *m.span()))
+            if rows:
+                out = pd.DataFrame(rows, columns=["doc_id", "text_key", "term", "start", "end"])
+                out["doc_id"] = out["doc_id"].astype("Int64")
+                yield out
+
+    at = own.mapInPandas(run, "doc_id long, text_key long, term string, start int, end int")
+    return at.join(terms, "term").select("doc_id", "text_key", "start", "end", "share")
+
+
+def find_spans(docs: DataFrame, support: int = 2, generalise_at: float = 0.8,
                remove_at: float = 0.95) -> DataFrame:
     """One row per document: doc_id, text_key (xxhash64 of the text), n_email,
     n_ip, n_card, n_phone, ``base`` (base spans as kind:start:end) and ``added``
@@ -185,16 +236,14 @@ def find_spans(docs: DataFrame, window: int = 8, support: int = 2, generalise_at
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                       F.col("text").cast("string").alias("text")).withColumn(
         "text_key", F.xxhash64("text"))
-    found = staged(own.mapInPandas(_find(window), _FOUND), "pii-found")
+    found = staged(own.mapInPandas(_find, _FOUND), "pii-found")
     shares = disclosure(docs, found, support).filter(F.col("share") >= generalise_at)
-    at = found.select("doc_id", "text_key", F.explode("mentions").alias("m")).select(
-        "doc_id", "text_key", "m.*")
-    added = (at.join(shares, ["entity", "term"])
-             .groupBy("doc_id", "text_key", "start", "end").agg(F.max("share").alias("share"))
+    terms = staged(shares.groupBy("term").agg(F.max("share").alias("share")), "pii-terms")
+    added = (places(own, terms).distinct()
              .groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct(
                  "start", "end", F.when(F.col("share") >= remove_at, ADDED[0])
                  .otherwise(ADDED[1]).alias("kind")))).alias("added")))
-    return (found.drop("mentions", "entities").alias("f").join(
+    return (found.drop("entities", "words").alias("f").join(
         added.alias("a"), F.expr("f.doc_id <=> a.doc_id AND f.text_key = a.text_key"), "left")
         .select("f.*", "a.added"))
 

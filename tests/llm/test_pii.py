@@ -78,6 +78,28 @@ def test_disclosing_terms_by_their_information(spark):
     assert spans[0] == "remove:4:12,generalise:13:18,email:19:36,remove:37:42"
 
 
+def test_disclosing_terms_go_wherever_they_stand(spark):
+    """Far from the mention, and in documents without one; n_te counts whole documents."""
+    far = " ".join(["the"] * 200)
+    rows = [(k, f"Zanzibar {far} bob@s.example.com") for k in range(4)]
+    rows += [(10, f"near {far} zanzibar"), (11, "ZANZIBAR, zanzibars"), (None, "a Zanzibar")]
+    rows += [(20 + k, "the plain text") for k in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.find_spans(df).collect()}
+    # 4 of the 7 documents with the term: 1 + log2(4/7) / log2(207/4) = 0.86.
+    assert [(s.start, s.end, s.kind) for s in found[0].added] == [(0, 8, "generalise")]
+    assert [(s.start, s.end) for s in found[10].added] == [(5 + len(far) + 1, 5 + len(far) + 9)]
+    assert [(s.start, s.end) for s in found[11].added] == [(0, 8)] and found[11].base == ""
+    assert len(found[None].added) == 1 and found[20].added is None and len(found) == 207
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert clean[11] == "[NAME], zanzibars" and not any("Zanzibar" in t for t in clean.values())
+
+
+def test_free_words_are_those_left_beside_base_spans():
+    text = "ébob@s.example.com_x 4260310673142592, 4260"
+    assert [m[0] for m in pii.free_words(text, pii.base_spans(text))] == ["é", "_x", "4260"]
+
+
 def test_sanitise(spark):
     df = corpus(spark).selectExpr("*", "'x' AS base", "length(text) AS n_chars")
     out = pii.sanitise(df)
