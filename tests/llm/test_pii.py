@@ -100,6 +100,15 @@ def test_free_words_are_those_left_beside_base_spans():
     assert [m[0] for m in pii.free_words(text, pii.base_spans(text))] == ["é", "_x", "4260"]
 
 
+def test_terms_whose_lower_case_is_no_word(spark):
+    """Capital I with dot: lower() makes it "i" and U+0307, which is no word character."""
+    rows = [(k, f"bob@s.example.com lives in \u0130zmir") for k in range(3)]
+    rows += [(10 + k, "the plain text lives in it") for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.added for r in pii.find_spans(df).collect()}
+    assert [(s.start, s.end, s.kind) for s in found[0]] == [(27, 32, "remove")]
+
+
 def test_sanitise(spark):
     df = corpus(spark).selectExpr("*", "'x' AS base", "length(text) AS n_chars")
     out = pii.sanitise(df)
