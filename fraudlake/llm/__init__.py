@@ -1,4 +1,4 @@
-"""Training-data operators (ten) and their registered queries.
+"""Training-data operators and their registered queries.
 
 Nothing else in the library imports this subpackage. Each module holds one
 operator with a general interface; :mod:`fraudlake.llm.queries` derives the

@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators: thin digests of their results."""
+"""Registered queries of the operators: thin digests of their results."""
 
 from __future__ import annotations
 
@@ -111,6 +111,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataF
     return round_trip_digests(_table(spark, sf_dir, "documents"), path)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened coordinates of all vectors."""
+    from fraudlake.llm.whitening import whiten
+
+    return whiten(_table(spark, sf_dir, "embeddings"), components=4, scale=256.0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's result."""
     import corpus_pipeline
@@ -131,5 +138,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
+    "op11_whitening": op11_whitening,
     "pipeline": pipeline,
 }

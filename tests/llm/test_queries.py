@@ -17,10 +17,12 @@ COLUMNS = {
     "op8_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op9_mixing": ["doc_id", "size", "source_size", "target", "taken"],
     "op10_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op11_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained",
+                       "identity_error"],
 }
 
 
-def test_ten_operators_and_the_pipeline():
+def test_operators_and_the_pipeline():
     assert set(QUERIES) == set(COLUMNS) | {"pipeline"}
 
 
@@ -28,12 +30,11 @@ def test_ten_operators_and_the_pipeline():
 def test_contract_columns_and_rows(spark, key):
     df = QUERIES[key](spark, SF)
     assert df.columns[:len(COLUMNS[key])] == COLUMNS[key]
-    table = {"op4_warc": "pages", "op6_ego": "embeddings"}.get(key, "documents")
-    n = df.count()
-    if key != "op7_ann":
-        assert n == spark.read.parquet(f"{SF}/{table}.parquet").count()
-    else:
-        assert n == 50
+    table = {"op4_warc": "pages", "op6_ego": "embeddings", "op7_ann": "embeddings",
+             "op11_whitening": "embeddings"}.get(key, "documents")
+    rows = spark.read.parquet(f"{SF}/{table}.parquet").count()
+    want = {"op7_ann": rows // 100 * 10, "op11_whitening": 4 * rows}.get(key, rows)
+    assert df.count() == want
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE_SQL))
