@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from fraudlake.session import scratch_path
 
+__all__ = ["file_store", "group_starts", "scratch_path", "shuffle_partitions", "staged",
+           "text_rows", "whole_groups"]
+
 
 def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` to a fresh folder under ``spark.checkpoint.dir`` and read it
@@ -21,6 +24,17 @@ def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def file_store(path: str):
+    """(pyarrow file system, path in it) of a URI or a plain path."""
+    from pyarrow import fs
+
+    if "://" in path or path.startswith("file:/"):
+        if path.startswith("file:/") and not path.startswith("file://"):
+            path = "file://" + path[5:]
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
+
+
 def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only ``doc_id`` (long) and ``text`` (string): other columns cannot clash."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),

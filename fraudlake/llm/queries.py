@@ -118,6 +118,30 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings"), components=4, scale=256.0)
 
 
+def op12_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token records of all documents, written and read back."""
+    import public_tokenizers
+
+    from fraudlake.llm.records import archive_tokens
+
+    back = archive_tokens(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, end_id=0)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two tokenizers in all documents."""
+    import public_tokenizers
+
+    from fraudlake.llm.alignment import Files, align
+
+    return align(_table(spark, sf_dir, "documents"), Files(
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+        public_tokenizers.path("piece_bpe_32k.model")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's result."""
     import corpus_pipeline
@@ -139,5 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
     "op11_whitening": op11_whitening,
+    "op12_records": op12_records,
+    "op13_alignment": op13_alignment,
     "pipeline": pipeline,
 }

@@ -19,6 +19,9 @@ COLUMNS = {
     "op10_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op11_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained",
                        "identity_error"],
+    "op12_records": ["doc_id", "start", "n_tokens", "ids_crc32"],
+    "op13_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                       "groups_sha256"],
 }
 
 
