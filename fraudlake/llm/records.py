@@ -46,7 +46,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
-from fraudlake.llm.common import file_store, scratch_path, staged, text_rows
+from fraudlake.llm.common import file_store, scratch_path, text_rows
 
 # Fixed values of the format: the Castagnoli polynomial (reflected) and the mask.
 POLYNOMIAL = 0x82F63B78
@@ -56,7 +56,8 @@ _LANE = 64
 _HEAD = np.dtype([("doc_id", "<i8"), ("flags", "u1"), ("width", "u1"), ("zero", "<u2")])
 _INDEX = np.dtype([("offset", "<u8"), ("doc_id", "<i8"), ("tokens", "<u4"), ("flags", "<u4")])
 _FRAME = 16  # bytes of a frame around its data
-_BLOCK = 8 << 20  # bytes read at a time
+_BLOCK = 4 << 20  # bytes read at a time
+_PIECE = 2 << 20  # bytes framed, and characters encoded, at a time
 
 
 # ---- checksums -------------------------------------------------------------------------
@@ -185,6 +186,15 @@ SCHEMA = "doc_id long, start long, n_tokens long, ids binary"
 INDEX_SCHEMA = "file string, offset long, doc_id long, start long, n_tokens long"
 
 
+def _pieces(batches: Iterator) -> Iterator[list[bytes]]:
+    """Column ``data`` of the batches, in lists of about ``_PIECE`` bytes."""
+    for batch in batches:
+        column = batch.column("data")
+        rows = max(1, _PIECE * len(column) // max(column.nbytes, 1))
+        for at in range(0, len(column), rows):
+            yield column.slice(at, rows).to_pylist()
+
+
 @dataclass
 class _Written(WriterCommitMessage):
     partition: int
@@ -212,10 +222,11 @@ class RecordWriter(DataSourceArrowWriter):
             done[-1] |= {"records": len(entries), "tokens": int(entries["tokens"].sum())}
 
         size = 0
-        for batch in iterator:
-            doc_ids = batch.column("doc_id").to_pylist()
-            ids = [np.frombuffer(x or b"", "<u4") for x in batch.column("ids").to_pylist()]
-            made = frames([serialise(d, x) for d, x in zip(doc_ids, ids, strict=True)])
+        for data in _pieces(iterator):
+            heads = np.frombuffer(b"".join([d[:_HEAD.itemsize] for d in data]), _HEAD)
+            tokens = (np.fromiter(map(len, data), np.int64, len(data)) - _HEAD.itemsize
+                      ) // heads["width"]
+            made = frames(data)
             at = 0
             while at < len(made):
                 if out is None or size >= self.max_file_bytes:
@@ -229,9 +240,8 @@ class RecordWriter(DataSourceArrowWriter):
                 own = slice(at, at + n)
                 entry = np.zeros(n, _INDEX)
                 entry["offset"] = np.r_[size, ends[:n - 1]]
-                entry["doc_id"] = [d or 0 for d in doc_ids[own]]
-                entry["flags"] = [d is None for d in doc_ids[own]]
-                entry["tokens"] = list(map(len, ids[own]))
+                entry["doc_id"], entry["flags"] = heads["doc_id"][own], heads["flags"][own]
+                entry["tokens"] = tokens[own]
                 out.write(b"".join(made[own]))
                 index.append(entry)
                 size, at = int(ends[n - 1]), at + n
@@ -377,40 +387,47 @@ class ByteBpe:
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
+def in_order(rows: DataFrame, key: str, weight: str, task_bytes: int = 16 << 20) -> DataFrame:
+    """``rows`` in ascending order of ``key``, nulls last, over partitions of about
+    ``task_bytes`` of column ``weight`` (a string or binary).
+
+    Rows are dealt by ranges of (key, hash of the weight column, row number), so a
+    key that a third of all rows share is many partitions; rows of equal keys come
+    in the order of that hash (equal rows are alike in any order). ``rows`` is read
+    three times: for its size, for the range limits and for the rows themselves.
+    """
+    tie, number = "__order_tie", "__order_row"
+    size = rows.agg(F.sum(F.coalesce(F.octet_length(weight), F.lit(0)) + _FRAME)).first()[0] or 0
+    order = [F.col(key).asc_nulls_last(), F.col(tie), F.col(number)]
+    return (rows.withColumns({tie: F.xxhash64(weight), number: F.monotonically_increasing_id()})
+            .repartitionByRange(max(1, -(-size // task_bytes)), *order)
+            .sortWithinPartitions(*order).drop(tie, number))
+
+
 def encoded(docs: DataFrame, path: str, ranks: str, pattern: str, end_id: int = 0) -> DataFrame:
-    """(doc_id, ids): ids of every whole text with ``end_id`` behind, as
-    little-endian unsigned 32-bit integers. Null and empty texts: the end only."""
+    """(doc_id, data): every document's ids with ``end_id`` behind, serialised, row
+    for row. Null and empty texts: the end only."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = ByteBpe(path, ranks, pattern)
-        end = np.array([end_id], "<u4").tobytes()
+        none = np.zeros(0, np.uint32)
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "ids": [
-                (encode(t).astype("<u4").tobytes() if t else b"") + end for t in batch["text"]]})
+            upto = batch["text"].str.len().fillna(0).cumsum() // _PIECE
+            for _, part in batch.groupby(upto, sort=False):
+                yield pd.DataFrame({"doc_id": part["doc_id"], "data": [
+                    serialise(None if pd.isna(d) else int(d),
+                              np.append(encode(t) if t else none, end_id))
+                    for d, t in zip(part["doc_id"], part["text"], strict=True)]})
 
-    return text_rows(docs).mapInPandas(run, "doc_id long, ids binary")
+    return text_rows(docs).mapInPandas(run, "doc_id long, data binary")
 
 
-def write_records(sequences: DataFrame, path: str, max_file_bytes: int = 128 << 20,
-                  task_bytes: int = 32 << 20) -> None:
-    """Write ``sequences`` (doc_id, ids) to ``path`` in ascending doc_id order.
-
-    Rows are dealt by ranges of (doc_id, hash of the ids, row number) of about
-    ``task_bytes`` each, so a doc_id that a third of all rows share is many tasks.
-    Null doc_ids come last; rows of equal doc_id in the order of their ids' hash
-    (equal rows are alike in any order). No rows: an empty manifest.
-    """
-    spark = sequences.sparkSession
-    register(spark)
-    own = staged(sequences.select(
-        "doc_id", "ids", F.xxhash64("ids").alias("tie"),
-        F.monotonically_increasing_id().alias("row")), "record-rows")
-    size = own.agg(F.sum(F.octet_length("ids") + 28)).first()[0] or 0
-    order = [F.col("doc_id").asc_nulls_last(), F.col("tie"), F.col("row")]
-    (own.repartitionByRange(max(1, -(-size // task_bytes)), *order)
-     .sortWithinPartitions(*order).select("doc_id", "ids")
-     .write.format("tokenrecords").mode("append").option("maxFileBytes", str(max_file_bytes))
-     .save(path))
+def write_records(sequences: DataFrame, path: str, max_file_bytes: int = 128 << 20) -> None:
+    """Append ``sequences`` (data: see :func:`serialise`) to ``path`` in the order of
+    their partitions and rows. No rows: an empty manifest."""
+    register(sequences.sparkSession)
+    (sequences.select("data").write.format("tokenrecords").mode("append")
+     .option("maxFileBytes", str(max_file_bytes)).save(path))
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -460,14 +477,17 @@ def read_shuffled(spark: SparkSession, path: str, seed: int, parts: int | None =
 
 
 def archive_tokens(docs: DataFrame, path: str, ranks: str, pattern: str, end_id: int = 0,
-                   folder: str | None = None, **options) -> DataFrame:
-    """Encode ``docs`` (doc_id, text), write records to ``folder`` (a fresh shared one
-    by default) and read them back: (doc_id, start, n_tokens, ids).
-
-    Null and empty texts are the end id alone. Very long texts are one record.
-    Repeated rows are records of their own; null doc_ids stay and come last. An
-    empty table gives an empty result. Other columns are not read.
+                   folder: str | None = None, task_bytes: int = 16 << 20, **options) -> DataFrame:
+    """Encode ``docs`` (doc_id, text) in ascending doc_id order, write records to
+    ``folder`` (a fresh shared one by default) and read them back: (doc_id, start,
+    n_tokens, ids).
+
+    Texts are dealt by doc_id before they are encoded, so ids go straight to the
+    files. Null and empty texts are the end id alone. Very long texts are one
+    record. Repeated rows are records of their own; null doc_ids stay and come
+    last. An empty table gives an empty result. Other columns are not read.
     """
     folder = folder or scratch_path(docs.sparkSession, "records")
-    write_records(encoded(docs, path, ranks, pattern, end_id), folder, **options)
+    rows = in_order(text_rows(docs), "doc_id", "text", task_bytes)
+    write_records(encoded(rows, path, ranks, pattern, end_id), folder, **options)
     return read_records(docs.sparkSession, folder)

@@ -51,7 +51,7 @@ def test_query_equals_the_library(spark):
 
 def test_hard_documents_many_files_and_shuffled_reads(spark, hard_docs, tmp_path):
     folder = str(tmp_path / "records")
-    back = records.archive_tokens(hard_docs, *FILES, folder=folder, max_file_bytes=600,
+    back = records.archive_tokens(hard_docs, *FILES, folder=folder, max_file_bytes=400,
                                   task_bytes=20_000).collect()
     rows = hard_docs.select("doc_id", "text").collect()
     by_start = sorted(back, key=lambda r: r.start)
@@ -96,7 +96,9 @@ def test_damaged_files_raise(spark, hard_docs, tmp_path):
 
 def test_appended_records_follow(spark, tmp_path):
     folder = str(tmp_path / "records")
-    rows = spark.createDataFrame([(1, b"\1\0\0\0"), (2, b"\2\0\0\0\0\0\1\0")], "doc_id long, ids binary")
+    rows = spark.createDataFrame([
+        (i, records.serialise(i, np.array(ids, np.uint32))) for i, ids in ((1, [1]), (2, [2, 65536]))],
+        "doc_id long, data binary")
     records.write_records(rows, folder)
     records.write_records(rows, folder)
     got = sorted((r.start, r.doc_id, bytes(r.ids)) for r in records.read_records(spark, folder).collect())
