@@ -73,6 +73,7 @@ def _split_key(x: Column, lo: float, hi: float) -> Column:
 @dataclass
 class _State:
     cid: int
+    group: object = None
     k: int = 0  # target rank among non-NULL values
     lo: float = 0.0  # current band [lo, hi] (set after the first pass)
     hi: float = 0.0
@@ -83,61 +84,89 @@ class _State:
     done: bool = False
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.95,
-                    ) -> tuple[dict[str, float | None], dict[str, float | None]]:
+Quantiles = tuple[dict[str, float | None], dict[str, float | None]]
+
+
+def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.95) -> Quantiles:
     """Exact discrete ``q`` quantile of each column, and its mean.
 
     Returns ``({column: quantile}, {column: mean})``; both are NULL (None) for
     a column without non-NULL values. The mean (NaN if any value is NaN, like
     ``avg``) comes from the first pass at no extra cost.
     """
-    states = [_State(i) for i in range(len(columns))]
-    cid, x = F.col("cid"), F.col("x")
+    return _select(df, columns, None, q).get(None, _none(columns))
+
+
+def exact_quantiles_by(df: DataFrame, columns: list[str], by: str, q: float = 0.95,
+                       ) -> dict[object, Quantiles]:
+    """:func:`exact_quantiles` of every group of column ``by``, all in the same
+    passes: the open buckets of all groups are split by one scan.
+
+    For few groups (table versions, say, or regions): the driver holds a bucket
+    summary per group and column, and a pass tests one band for each that is
+    still open. Groups without any non-NULL value are left out.
+    """
+    return _select(df, columns, by, q)
+
+
+def _none(columns: list[str]) -> Quantiles:
+    return {c: None for c in columns}, {c: None for c in columns}
+
+
+def _select(df: DataFrame, columns: list[str], by: str | None, q: float) -> dict[object, Quantiles]:
+    cid, x, group = F.col("cid"), F.col("x"), F.col("g")
+    kept = [] if by is None else [F.col(by).alias("g")]
+    names = ["cid"] if by is None else ["g", "cid"]
 
-    def summary(rows: DataFrame, live: list[_State], key: Column) -> dict[int, list]:
+    def summary(rows: DataFrame, live: set[int], key: Column) -> dict[tuple, list]:
         """Bucket summaries of the live columns, stacked; bounded: one row per
-        (column, bucket)."""
-        pairs = [F.struct(F.lit(st.cid).alias("cid"),
-                          F.col(columns[st.cid]).cast("double").alias("x")) for st in live]
-        stacked = rows.select(F.inline(F.array(*pairs))).filter(x.isNotNull())
-        out: dict[int, list] = {st.cid: [] for st in live}
-        for r in (stacked.select("cid", "x", key.cast("double").alias("key"))
-                  .filter(F.col("key").isNotNull()).groupBy("cid", "key")
+        (group, column, bucket)."""
+        pairs = [F.struct(F.lit(c).alias("cid"), F.col(columns[c]).cast("double").alias("x"))
+                 for c in sorted(live)]
+        stacked = rows.select(*kept, F.inline(F.array(*pairs))).filter(x.isNotNull())
+        out: dict[tuple, list] = {}
+        for r in (stacked.select(*names, "x", key.cast("double").alias("key"))
+                  .filter(F.col("key").isNotNull()).groupBy(*names, "key")
                   .agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"),
                        F.max(x).alias("hi"), F.sum(x).alias("s")).collect()):
-            out[r["cid"]].append(r)
+            out.setdefault((r["g"] if by else None, r["cid"]), []).append(r)
         return out
 
-    for st, rows in zip(states, summary(df, states, _log_key(x)).values()):
+    states: dict[tuple, _State] = {}
+    for (g, c), rows in summary(df, set(range(len(columns))), _log_key(x)).items():
         n = sum(r["n"] for r in rows)
-        if n == 0:
-            st.done = True
-            continue
-        st.k, st.m = target_rank(q, n), n
+        st = states[g, c] = _State(c, g, target_rank(q, n), m=n)
         try:
             st.mean = math.fsum(r["s"] for r in rows) / n
         except (ValueError, OverflowError):  # inf - inf, or overflow
             st.mean = sum(r["s"] for r in rows) / n
         _descend(st, rows)
-    while live := [st for st in states if not st.done]:
+    while live := [st for st in states.values() if not st.done]:
         # The band is tested on the base columns, so the scan can skip rows;
         # stacked values outside their own column's band get no key.
         band, key = None, None
         for st in live:
             lo, hi = F.lit(st.lo), F.lit(st.hi)
             inside = F.col(columns[st.cid]).between(lo, hi)
+            mine = (cid == st.cid) & x.between(lo, hi)
+            if by is not None:
+                inside = F.col(by).eqNullSafe(F.lit(st.group)) & inside
+                mine = group.eqNullSafe(F.lit(st.group)) & mine
             band = inside if band is None else band | inside
-            part = F.when((cid == st.cid) & x.between(lo, hi), _split_key(x, st.lo, st.hi))
+            part = F.when(mine, _split_key(x, st.lo, st.hi))
             key = part if key is None else F.coalesce(key, part)
-        found = summary(df.filter(band), live, key)
+        found = summary(df.filter(band), {st.cid for st in live}, key)
         for st in live:
-            if sum(r["n"] for r in found[st.cid]) != st.m:
+            rows = found.get((st.group, st.cid), [])
+            if sum(r["n"] for r in rows) != st.m:
                 raise RuntimeError(
                     "input changed between passes (non-deterministic plan?); "
                     "write it to a table or checkpoint() it first")
-            _descend(st, found[st.cid])
-    return ({c: states[i].answer for i, c in enumerate(columns)},
-            {c: states[i].mean for i, c in enumerate(columns)})
+            _descend(st, rows)
+    out = {g: _none(columns) for g, _ in states}
+    for (g, c), st in states.items():
+        out[g][0][columns[c]], out[g][1][columns[c]] = st.answer, st.mean
+    return out
 
 
 def _descend(st: _State, buckets: list) -> None:

@@ -66,10 +66,10 @@ def alerts(silver: DataFrame, cut: int = S.DEFAULT_ALERT_CUT) -> DataFrame:
 # it, so a run reads Silver once for them instead of three times.
 # ---------------------------------------------------------------------------
 
-def score_rollup(silver: DataFrame) -> DataFrame:
-    """Per score value: counts and sums every Gold table and check needs."""
+def score_rollup(silver: DataFrame, *by: str) -> DataFrame:
+    """Per score value (and ``by``): counts and sums every Gold table and check needs."""
     fraud, home, ratio = F.col(S.FRAUD), F.col(S.DISTANCE_HOME), F.col(S.RATIO)
-    return silver.groupBy(S.SCORE).agg(
+    return silver.groupBy(*by, S.SCORE).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(fraud == 1).alias("n_fraud1"),
         F.count_if(fraud == 0).alias("n_fraud0"),
@@ -120,10 +120,10 @@ def metrics_from_rollup(rollup: DataFrame, cut: int = S.DEFAULT_ALERT_CUT) -> Da
     )
 
 
-def silver_stats_from_rollup(rollup: DataFrame) -> DataFrame:
+def silver_stats_from_rollup(rollup: DataFrame, *by: str) -> DataFrame:
     """The quality gate's Silver statistics computed from :func:`score_rollup`."""
     lvl = risk.level(S.SCORE)
-    return rollup.agg(
+    return rollup.groupBy(*by).agg(
         _sum("n").alias("n_silver"),
         _sum("n_fraud_null").alias("fraud_nulls"),
         _sum("n_fraud1").alias("frauds"),

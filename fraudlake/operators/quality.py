@@ -19,7 +19,7 @@ import string
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudlake import schema as S
@@ -164,10 +164,8 @@ def _render(template: str) -> Column:
 
 def bronze_statistics(bronze: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One-row aggregate of the Bronze statistics the rules need."""
-    b_stats = dict(BRONZE_STATS)
-    for r in rules:
-        b_stats.update(dict(r.bronze_stats))
-    return with_corrupt_column(bronze).agg(*[F.expr(e).alias(k) for k, e in b_stats.items()])
+    return with_corrupt_column(bronze).agg(
+        *[F.expr(e).alias(k) for k, e in bronze_expressions(rules).items()])
 
 
 def silver_statistics(silver: DataFrame) -> DataFrame:
@@ -199,8 +197,7 @@ def statistics(bronze: DataFrame, silver: DataFrame | None,
     # Bronze statistics join the one Silver row as scalar subqueries (Spark
     # merges them into one aggregate over Bronze).
     b = bronze_statistics(bronze, rules)
-    one = s.select("*", *[b.select(k).scalar().alias(k) for k in b.columns])
-    return one.withColumns({k: F.expr(e) for k, e in DERIVED_STATS.items()})
+    return derived(s.select("*", *[b.select(k).scalar().alias(k) for k in b.columns]))
 
 
 def quality_report(bronze: DataFrame, silver: DataFrame | None,
@@ -208,7 +205,27 @@ def quality_report(bronze: DataFrame, silver: DataFrame | None,
                    silver_stats: DataFrame | None = None) -> DataFrame:
     """One row per rule: check_id, check, status, detail, alert (NULL if none)."""
     rules = default_rules() if rules is None else rules
-    stats = statistics(bronze, silver, rules, silver_stats)
+    return report_of(statistics(bronze, silver, rules, silver_stats), rules)
+
+
+def bronze_expressions(rules: Sequence[Rule]) -> dict[str, str]:
+    """Bronze statistics that ``rules`` need: name -> SQL aggregate."""
+    return BRONZE_STATS | {k: e for r in rules for k, e in r.bronze_stats}
+
+
+def silver_expressions(rules: Sequence[Rule]) -> dict[str, str]:
+    """Silver statistics that ``rules`` need: name -> SQL aggregate."""
+    return SILVER_STATS | {k: e for r in rules for k, e in r.silver_stats}
+
+
+def derived(stats: DataFrame) -> DataFrame:
+    """``stats`` with the statistics that follow from others."""
+    return stats.withColumns({k: F.expr(e) for k, e in DERIVED_STATS.items()})
+
+
+def report_of(stats: DataFrame, rules: Sequence[Rule], *by: str) -> DataFrame:
+    """The report of each row of ``stats`` (all statistics, derived ones too), with
+    its columns ``by`` in front."""
     rows = []
     for r in rules:
         passed = F.coalesce(F.expr(r.predicate), F.lit(False))
@@ -220,7 +237,25 @@ def quality_report(bronze: DataFrame, silver: DataFrame | None,
                              status.alias("status"),
                              _render(r.detail).alias("detail"),
                              alert.alias("alert")))
-    return stats.select(F.inline(F.array(*rows)))
+    return stats.select(*by, F.inline(F.array(*rows)))
+
+
+# Shares and means whose change from version to version is worth a look.
+DRIFT = ("fraud_rate", "qa_pct", "critical_pct", "mean_home")
+
+
+def gate_history(stats: DataFrame, version: str = S.SNAPSHOT_VERSION) -> DataFrame:
+    """Per version: its stored statistics and, for those in :data:`DRIFT`, the change
+    from the version before. ``stats`` has one row a version, so the window over
+    all of them is as small as the list of versions."""
+    order = Window.orderBy(version)
+    keep = ("n_bronze", "n_silver", "fraud_nulls", "frauds", "neg_home", "score_nulls", "qa_ok",
+            "critical")
+    return derived(stats).select(
+        version, *[F.col(c).cast("long").alias(c) for c in keep],
+        *[F.round(c, 4).alias(c) for c in DRIFT],
+        *[F.round(F.col(c) - F.lag(c).over(order), 4).alias(f"delta_{c}") for c in DRIFT],
+        (F.col("n_silver") - F.lag("n_silver").over(order)).cast("long").alias("delta_n_silver"))
 
 
 def quality_summary(report: DataFrame) -> DataFrame:

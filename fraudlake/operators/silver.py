@@ -4,8 +4,9 @@ Thresholds reach the rows as literals (exact mode) or as scalar subqueries
 over a one-row DataFrame (no join, no broadcast). By default they
 are exact discrete percentiles from the histogram selection of
 :mod:`fraudlake.functions.quantile` (a few grouped passes, deterministic);
-``exact=False`` gives the lazy ``percentile_approx`` aggregate of the
-original notebook, whose value can move with the data's partitioning.
+``exact=False`` reads them from KLL sketches merged in levels
+(:mod:`fraudlake.functions.sketch`), within a rank error like that of the
+original notebook's ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fraudlake import schema as S
-from fraudlake.functions import risk
-from fraudlake.functions.quantile import exact_quantiles
+from fraudlake.functions import risk, sketch
+from fraudlake.functions.quantile import Quantiles, exact_quantiles, exact_quantiles_by
 
 
 def typed(df: DataFrame, strict: bool = True) -> DataFrame:
@@ -47,27 +48,47 @@ def typed(df: DataFrame, strict: bool = True) -> DataFrame:
 def threshold_values(df: DataFrame, p: float = S.DEFAULT_PERCENTILE,
                      ) -> dict[str, float | None]:
     """Exact thresholds and means as Python numbers (a few grouped jobs run now)."""
-    q, mean = exact_quantiles(df, list(S.MEASURES), p)
+    return _named(exact_quantiles(df, list(S.MEASURES), p))
+
+
+def _named(found: Quantiles) -> dict[str, float | None]:
+    q, mean = found
     values = [q[m] for m in S.MEASURES] + [mean[S.DISTANCE_HOME], mean[S.RATIO]]
     return {f.name: v for f, v in zip(S.THRESHOLDS_SCHEMA.fields, values)}
 
 
+def threshold_values_by(df: DataFrame, by: str, groups: Sequence, p: float = S.DEFAULT_PERCENTILE,
+                        ) -> dict[object, dict[str, float | None]]:
+    """:func:`threshold_values` of each of ``groups`` of column ``by``, in one set of
+    passes for all."""
+    found = exact_quantiles_by(df, list(S.MEASURES), by, p)
+    empty = dict.fromkeys(S.MEASURES)
+    return {g: _named(found.get(g, (empty, empty))) for g in groups}
+
+
+def measure_sketches(df: DataFrame, accuracy: int = S.DEFAULT_ACCURACY) -> DataFrame:
+    """One row of mergeable sketches, sums and counts of the three measures."""
+    return sketch.sketches(df, list(S.MEASURES), accuracy)
+
+
+def sketch_thresholds(sketched: DataFrame, p: float = S.DEFAULT_PERCENTILE) -> DataFrame:
+    """Thresholds and means from one row of :func:`measure_sketches` (or a union)."""
+    return sketched.select(
+        *[sketch.quantile(m, p).alias(t) for m, t in zip(S.MEASURES, S.THRESHOLD_COLUMNS)],
+        sketch.mean(S.DISTANCE_HOME).alias(S.MEAN_HOME), sketch.mean(S.RATIO).alias(S.MEAN_RATIO))
+
+
 def thresholds(df: DataFrame, p: float = S.DEFAULT_PERCENTILE,
                accuracy: int = S.DEFAULT_ACCURACY, exact: bool = True) -> DataFrame:
     """One row: the ``p`` quantile of the three measures and two means.
 
     ``exact=True`` (default) gives the discrete quantile (smallest value with
     cume_dist >= p): a few grouped aggregate jobs run now, and the result is a
-    literal one-row DataFrame. ``exact=False`` is the lazy
-    ``percentile_approx(x, p, accuracy)`` aggregate. Its final merge of every
-    task's sketch runs in one task, so prefer the exact mode on large inputs.
+    literal one-row DataFrame. ``exact=False`` is lazy: one scan, sketches merged
+    in levels, rank error about ``1 / accuracy``.
     """
     if not exact:
-        return df.agg(
-            *[F.percentile_approx(m, p, accuracy).alias(t)
-              for m, t in zip(S.MEASURES, S.THRESHOLD_COLUMNS)],
-            F.avg(S.DISTANCE_HOME).alias(S.MEAN_HOME), F.avg(S.RATIO).alias(S.MEAN_RATIO),
-        )
+        return sketch_thresholds(measure_sketches(df, accuracy), p)
     values = threshold_values(df, p)
     return df.sparkSession.range(1).select(
         *[F.lit(v).cast("double").alias(k) for k, v in values.items()])
@@ -122,12 +143,12 @@ def flag_prevalence(silver: DataFrame, flags: Sequence[str] = S.BASE_FLAGS) -> D
 def rank_within(df: DataFrame, values: DataFrame, p: float = S.DEFAULT_PERCENTILE,
                 accuracy: int = S.DEFAULT_ACCURACY) -> DataFrame:
     """One row of booleans: does each threshold of the one-row ``values`` hold the
-    ``p`` quantile within the sketch's rank error of ``1 / accuracy`` (plus one
-    row for the rounding of the target rank)?"""
-    out = []
+    ``p`` quantile within twice the sketch's rank error (plus one row for the
+    rounding of the target rank)?"""
+    out, error = [], 2 * sketch.rank_error(accuracy)
     for m, t in zip(S.MEASURES, S.THRESHOLD_COLUMNS):
         v, n = values.select(t).scalar(), F.count(m)
-        slack = n / F.lit(float(accuracy)) + 1
+        slack = n * error + 1
         out.append(((F.count_if(F.col(m) <= v) >= n * p - slack)
                     & (F.count_if(F.col(m) < v) <= n * p + slack)).alias(t))
     return df.agg(*out)

@@ -14,7 +14,7 @@ Reading "as of" a version lists and reads only that version's folder.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -64,17 +64,55 @@ def next_version(spark: SparkSession, path: str) -> int:
     return 0 if last is None else last + 1
 
 
-def replace_partition(df: DataFrame, path: str, column: str, value: int | str) -> int:
+class Watch:
+    """Aggregates of the rows that a write writes, measured by the write itself:
+    ``exprs`` maps names to SQL aggregates, ``values`` has them after the write."""
+
+    def __init__(self, exprs: dict[str, str]):
+        self.exprs = exprs
+        self.values: dict = {}
+        self.schema: T.StructType | None = None
+
+    def row(self, spark: SparkSession) -> DataFrame:
+        """The values as a one-row DataFrame."""
+        return spark.range(1).select(*[
+            F.lit(self.values[f.name]).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+
+
+def _watched(df: DataFrame, watch: Watch | None) -> tuple[DataFrame, Callable[[], int]]:
+    """``df`` as observed, and what to call after the write for its rows."""
+    seen, exprs = Observation(), [] if watch is None else [
+        F.expr(e).alias(k) for k, e in watch.exprs.items()]
+    if watch is not None:
+        watch.schema = df.agg(*exprs).schema
+
+    def written() -> int:
+        if watch is not None:
+            watch.values = {k: seen.get[k] for k in watch.exprs}
+        return seen.get["__n"]
+
+    return df.observe(seen, F.count(F.lit(1)).alias("__n"), *exprs), written
+
+
+def write_watched(df: DataFrame, folder: str, watch: Watch | None = None) -> int:
+    """Write ``df`` to a folder of its own; returns its rows."""
+    rows, written = _watched(df, watch)
+    rows.write.mode("overwrite").parquet(folder)
+    return written()
+
+
+def replace_partition(df: DataFrame, path: str, column: str, value: int | str,
+                      watch: Watch | None = None) -> int:
     """Replace partition ``column=value`` of the folder by ``df``; returns its rows.
 
     The partition changes only when the job commits: until then, and for good
-    if the job dies, readers see the old rows.
+    if the job dies, readers see the old rows. ``watch`` is observed in the
+    writing tasks: no scan after it, and no row counted twice if one is repeated.
     """
-    seen = Observation()
-    rows = df.drop(column).observe(seen, F.count(F.lit(1)).alias("n"))
+    rows, written = _watched(df.drop(column), watch)
     (rows.withColumn(column, F.lit(value)).write.mode("overwrite").partitionBy(column)
      .option("partitionOverwriteMode", "dynamic").parquet(path.rstrip("/")))
-    n = seen.get["n"]
+    n = written()
     if not n:  # no row, no partition to replace: leave an empty one
         (df.sparkSession.createDataFrame([], df.drop(column).schema).write.mode("overwrite")
          .parquet(f"{path.rstrip('/')}/{column}={value}"))
@@ -82,20 +120,78 @@ def replace_partition(df: DataFrame, path: str, column: str, value: int | str) -
 
 
 def write_snapshot(df: DataFrame, path: str, version: int | None = None,
-                   now: _dt.datetime | None = None) -> int:
+                   now: _dt.datetime | None = None, watch: Watch | None = None) -> int:
     """Write ``df`` as version ``version`` (default: latest + 1); returns it.
 
     ``now`` is the time recorded for the write. One writer at a time is assumed.
     """
     spark = df.sparkSession
     v = next_version(spark, path) if version is None else int(version)
-    n = replace_partition(df, path, V, v)
-    at = now or _dt.datetime.now(_dt.timezone.utc)
-    (spark.createDataFrame([(v, n, at)], MANIFEST_SCHEMA).coalesce(1)
-     .write.mode("append").parquet(manifest_path(path)))
+    n = replace_partition(df, path, V, v, watch)
+    record(spark, path, {v: n}, now)
     return v
 
 
+def record(spark: SparkSession, path: str, rows: dict[int, int],
+           now: _dt.datetime | None = None) -> None:
+    """Enter writes (version: rows) in the manifest."""
+    at = now or _dt.datetime.now(_dt.timezone.utc)
+    (spark.createDataFrame([(v, n, at) for v, n in sorted(rows.items())], MANIFEST_SCHEMA)
+     .coalesce(1).write.mode("append").parquet(manifest_path(path)))
+
+
+def write_snapshots(df: DataFrame, path: str, versions: Sequence[int],
+                    now: _dt.datetime | None = None) -> dict[int, int]:
+    """Replace each of ``versions`` by its rows of ``df`` (column ``version``), all in
+    one job; returns their numbers of rows. A version without rows is empty then."""
+    spark, seen = df.sparkSession, Observation()
+    counts = [F.count_if(F.col(V) == v).alias(f"v{v}") for v in versions]
+    (df.filter(F.col(V).isin(list(versions))).observe(seen, *counts).write.mode("overwrite")
+     .partitionBy(V).option("partitionOverwriteMode", "dynamic").parquet(path.rstrip("/")))
+    rows = {v: seen.get[f"v{v}"] for v in versions}
+    for v in (v for v, n in rows.items() if not n):
+        (spark.createDataFrame([], df.drop(V).schema).write.mode("overwrite")
+         .parquet(f"{path.rstrip('/')}/{V}={v}"))
+    record(spark, path, rows, now)
+    return rows
+
+
+def read_versions(spark: SparkSession, path: str, versions: Sequence[int],
+                  schema: T.StructType) -> DataFrame:
+    """Several versions with their number in column ``version``; only their folders
+    are read."""
+    where = [f"{path.rstrip('/')}/{V}={int(v)}" for v in versions]
+    fields = [*schema.fields, T.StructField(V, T.IntegerType())]
+    return (spark.read.schema(T.StructType(fields)).option("basePath", path.rstrip("/"))
+            .parquet(*where))
+
+
+def adopt(spark: SparkSession, staged: str, path: str, version: int, rows: int,
+          now: _dt.datetime | None = None) -> None:
+    """Make the folder ``staged`` version ``version`` by renaming it: its rows are not
+    written again. An older folder of that version goes only when the new one is in
+    its place."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new, target = hadoop(staged), hadoop(f"{path.rstrip('/')}/{V}={int(version)}")
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(target.getParent())
+    old = hadoop(f"{staged.rstrip('/')}.old")
+    had = store.exists(target)
+    if had and not store.rename(target, old):
+        raise OSError(f"cannot set {target} aside")
+    if not store.rename(new, target):
+        raise OSError(f"cannot move {new} to {target}")
+    if had:
+        store.delete(old, True)
+    record(spark, path, {int(version): rows}, now)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder (nothing happens if it is not there)."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def read_as_of(spark: SparkSession, path: str, version: int,
                schema: T.StructType | None = None) -> DataFrame:
     """The snapshot at ``version`` without the version column (one folder read).

@@ -80,8 +80,14 @@ class TableStore:
     # --- versioned tables ---------------------------------------------------
 
     def write_version(self, df: DataFrame, table: str, version: int,
-                      now: _dt.datetime | None = None) -> None:
-        versions.write_snapshot(df, self.path(table), version, now)
+                      now: _dt.datetime | None = None,
+                      watch: versions.Watch | None = None) -> None:
+        versions.write_snapshot(df, self.path(table), version, now, watch)
+
+    def read_all_versions(self, table: str, schema: T.StructType) -> DataFrame:
+        """Every version that the manifest lists, with its number."""
+        found = versions.versions_in(self.spark, self.path(table))
+        return versions.read_versions(self.spark, self.path(table), found, schema)
 
     def read_version(self, table: str, version: int) -> DataFrame:
         return versions.read_as_of(self.spark, self.path(table), version, self._schema(table))
