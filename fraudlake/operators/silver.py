@@ -84,12 +84,11 @@ def thresholds(df: DataFrame, p: float = S.DEFAULT_PERCENTILE,
 
     ``exact=True`` (default) gives the discrete quantile (smallest value with
     cume_dist >= p): a few grouped aggregate jobs run now, and the result is a
-    literal one-row DataFrame. ``exact=False`` is lazy: one scan, sketches merged
+    literal one-row DataFrame. ``exact=False``: one scan runs now, sketches are merged
     in levels, rank error about ``1 / accuracy``.
     """
-    if not exact:
-        return sketch_thresholds(measure_sketches(df, accuracy), p)
-    values = threshold_values(df, p)
+    values = threshold_values(df, p) if exact else (
+        sketch_thresholds(measure_sketches(df, accuracy), p).first().asDict())
     return df.sparkSession.range(1).select(
         *[F.lit(v).cast("double").alias(k) for k, v in values.items()])
 

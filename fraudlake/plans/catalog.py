@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fraudlake import schema as S
-from fraudlake.operators import exercises, gold, profile, quality, reports, runlog, silver
+from fraudlake.operators import cube, exercises, gold, profile, quality, reports, runlog, silver
 from fraudlake.operators import versions
 from fraudlake.operators.bronze import add_control_columns
 from fraudlake.plans import lakehouse
@@ -97,6 +97,18 @@ def q_thresholds_p95_approx(spark, sf_dir):
     return silver.rank_within(t, silver.thresholds(t, exact=False))
 
 
+def q_thresholds_union_approx(spark, sf_dir):
+    """Two versions' thresholds together, from their stored sketches: within the
+    sketch's rank error of the rows of both?"""
+    store = TableStore(spark, scratch_path(spark, "lake"))
+    feeds = []
+    for v, dirty in enumerate((False, True)):
+        feeds.append(silver.typed(bronze_of(spark, sf_dir, dirty)).select(*S.MEASURES))
+        store.write_version(silver.measure_sketches(feeds[-1]), lakehouse.SKETCH_TABLE, v, RUN_NOW)
+    return silver.rank_within(feeds[0].unionAll(feeds[1]),
+                              lakehouse.union_thresholds(store, [0, 1]))
+
+
 def q_thresholds_means(spark, sf_dir, dirty=False):
     t = silver.typed(bronze_of(spark, sf_dir, dirty))
     th = silver.thresholds(t, exact=False)
@@ -151,12 +163,21 @@ def q_preview_bronze(spark, sf_dir):
 # Silver summaries, Gold, reports
 # ---------------------------------------------------------------------------
 
+def _histogram(spark, sf_dir, dirty=False) -> DataFrame:
+    """Rows per flag mask and label: what is asked of flags is answered from it."""
+    return cube.mask_histogram(cube.grain(silver_of(spark, sf_dir, dirty)))
+
+
 def q_flag_prevalence(spark, sf_dir, dirty=False):
-    return silver.flag_prevalence(silver_of(spark, sf_dir, dirty))
+    return cube.flag_prevalence(_histogram(spark, sf_dir, dirty))
 
 
 def q_level_distribution(spark, sf_dir, dirty=False):
-    return silver.level_distribution(silver_of(spark, sf_dir, dirty))
+    return cube.level_distribution(_histogram(spark, sf_dir, dirty))
+
+
+def q_flag_subset_ranking(spark, sf_dir, dirty=False):
+    return cube.rank_subsets(_histogram(spark, sf_dir, dirty))
 
 
 def q_qa_summary(spark, sf_dir, dirty=False):
@@ -308,6 +329,65 @@ def q_backfill_from_bronze(spark, sf_dir):
     return _no_time(again.silver())
 
 
+def q_backfill_many(spark, sf_dir):
+    """Silver of three versions that one backfill rebuilt together."""
+    root = scratch_path(spark, "lake")
+    clean, dirty = (read_transactions(spark, sf_dir, d) for d in (False, True))
+    done = lakehouse.backfill(spark, {0: clean, 1: dirty, 2: clean}, root, now=RUN_NOW,
+                              rules=quality.default_rules(min_rows=MIN_ROWS))
+    schema = done[0].silver().schema
+    store = done[0].store
+    return _no_time(versions.read_versions(spark, store.path(S.SILVER_TABLE), [0, 1, 2], schema))
+
+
+def q_gate_history(spark, sf_dir):
+    """Gate statistics of two versions and their drift, from the stored statistics."""
+    root = scratch_path(spark, "lake")
+    sources = {v: read_transactions(spark, sf_dir, bool(v)) for v in (0, 1)}
+    done = lakehouse.backfill(spark, sources, root, now=RUN_NOW,
+                              rules=quality.default_rules(min_rows=MIN_ROWS))
+    return lakehouse.gate_history(done[0].store)
+
+
+def q_silver_layout(spark, sf_dir):
+    """Alert rows of Silver, and whether at most half of the files hold any when the
+    files are ranges of the score instead of sorted pieces of the feed."""
+    s, n = silver_of(spark, sf_dir), 8
+    path = scratch_path(spark, "layout")
+    s.repartition(n).sortWithinPartitions(S.SCORE).write.parquet(f"{path}/sorted")
+    lakehouse.by_score(s, n).write.parquet(f"{path}/range")
+
+    def hit(kind: str) -> DataFrame:
+        rows = spark.read.schema(s.schema).parquet(f"{path}/{kind}")
+        return (rows.filter(F.col(S.SCORE) >= S.DEFAULT_ALERT_CUT)
+                .groupBy(F.input_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n")))
+
+    before = hit("sorted").agg(F.count(F.lit(1)).alias("files")).select("files").scalar()
+    return hit("range").agg(
+        F.sum("n").alias("alertas"), (F.count(F.lit(1)) * 2 <= before).alias("metade_dos_arquivos"))
+
+
+def q_stale_data(spark, sf_dir):
+    """Report of a run whose Bronze was landed 48 hours before."""
+    landed = bronze_of(spark, sf_dir).withColumn(
+        S.INGEST_TS, F.lit(RUN_NOW - _dt.timedelta(hours=48)))
+    done = lakehouse.run(spark, landed, scratch_path(spark, "lake"), now=RUN_NOW,
+                         rules=[quality.freshness_rule(24)], run_id="stale")
+    return done.table(lakehouse.REPORT_TABLE)
+
+
+def q_dropped_tables(spark, sf_dir):
+    """What is left of each table of a run after it was dropped with its files."""
+    done = _run(spark, sf_dir)
+    tables = (*lakehouse.VERSIONED, *lakehouse.UNVERSIONED)
+    had = [versions.folder_exists(spark, done.store.path(t)) for t in tables]
+    lakehouse.reset(done.store, delete_files=True)
+    return spark.createDataFrame(
+        [(t, x, versions.folder_exists(spark, done.store.path(t)), spark.catalog.tableExists(t))
+         for t, x in zip(tables, had)],
+        "tabela string, antes boolean, depois boolean, nome boolean")
+
+
 def q_gate_blocked_log(spark, sf_dir):
     """The log row of a run that the gate stopped (the dirty feed)."""
     root = scratch_path(spark, "lake")
@@ -323,7 +403,15 @@ def q_gate_blocked_log(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 def q_dash(spark, sf_dir, fn, **filters):
-    return fn(silver_of(spark, sf_dir), **filters)
+    """A dashboard question, answered from the stored cube."""
+    store = TableStore(spark, scratch_path(spark, "lake"))
+    stored = cube.cube(cube.grain(silver_of(spark, sf_dir)))
+    store.write(stored.coalesce(1), lakehouse.CUBE_TABLE)
+    return fn(store.read(lakehouse.CUBE_TABLE), **filters)
+
+
+def q_fraud_profile(spark, sf_dir):
+    return reports.fraud_profile(silver_of(spark, sf_dir))
 
 
 def q_ext_flags(spark, sf_dir):
@@ -333,7 +421,7 @@ def q_ext_flags(spark, sf_dir):
 
 
 def q_ext_rescore_compare(spark, sf_dir):
-    return exercises.rescore_compare(silver_of(spark, sf_dir))
+    return cube.rescore_compare(_histogram(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -437,15 +525,24 @@ def queries() -> dict[str, Query]:
         "stored_quality_report": partial(q_stored, table=lakehouse.REPORT_TABLE),
         "stored_silver_time": q_stored_silver_time,
         "csv_malformed_rows": q_csv_malformed_rows,
-        "dash_kpis": partial(q_dash, fn=reports.dash_kpis),
-        "dash_by_level": partial(q_dash, fn=reports.dash_by_level),
-        "dash_by_score": partial(q_dash, fn=reports.dash_by_score),
-        "dash_profile": partial(q_dash, fn=reports.dash_profile),
-        "dash_profile_online_alto": partial(q_dash, fn=reports.dash_profile,
+        "dash_kpis": partial(q_dash, fn=cube.dash_kpis),
+        "dash_kpis_online": partial(q_dash, fn=cube.dash_kpis, channel="Online"),
+        "dash_by_level": partial(q_dash, fn=cube.dash_by_level),
+        "dash_by_score": partial(q_dash, fn=cube.dash_by_score),
+        "dash_profile": partial(q_dash, fn=cube.dash_profile),
+        "dash_profile_online_alto": partial(q_dash, fn=cube.dash_profile,
                                             channel="Online", level=S.LEVEL_HIGH),
-        "dash_by_score_presencial": partial(q_dash, fn=reports.dash_by_score,
+        "dash_by_score_presencial": partial(q_dash, fn=cube.dash_by_score,
                                             channel="Presencial"),
-        "fraud_profile": partial(q_dash, fn=reports.fraud_profile),
+        "fraud_profile": q_fraud_profile,
+        "flag_subset_ranking": q_flag_subset_ranking,
+        "flag_subset_ranking_dirty": partial(q_flag_subset_ranking, dirty=True),
+        "thresholds_union_approx": q_thresholds_union_approx,
+        "backfill_many": q_backfill_many,
+        "gate_history": q_gate_history,
+        "silver_layout": q_silver_layout,
+        "stale_data": q_stale_data,
+        "dropped_tables": q_dropped_tables,
         "ext_flags": q_ext_flags,
         "ext_rescore_compare": q_ext_rescore_compare,
         "csv_source_roundtrip": q_csv_source_roundtrip,

@@ -212,13 +212,15 @@ def _bronze_rows(spark: SparkSession, source: DataFrame | str, source_name: str,
                          for f in S.BRONZE_SCHEMA.fields])
 
 
-def by_score(rows: DataFrame) -> DataFrame:
+def by_score(rows: DataFrame, files: int | None = None) -> DataFrame:
     """Rows dealt over files by ranges of the score (its level follows from it), so
     that ``score >= 3`` opens the last files only. Few scores hold most rows, so
     ranges go on with the measures and a hash of the row; inside a file rows
-    are sorted by score. Costs one shuffle of the rows."""
+    are sorted by score. Costs one shuffle of the rows; ``files`` fixes their number
+    (default: as many as Spark's shuffle settings give)."""
     order = [F.col(S.SCORE), *[F.col(m) for m in S.MEASURES], F.xxhash64(*S.SOURCE_COLUMNS)]
-    return rows.repartitionByRange(*order).sortWithinPartitions(S.SCORE)
+    dealt = rows.repartitionByRange(files, *order) if files else rows.repartitionByRange(*order)
+    return dealt.sortWithinPartitions(S.SCORE)
 
 
 def _gate_columns(stats: DataFrame, *by: str) -> DataFrame:

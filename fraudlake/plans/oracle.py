@@ -399,8 +399,8 @@ def _fraud_stats() -> str:
             f"{fraud_rate()} AS taxa_fraude_pct")
 
 
-def _dash_kpis():
-    return _q(f", {_metrics_cte()}\nSELECT total_transacoes, total_fraudes, "
+def _dash_kpis(channel=None):
+    return _q(f", {_metrics_cte(_channel_filter(channel, None))}\nSELECT total_transacoes, total_fraudes, "
               "taxa_fraude_pct, taxa_deteccao_pct FROM metrics")
 
 
@@ -473,6 +473,53 @@ def _ext_rescore():
     return _q(_EXTENDED + "\nUNION ALL\n".join(parts))
 
 
+def _subset_ranking(dirty):
+    """Every choice of the eight flags as a bit mask, held against every row."""
+    flags = (*S.BASE_FLAGS, "flag_ratio_extremo", "flag_quatro_fatores", "flag_longe_valor_alto")
+    mask = " + ".join(f"{f} * {1 << k}" for k, f in enumerate(flags))
+    hit = lambda x: ("CAST(COALESCE(sum(n) FILTER (WHERE fraud = " + x
+                     + " AND bit_count(m & s) >= 3), 0) AS BIGINT)")
+    return _q(_EXTENDED + f""",
+h AS (SELECT CAST({mask} AS INTEGER) AS m, fraud, count(*) AS n FROM ext2 GROUP BY ALL),
+t AS (SELECT sum(n) FILTER (WHERE fraud = 1) AS n1, sum(n) FILTER (WHERE fraud = 0) AS n0 FROM h),
+p AS (SELECT s, {hit('1')} AS c1, {hit('0')} AS c0
+      FROM (SELECT CAST(range AS INTEGER) AS s FROM range(1, 256)) r, h GROUP BY s),
+g AS (SELECT *, CAST(c1 * (SELECT n0 FROM t) - c0 * (SELECT n1 FROM t) AS BIGINT) AS ganho FROM p)
+SELECT s AS conjunto, CAST(bit_count(s) AS INTEGER) AS n_flags, c1 AS fraudes_capturadas,
+       c0 AS falsos_positivos, ganho,
+       CAST(row_number() OVER (ORDER BY ganho DESC, s) AS INTEGER) AS posicao
+FROM g""", dirty)
+
+
+def _gate_history():
+    def part(dirty, version):
+        return layers(dirty) + _STATS + f" SELECT {version} AS version, * FROM stats"
+
+    rates = (("fraud_rate", "fraud_rate"), ("good_pct", "qa_pct"),
+             ("critical_pct", "critical_pct"), ("mean_home", "mean_home"))
+    rounded = ", ".join(f"{sround(a, 4)} AS {b}" for a, b in rates)
+    deltas = ", ".join(
+        f"{sround(f'({a} - lag({a}) OVER (ORDER BY version))', 4)} AS delta_{b}" for a, b in rates)
+    return f"""
+WITH h AS (SELECT * FROM ({part(False, 0)}) x UNION ALL SELECT * FROM ({part(True, 1)}) y)
+SELECT CAST(version AS INTEGER) AS version, n_bronze, n_silver, no_label AS fraud_nulls, frauds,
+       negative AS neg_home, no_score AS score_nulls, good AS qa_ok, critical, {rounded}, {deltas},
+       CAST(n_silver - lag(n_silver) OVER (ORDER BY version) AS BIGINT) AS delta_n_silver
+FROM h"""
+
+
+def _backfill_many():
+    part = lambda dirty, v: f"SELECT * FROM ({layers(dirty)} SELECT {SILVER_COLS}, " \
+        f"CAST({v} AS INTEGER) AS version FROM silver) v{v}"
+    return "\nUNION ALL\n".join(part(d, v) for v, d in enumerate((False, True, False)))
+
+
+# Tables that a run writes.
+_TABLES = (S.BRONZE_TABLE, S.THRESHOLDS_TABLE, S.SILVER_TABLE, "gate_estatisticas",
+           S.GOLD_EFFECTIVENESS_TABLE, S.GOLD_METRICS_TABLE, S.GOLD_ALERTS_TABLE,
+           "gold_rollup_score", "quality_report", "gold_cubo", "gold_mascaras", S.RUN_LOG_TABLE)
+
+
 # --- sources, versions -------------------------------------------------
 
 def _snapshot_history():
@@ -602,6 +649,20 @@ def oracle_sql() -> dict[str, str]:
                               f"'{RUN_TIME}' AS ate, TRUE AS ordenado FROM lineitem",
         "csv_malformed_rows": _malformed(),
         "dash_kpis": _dash_kpis(),
+        "dash_kpis_online": _dash_kpis("Online"),
+        "flag_subset_ranking": _subset_ranking(False),
+        "flag_subset_ranking_dirty": _subset_ranking(True),
+        "thresholds_union_approx": "SELECT " + ", ".join(
+            f"TRUE AS {c}" for c in S.THRESHOLD_COLUMNS),
+        "backfill_many": _backfill_many(),
+        "gate_history": _gate_history(),
+        "silver_layout": _q("SELECT count(*) AS alertas, TRUE AS metade_dos_arquivos FROM alerts"),
+        "stale_data": "SELECT CAST(10 AS INTEGER) AS check_id, 'bronze_freshness' AS \"check\", "
+                      "'WARN' AS status, '48.00 h since last ingestion' AS detail, "
+                      "'Bronze is stale: 48.00 h since last ingestion' AS alert, "
+                      f"'stale' AS {S.RUN_ID}",
+        "dropped_tables": "SELECT unnest([" + ", ".join(f"'{t}'" for t in _TABLES)
+                          + "]) AS tabela, TRUE AS antes, FALSE AS depois, FALSE AS nome",
         "dash_by_level": _dash_by_level(),
         "dash_by_score": _dash_by_score(),
         "dash_profile": _dash_profile(),
