@@ -1,21 +1,26 @@
 """Mixing sources to target weights: a multivariate-hypergeometric splitting tree.
 
-Texts are cut into blocks of ``block_words`` words. A source takes each block
-``full`` times and a random part of its blocks once more, so that its words
-meet its target exactly. Its block quota is then divided among the output
-shards by a binary tree: a node with ``n`` slots hands ``n_left`` of them to
-its left child, and how many of a source's blocks go there is drawn from the
-hypergeometric distribution given what earlier sources took, so every level
-keeps each source's quota exactly. A shard draws the next, disjoint, run of
-each source's permuted blocks and is shuffled locally by a hash.
-
-DataFrame functions only. Random numbers are hashes, so reruns agree.
-
-Scale: a source's blocks are dealt by hash into bins of about ``bin_blocks``
-blocks; ranks inside a bin come from a window over (source, bin) and offsets of
-bins from a window over the bin totals. A source with a third of all rows is
-many bins, never one group. Sources are summed before anything is ordered; the
-tables of sources, of their bins' totals and of shard quotas stay small.
+Documents are dealt by hash to output shards, and their texts cut into blocks of
+``block_words`` words. A source's mix is ``full`` whole passes over all its
+blocks, and a part of its blocks once more: ``rest`` words, so that its words meet
+its target exactly. That quota is split among the shards by a binary tree: a node
+holds ``w`` words of the source's blocks and has ``r`` of them to draw; how many
+of these its left child draws is hypergeometric (``r`` drawn from ``w``, of which
+the left child holds ``w_left``), the right child draws the others. So all levels
+keep each source's quota exactly, and over the shards it is split multivariate
+hypergeometrically. Quotas are counted in words: a shard draws its own blocks, which
+no other shard holds, in the order of a random permutation until its quota is met,
+and cuts the last one. What a document gives is the sum of what its shard draws.
+
+A shard's rows are shuffled locally by a hash (``place``; :func:`shards`). DataFrame
+functions only. Random numbers are hashes, so reruns agree.
+
+Scale: a shard holds about ``shard_blocks`` blocks, so the number of shards (a power
+of two) follows the input; a source with a third of all rows is spread over all of
+them. Blocks are shuffled once, by (source number, shard): that partitioning serves
+the permutation, the join with the quotas and the sums per document. The tree is a
+table of (source, node) rows, a join and an explode a level. Only sources are
+ordered in one task, a row each.
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ from fraudlake.llm.common import staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3.0, 1.0, 2.0)
+WIDE = 5000.0
 
 
 def word_count(text: Column) -> Column:
@@ -81,7 +87,9 @@ def _draw_sql(good: str, total: str, drawn: str, u: str) -> str:
     ``total`` (doubles), by inverting the distribution function at ``u``.
     Weights are summed within ten standard deviations (plus 10) of the mean,
     which holds all the mass that a double can show. One-element arrays bind
-    what is computed once."""
+    what is computed once. With a standard deviation above :data:`WIDE`, whose
+    weights would fill an array of that size, the draw is the normal one with the
+    same mean and deviation, rounded, within the same limits."""
 
     def weight(k: str) -> str:
         terms = (k, f"(v.g - {k})", f"(v.d - {k})", f"(v.t - v.g - v.d + {k})")
@@ -107,176 +115,177 @@ def _draw_sql(good: str, total: str, drawn: str, u: str) -> str:
     sql = steps[0]
     for step in steps[1:]:
         sql = f"transform({sql}, v -> {step})"
+    mean = f"({drawn} * ({good} / {total}))"
+    deviation = (f"sqrt({mean} * (1.0D - {good} / {total}) * (({total} - {drawn})"
+                 f" / greatest({total} - 1.0D, 1.0D)))")
+    angle = f"(6.283185307179586D * pmod({u} * 1048576.0D, 1.0D))"
+    normal = (f"least({good}, {drawn}, greatest(0.0D, {good} + {drawn} - {total}, floor({mean}"
+              f" + {deviation} * sqrt(-2.0D * ln({u})) * cos({angle}) + 0.5D) + 0.0D))")
     return f"""(CASE WHEN {good} <= 0.0D OR {drawn} <= 0.0D THEN 0.0D
-        WHEN {drawn} >= {total} THEN cast({good} as double) ELSE element_at({sql}, 1) END)"""
+        WHEN {drawn} >= {total} THEN cast({good} as double)
+        WHEN {good} >= {total} THEN cast({drawn} as double)
+        WHEN {deviation} > {WIDE}D THEN {normal} ELSE element_at({sql}, 1) END)"""
 
 
-def split_quotas(quotas: DataFrame, shards: int, seed: int = 42) -> DataFrame:
-    """``quotas`` (source, quota) -> (source, shard, quota, first): how many of a
-    source's blocks each of ``shards`` (a power of two) shards takes, and the
-    rank of its first. Shards are equally large up to one block.
+def split_quotas(held: DataFrame, rest: DataFrame, shards: int, seed: int = 42) -> DataFrame:
+    """``held`` (s, shard, w): words of source ``s`` in a shard; ``rest`` (s, r): words to
+    draw of it, at most what it holds -> (s, shard, r): what each shard draws.
 
-    One tree level after the other. A node's left child has half its slots;
-    source after source, the left child's blocks are drawn given the slots and
-    blocks that are left. That chain is one ``aggregate`` over the node's
-    array of sources (one entry per source, whatever its rows).
+    One tree level after the other; ``shards`` is a power of two. Only nodes with
+    words to draw are kept.
     """
     if shards < 1 or shards & (shards - 1):
         raise ValueError("shards must be a power of two")
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    numbered = quotas.withColumn("s", F.row_number().over(order))  # stands for the source
-    nodes = numbered.agg(F.sort_array(F.collect_list(F.struct(
-        "s", F.col("quota").cast("double").alias("q")))).alias("qs")).select(
-        F.lit(0).alias("node"), "qs")
-    for level in range(shards.bit_length() - 1):
-        slots = "aggregate(qs, 0.0D, (c, w) -> c + w.q)"
-        u = f"((shiftrightunsigned(xxhash64({seed}, {level}, node, x.s), 11) + 0.5D) / {2.0 ** 53!r}D)"
-        picked = f"""aggregate(qs,
-            named_struct('total', {slots}, 'n', floor({slots} / 2.0D) + 0.0D,
-                         'l', cast(array() as array<struct<s:int,q:double>>)),
-            (a, x) -> aggregate(array({_draw_sql('x.q', 'a.total', 'a.n', u)}), a,
-                (k, d) -> named_struct('total', a.total - x.q, 'n', a.n - d,
-                    'l', array_append(a.l, named_struct('s', x.s, 'q', d)))),
-            a -> a.l)"""
-        nodes = nodes.withColumn("left", F.expr(picked)).select(F.explode(F.expr("""array(
-            named_struct('node', node * 2, 'qs', left),
-            named_struct('node', node * 2 + 1, 'qs', zip_with(qs, left,
-                (t, l) -> named_struct('s', t.s, 'q', t.q - l.q))))""")).alias("x")).select("x.*")
-    leaf = nodes.select(F.col("node").alias("shard"), F.explode("qs").alias("x")).select(
-        "shard", F.col("x.s").alias("s"), F.col("x.q").cast("long").alias("quota"))
-    before = Window.partitionBy("s").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    leaf = leaf.withColumn("first", F.coalesce(F.sum("quota").over(before), F.lit(0)))
-    return leaf.join(numbered.select("s", "source"), "s").select(
-        "source", "shard", "quota", "first")
-
-
-ROW = ("doc_id", "source", "size", "row_hash")
+    depth = shards.bit_length() - 1
+    nodes = (held.groupBy("s").agg(F.sum("w").cast("double").alias("w")).join(rest, "s")
+             .select("s", F.lit(0).alias("node"), "w", F.col("r").cast("double").alias("r"))
+             .filter("r > 0"))
+    for level in range(depth):
+        left = (held.filter(f"shiftright(shard, {depth - level - 1}) % 2 = 0")
+                .groupBy("s", F.shiftright("shard", depth - level).alias("node"))
+                .agg(F.sum("w").cast("double").alias("left_w")))
+        u = f"((shiftrightunsigned(xxhash64({seed}, {level}, node, s), 11) + 0.5D) / {2.0 ** 53!r}D)"
+        nodes = (nodes.join(left, ["s", "node"], "left").fillna(0.0, ["left_w"])
+                 .withColumn("left_r", F.expr(_draw_sql("left_w", "w", "r", u)))
+                 .select("s", F.inline(F.expr("""array(
+                     named_struct('node', node * 2, 'w', left_w, 'r', left_r),
+                     named_struct('node', node * 2 + 1, 'w', w - left_w, 'r', r - left_r))""")))
+                 .filter("r > 0"))
+        if level % 4 == 3:
+            nodes = staged(nodes, "mix-level")
+    return nodes.select("s", F.col("node").alias("shard"), F.col("r").cast("long").alias("r"))
+
+
+ROW = ("doc_id", "row_hash", "copy")
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = 1.5, limit: float = 2.0,
-        block_words: int = 32, shards: int = 16, bin_blocks: int = 20_000,
-        seed: int = 42) -> tuple[DataFrame, DataFrame]:
+        block_words: int = 32, shard_blocks: int = 20_000, seed: int = 42,
+        tree_seed: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(targets, draws) of the mix of ``docs`` (doc_id, text, source).
 
-    targets: source, source_size, target. draws: one row per block of a
-    document and pass over it: the row's key (doc_id, source, size, row_hash,
-    copy), block, pass, words of the block, ``take`` words drawn, ``shard``
-    and ``place`` (the order within the shard). Blocks that are not drawn, and
-    documents without words, have one row with take 0 and no shard.
+    targets: source, source_size, target. draws: one row per document: its key
+    (doc_id, row_hash, copy), source, size, ``shard``, ``full`` (whole passes over it)
+    and ``parts`` (block and words taken of it, for each block drawn once more).
 
     Each source's drawn words are its target rounded to a whole word; a block
     is drawn at most ``limit`` times (rounded up), its words at most ``limit``.
+    ``tree_seed`` (default: ``seed``) draws the shards' quotas, ``seed`` the rest.
     Nulls: a null text has no words; a null source is a source, the last one;
-    a null doc_id is a document. Repeated rows are told apart by ``copy``.
-    Empty table: empty results. Other columns only enter ``row_hash``.
+    a null doc_id is a document. Repeated rows are told apart by ``copy``. A very
+    long text is one row a block until its blocks are summed up. Empty table:
+    empty results. Other columns only enter ``row_hash``.
     """
     every = F.xxhash64(*[docs[c] for c in docs.columns])
     own = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         word_count(F.col("text").cast("string")).alias("size"), every.alias("row_hash"))
-    rows = staged(own.groupBy(*ROW).agg(F.count("*").alias("copies")), "mix-rows")
-    n_blocks = F.greatest(F.ceil(F.col("size") / block_words), F.lit(1)).cast("int")
-    sized = rows.select("source", (F.col("size") * F.col("copies")).alias("size"),
-                        (F.when(F.col("size") > 0, n_blocks).otherwise(0)
-                         * F.col("copies")).alias("blocks"))
+    rows = staged(own.groupBy("doc_id", "source", "size", "row_hash")
+                  .agg(F.count("*").alias("copies")), "mix-rows")
+    n_blocks = F.ceil(F.col("size") / block_words).cast("long")
+    blocks = rows.agg(F.sum(n_blocks * F.col("copies"))).first()[0] or 0
+    n_shards = 1 << max(math.ceil(blocks / shard_blocks) - 1, 15).bit_length()
+
+    sized = rows.select("source", (F.col("size") * F.col("copies")).alias("size"))
     targets = staged(source_targets(sized, weights, share, limit), "mix-targets")
-    counts = sized.groupBy("source").agg(F.sum("blocks").alias("blocks"))
-    plan = staged(targets.alias("t").join(
-        counts.alias("c"), F.expr("t.source <=> c.source")).selectExpr(
-        "t.source", "c.blocks AS blocks",
-        "CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS full",
-        "CASE WHEN source_size > 0 THEN round(target) - floor(target / source_size)"
-        " * source_size ELSE 0 END AS rest",
-        f"greatest(1, ceil(c.blocks / {bin_blocks})) AS bins").selectExpr(
-        "source", "blocks", "cast(full AS bigint) AS full", "cast(rest AS bigint) AS rest",
-        "cast(bins AS bigint) AS bins"), "mix-plan")
-
-    blocks = (rows.filter("size > 0")
-              .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-              .withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-              .withColumn("words", F.least(F.lit(block_words), F.col("size") - F.col("block")
-                                           * block_words).cast("int"))
-              .drop("copies"))
-    spot = [F.col(c) for c in ("doc_id", "row_hash", "copy", "block")]
-    blocks = (blocks.alias("b").join(plan.alias("p"), F.expr("b.source <=> p.source"))
-              .select("b.*", "blocks", "full", "rest",
-                      F.pmod(F.xxhash64(F.lit(seed), *spot), F.col("bins")).alias("bin"),
-                      F.xxhash64(F.lit(seed + 1), *spot).alias("h")))
-    totals = blocks.groupBy("source", "bin").agg(F.sum("words").alias("w"), F.count("*").alias("n"))
-    before = (Window.partitionBy("source").orderBy("bin")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(
-        "source", "bin", F.coalesce(F.sum("w").over(before), F.lit(0)).alias("w0"),
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"))
-    inside = Window.partitionBy("source", "bin").orderBy("h", "doc_id", "row_hash", "copy", "block")
-    ranked = blocks.select(
-        "*", F.row_number().over(inside).alias("i"),
-        (F.sum("words").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-         - F.col("words")).alias("w1"))
-    placed = staged(
-        ranked.alias("b").join(offsets.alias("o"),
-                               F.expr("b.source <=> o.source AND b.bin = o.bin"))
-        .select("b.doc_id", "b.source", "b.size", "b.row_hash", "b.copy", "b.block", "b.words",
-                "b.full", "b.blocks", "b.h", (F.col("n0") + F.col("i") - 1).alias("rank"),
-                F.greatest(F.lit(0), F.least(F.col("words"), F.col("rest") - F.col("w0")
-                                             - F.col("w1"))).cast("int").alias("extra")),
-        "mix-blocks")
-    quotas = placed.groupBy("source").agg(
-        F.sum(F.col("full") + F.when(F.col("extra") > 0, 1).otherwise(0)).alias("quota"))
-    firsts = staged(split_quotas(quotas, shards, seed).groupBy("source").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("shard", "first"))),
-                    lambda x: x["first"]).alias("firsts")), "mix-quotas")
-    passes = F.col("full") + F.when(F.col("extra") > 0, 1).otherwise(0)
-    drawn = (placed.withColumn("pass", F.explode(F.when(
-        passes > 0, F.sequence(F.lit(0).cast("long"), passes - 1))
-        .otherwise(F.array(F.lit(None).cast("long")))))
-        .alias("b").join(firsts.alias("f"), F.expr("b.source <=> f.source"))
-        .withColumn("at", F.col("pass") * F.col("blocks") + F.col("rank"))
-        .select("b.doc_id", "b.source", "b.size", "b.row_hash", "b.copy", "b.block", "b.pass",
-                "b.words", F.when(F.col("pass").isNull(), 0).when(
-                    F.col("pass") < F.col("full"), F.col("words"))
-                .otherwise(F.col("extra")).alias("take"),
-                F.when(F.col("pass").isNotNull(), F.size(F.filter(
-                    "firsts", lambda x: x <= F.col("at"))) - 1).alias("shard"),
-                F.xxhash64(F.lit(seed + 2), "b.h", "b.pass").alias("place")))
-    bare = (rows.filter("size = 0")
-            .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-            .selectExpr(*ROW, "copy", "0 AS block", "cast(NULL AS bigint) AS pass", "0 AS words",
-                        "0 AS take", "cast(NULL AS int) AS shard", "cast(NULL AS bigint) AS place"))
-    return targets, drawn.unionByName(bare)
+    # A number for each source: below, only it is carried and joined on.
+    passes = F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)))
+    plan = staged(targets.select(
+        "source", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())).alias("s"),
+        F.coalesce(passes, F.lit(0)).cast("long").alias("full"),
+        F.coalesce(F.round("target") - passes * F.col("source_size"), F.lit(0)).cast("long")
+        .alias("r")), "mix-plan")
+    # Null sources are told by a flag, so that the join is on plain equality.
+    known = plan.select(F.coalesce("source", F.lit("")).alias("name"),
+                        F.col("source").isNull().alias("none"), "s", "full")
+    numbered = (rows.withColumn("name", F.coalesce("source", F.lit("")))
+                .withColumn("none", F.col("source").isNull()).join(known, ["name", "none"])
+                .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+                .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), *ROW), F.lit(n_shards)).cast("int"))
+                .select(*ROW, "s", "shard", "size", "full"))
+    held = staged(numbered.filter("size > 0").groupBy("s", "shard").agg(F.sum("size").alias("w")),
+                  "mix-held")
+    quotas = staged(split_quotas(held, plan.select("s", "r"), n_shards,
+                                 seed if tree_seed is None else tree_seed), "mix-quotas")
+
+    cut = numbered.filter("size > 0").select(
+        *ROW, "s", "shard", "size", "full",
+        F.explode(F.sequence(F.lit(0), (n_blocks - 1).cast("int"))).alias("block"))
+    cut = cut.withColumns({
+        "words": F.least(F.lit(block_words), F.col("size") - F.col("block") * block_words).cast("int"),
+        "h": F.xxhash64(F.lit(seed + 1), *ROW, "block")})
+    order = Window.partitionBy("s", "shard").orderBy("h", *ROW, "block")
+    before = F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("words")
+    taken = (cut.withColumn("before", before).join(quotas, ["s", "shard"], "left")
+             .withColumn("take", F.greatest(F.lit(0), F.least(
+                 F.col("words"), F.coalesce("r", F.lit(0)) - F.col("before"))).cast("int")))
+    summed = taken.groupBy("s", "shard", *ROW).agg(
+        F.first("size").alias("size"), F.first("full").alias("full"),
+        F.sort_array(F.collect_list(F.when(F.col("take") > 0, F.struct("block", "take"))))
+        .alias("parts"))
+    bare = numbered.filter("size = 0").select(
+        "s", "shard", *ROW, "size", F.lit(0).cast("long").alias("full"),
+        F.lit(None).cast("array<struct<block:int,take:int>>").alias("parts"))
+    draws = summed.unionByName(bare).join(plan.select("s", "source"), "s").select(
+        *ROW, "source", "size", "shard", "full",
+        F.coalesce("parts", F.array()).cast("array<struct<block:int,take:int>>").alias("parts"))
+    return targets, staged(draws, "mix-draws")
+
+
+def _extra() -> Column:
+    """Words of the blocks that a document gives once more."""
+    return F.aggregate("parts", F.lit(0).cast("long"), lambda n, x: n + x["take"])
 
 
 def taken_words(targets: DataFrame, draws: DataFrame) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken and
-    the first and last shard that got a block of it."""
-    per = draws.groupBy(*ROW, "copy").agg(
-        F.sum("take").cast("long").alias("taken"), F.min("shard").alias("first_shard"),
-        F.max("shard").alias("last_shard"))
+    """One row per document: doc_id, source, size, source_size, target, taken (what
+    its shard draws of it) and the shard."""
+    per = draws.select("doc_id", "source", "size", "shard",
+                       (F.col("full") * F.col("size") + _extra()).alias("taken"))
     return per.alias("d").join(targets.alias("t"), F.expr("d.source <=> t.source")).select(
-        "d.doc_id", "d.source", "d.size", "t.source_size", "t.target", "d.taken",
-        "d.first_shard", "d.last_shard")
-
-
-def mixed_documents(docs: DataFrame, block_words: int = 32, **options) -> DataFrame:
-    """``docs`` as mixed: a row per document and pass with the words drawn, in the
-    order of the text (a whole text as it is; parts joined by spaces), in the
-    columns of ``docs`` (``n_chars`` follows the text)."""
-    _, draws = mix(docs, block_words=block_words, **options)
-    parts = draws.filter("take > 0").groupBy(*ROW, "copy", "pass").agg(
-        F.sort_array(F.collect_list(F.struct("block", "take"))).alias("parts"),
-        F.sum("take").alias("words"))
-    mark = "__mix_row_hash"
+        "d.doc_id", "d.source", "d.size", "t.source_size", "t.target", "d.taken", "d.shard")
+
+
+def _mixed(docs: DataFrame, block_words: int, seed: int, **options) -> DataFrame:
+    """``docs`` as mixed, with ``__mix_shard`` and ``__mix_place``."""
+    _, draws = mix(docs, block_words=block_words, seed=seed, **options)
+    mark, shard, place = "__mix_row_hash", "__mix_shard", "__mix_place"
+    # Pass k below full is the whole text, pass full the parts.
+    last = F.col("full") + F.when(F.size("parts") > 0, 0).otherwise(-1)
+    passes = (draws.filter("size > 0").filter(last >= 0)
+              .withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+              .select("doc_id", "row_hash", F.col("shard").alias(shard),
+                      F.xxhash64(F.lit(seed + 2), *ROW, "pass").alias(place),
+                      F.when((F.col("pass") == F.col("full")) & (_extra() < F.col("size")),
+                             F.col("parts")).alias("parts")))
     keyed = docs.withColumn(mark, F.xxhash64(*[docs[c] for c in docs.columns]))
     keyed = keyed.dropDuplicates(["doc_id", mark])
-    words = F.regexp_extract_all("d.text", F.lit(WORD), F.lit(0))
-    text = F.when(F.col("p.words") == F.col("p.size"), F.col("d.text")).otherwise(
-        F.array_join(F.flatten(F.transform("p.parts", lambda x: F.slice(
-            words, x["block"] * block_words + 1, x["take"]))), " "))
-    out = keyed.alias("d").join(parts.alias("p"), F.expr(
+    text = F.when(F.col("p.parts").isNull(), F.col("d.text")).otherwise(F.array_join(F.flatten(
+        F.transform("p.parts", lambda x: F.slice(
+            F.regexp_extract_all("d.text", F.lit(WORD), F.lit(0)),
+            x["block"] * block_words + 1, x["take"]))), " "))
+    out = keyed.alias("d").join(passes.alias("p"), F.expr(
         f"cast(d.doc_id as bigint) <=> p.doc_id AND d.{mark} = p.row_hash")).select(
         *[F.col(f"d.{c}") for c in docs.columns if c not in ("text", "n_chars")],
-        text.alias("text"))
+        text.alias("text"), F.col(f"p.{shard}"), F.col(f"p.{place}"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+    return out.select(*docs.columns, shard, place)
+
+
+def mixed_documents(docs: DataFrame, block_words: int = 32, seed: int = 42, **options) -> DataFrame:
+    """``docs`` as mixed: a row per document and pass of its shard over it, with the
+    words drawn in the order of the text (a whole text as it is; parts joined by
+    spaces), in the columns of ``docs`` (``n_chars`` follows the text)."""
+    return _mixed(docs, block_words, seed, **options).select(*docs.columns)
+
+
+def shards(docs: DataFrame, block_words: int = 32, seed: int = 42, **options) -> DataFrame:
+    """The output shards: rows of :func:`mixed_documents` with ``shard`` and ``place``,
+    each shard in one partition and shuffled within it by ``place``. A column of
+    either name in ``docs`` gives way."""
+    out = _mixed(docs, block_words, seed, **options)
+    own = [c for c in docs.columns if c not in ("shard", "place")]
+    out = out.select(*own, F.col("__mix_shard").alias("shard"), F.col("__mix_place").alias("place"))
+    return out.repartition("shard").sortWithinPartitions("shard", "place")

@@ -97,7 +97,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = taken_words(*mix(_table(spark, sf_dir, "documents").select(
         "doc_id", "text", "source")))
     return taken.select("doc_id", "size", "source_size", "target", "taken", "source",
-                        "first_shard", "last_shard")
+                        "shard")
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:

@@ -48,8 +48,8 @@ def check(df, **options):
 
 
 def test_documents(documents):
-    first = check(documents, bin_blocks=50)
-    again = M.taken_words(*M.mix(documents.repartition(5), bin_blocks=50)).collect()
+    first = check(documents, shard_blocks=50)
+    again = M.taken_words(*M.mix(documents.repartition(5), shard_blocks=50)).collect()
     assert sorted(map(str, first)) == sorted(map(str, again))
 
 
@@ -67,18 +67,21 @@ def test_only_blank_texts(spark):
     assert sorted((r.doc_id, r.taken) for r in M.taken_words(*M.mix(df)).collect()) == [(1, 0), (2, 0)]
 
 
-def test_quotas_split_exactly_and_evenly(spark):
-    quotas = {"a": 1000, "b": 0, None: 37, "c": 5000}
-    df = spark.createDataFrame(list(quotas.items()), "source string, quota long")
-    got = M.split_quotas(df, 8).collect()
-    per_source, per_shard = Counter(), Counter()
+def test_quotas_are_kept_exactly_and_split_in_proportion(spark):
+    held = [(s, k, 100 * (k % 5) * s) for s in (1, 2, 3) for k in range(64)]
+    rest = {1: 0, 2: 9_000, 3: sum(w for s, _, w in held if s == 3)}
+    got = M.split_quotas(spark.createDataFrame(held, "s int, shard int, w long"),
+                         spark.createDataFrame(list(rest.items()), "s int, r long"), 64).collect()
+    room = {(s, k): w for s, k, w in held}
+    per = Counter()
     for r in got:
-        per_source[r.source] += r.quota
-        per_shard[r.shard] += r.quota
-    assert {s: per_source[s] for s in quotas} == quotas
-    assert max(per_shard.values()) - min(per_shard.values()) <= 3
-    for r in got:
-        assert r.first == sum(x.quota for x in got if x.source == r.source and x.shard < r.shard)
+        assert 0 < r.r <= room[r.s, r.shard]
+        per[r.s] += r.r
+    assert +per == +Counter(rest)
+    total = sum(w for s, _, w in held if s == 2)
+    share = [(r.r, room[2, r.shard] * 9_000 / total) for r in got if r.s == 2]
+    assert max(abs(x - m) for x, m in share) < 6 * max(m for _, m in share) ** 0.5
+    assert len({x - m for x, m in share}) > 3  # drawn, not rounded
 
 
 def test_draws_follow_the_hypergeometric_distribution(spark):
@@ -90,13 +93,45 @@ def test_draws_follow_the_hypergeometric_distribution(spark):
     assert abs(k.mean() - 6.0) < 0.01 and abs(k.var() - 20 * .3 * .7 * 80 / 99) < 0.05
 
 
-def test_blocks_are_drawn_once_a_pass_and_shards_meet_quotas(documents):
-    _, draws = M.mix(documents, shards=4, bin_blocks=64)
-    rows = draws.filter("shard IS NOT NULL").collect()
-    seen = Counter((r.doc_id, r.row_hash, r.copy, r.block, r["pass"]) for r in rows)
-    assert max(seen.values()) == 1
-    per = Counter(r.shard for r in rows)
-    assert max(per.values()) - min(per.values()) <= 2 * 2
+def test_wide_draws_are_normal(spark):
+    n = 2000
+    df = spark.range(n).select(F.expr(M._draw_sql(
+        "4.0E11D", "1.0E12D", "3.0E11D", "((shiftrightunsigned(xxhash64(id), 11) + 0.5D)"
+        " / 9007199254740992.0D)")).alias("k"))
+    k = np.array([r.k for r in df.collect()])
+    deviation = (3e11 * .4 * .6 * .7) ** 0.5
+    assert abs(k.mean() - 1.2e11) < 0.1 * deviation and abs(k.std() / deviation - 1) < 0.1
+    assert (k == np.floor(k)).all()
+
+
+def test_blocks_are_drawn_once_more_at_most(documents):
+    _, draws = M.mix(documents, shard_blocks=40)
+    rows = draws.collect()
+    assert len({r.shard for r in rows}) > 8
+    for r in rows:
+        blocks = [x.block for x in r.parts]
+        assert len(blocks) == len(set(blocks))
+        assert all(0 < x.take <= min(32, r.size - 32 * x.block) for x in r.parts)
+
+
+def test_the_tree_decides_what_is_taken(documents):
+    one, two = (check(documents, shard_blocks=40, tree_seed=t) for t in (1, 2))
+    key = lambda rows: {r.doc_id: r.taken for r in rows}
+    assert key(one) != key(two)
+    assert {r.doc_id: r.shard for r in one} == {r.doc_id: r.shard for r in two}
+
+
+def test_shards_are_whole_and_shuffled(documents):
+    out = M.shards(documents, shard_blocks=40).withColumn("part", F.spark_partition_id())
+    rows = out.collect()
+    for k in {r.shard for r in rows}:
+        own = [r for r in rows if r.shard == k]
+        assert len({r.part for r in own}) == 1
+        assert [r.place for r in own] == sorted(r.place for r in own)
+    assert any([r.doc_id for r in rows if r.shard == k] != sorted(
+        r.doc_id for r in rows if r.shard == k) for k in {r.shard for r in rows})
+    assert Counter(r.text for r in rows) == Counter(
+        r.text for r in M.mixed_documents(documents, shard_blocks=40).collect())
 
 
 def test_mixed_documents(hard_docs):
