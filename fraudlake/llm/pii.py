@@ -7,18 +7,20 @@ is a base value; with document counts over the whole corpus,
     IC(e)     = log2(N / n_e)
     PMI(t, e) = log2(n_te * N / (n_t * n_e))
 
-where ``n_t``, ``n_e`` and ``n_te`` count whole documents with ``t``, with ``e``
-and with both. A document has ``t`` if it stands there as a word (letters in
+where ``n_t``, ``n_e`` and ``n_te`` count distinct whole texts with ``t``, with ``e``
+and with both, among ``N`` distinct texts: copies of a text are one witness, not
+several. A document has ``t`` if it stands there as a word (letters in
 lower case) outside base spans. ``PMI / IC`` is the share of what is known about
 ``e`` that ``t`` discloses (1: ``t`` tells it all). Terms that disclose
 ``remove_at`` or more of any entity are removed and those from ``generalise_at``
 on replaced by their class wherever they stand, in every document, with or
 without a base span. Terms and entities seen together in fewer than ``support``
-documents are left alone: such counts are no evidence.
+distinct texts are left alone: such counts are no evidence.
 
 Scale: one scan finds base spans and stages them, with the distinct words of
-documents that have an entity; another counts document frequencies, summed per
-batch before the shuffle. The tables of pairs have one row per (entity, term) of
+documents that have an entity; another counts frequencies over distinct texts (equal
+texts meet by their hash, and in each task before), summed per batch before the
+shuffle. The tables of pairs have one row per (entity, term) of
 entities in ``support`` documents; skewed joins are split. A third scan places
 the disclosing terms: a bitmap of their hashes, of ``_BITS`` bits at most, drops
 nearly all other words before the join, which is exact.
@@ -146,22 +148,23 @@ def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def disclosure(docs: DataFrame, found: DataFrame, support: int) -> DataFrame:
-    """(entity, term, share): PMI / IC of every pair seen in ``support`` documents."""
-    total = found.agg(F.count("*").alias("n")).first()["n"]
-    n_e = (found.select(F.explode("entities").alias("entity")).groupBy("entity")
+    """(entity, term, share): PMI / IC of every pair seen in ``support`` distinct texts.
+    ``docs`` has text and text_key."""
+    total = found.select("text_key").distinct().count()
+    once = staged(found.filter(F.size("entities") > 0).select("text_key", "entities", "words")
+                  .dropDuplicates(["text_key"]), "pii-once")
+    n_e = (once.select(F.explode("entities").alias("entity")).groupBy("entity")
            .agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= support))
-    # Entities of fewer documents cannot be in a pair: they go before words are paired.
-    live = (found.filter(F.size("entities") > 0).dropDuplicates(["doc_id", "text_key"])
-            .select("doc_id", "text_key", F.explode("entities").alias("entity"))
-            .join(n_e.select("entity"), "entity").groupBy("doc_id", "text_key")
-            .agg(F.collect_list("entity").alias("entities")))
-    n_te = (found.filter(F.size("words") > 0).alias("f").join(
-        live.alias("l"), F.expr("f.doc_id <=> l.doc_id AND f.text_key = l.text_key"))
-        .select("f.words", F.explode("l.entities").alias("entity"))
-        .select("entity", F.explode("words").alias("term")).groupBy("entity", "term")
-        .agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= support))
+    # Entities of fewer texts cannot be in a pair: they go before words are paired.
+    live = (once.select("text_key", F.explode("entities").alias("entity"))
+            .join(n_e.select("entity"), "entity").groupBy("text_key")
+            .agg(F.collect_list("entity").alias("live")))
+    n_te = (once.select("text_key", "words").join(live, "text_key")
+            .select("words", F.explode("live").alias("entity"))
+            .select("entity", F.explode("words").alias("term")).groupBy("entity", "term")
+            .agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= support))
     n_te = staged(n_te, "pii-pairs")
-    n_t = (docs.select(F.col("text").cast("string").alias("text"))
+    n_t = (docs.select("text", "text_key").dropDuplicates(["text_key"]).select("text")
            .mapInPandas(_frequencies, "term string, n long").groupBy("term")
            .agg(F.sum("n").alias("n_t")))
     ic = F.log2(F.lit(float(max(total, 1))) / F.col("n_e"))
@@ -229,15 +232,15 @@ def find_spans(docs: DataFrame, support: int = 2, generalise_at: float = 0.8,
     n_ip, n_card, n_phone, ``base`` (base spans as kind:start:end) and ``added``
     (spans of disclosing terms: arrays of start, end, kind).
 
-    Null and empty texts have no spans. Repeated rows count as documents of
-    their own and get the same spans. Null doc_ids stay. An empty table gives
+    Null and empty texts have no spans. Repeated rows and copies of a text get the
+    same spans, and count once as evidence. Null doc_ids stay. An empty table gives
     an empty result. Only doc_id and text are read. Offsets are code points.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                       F.col("text").cast("string").alias("text")).withColumn(
         "text_key", F.xxhash64("text"))
     found = staged(own.mapInPandas(_find, _FOUND), "pii-found")
-    shares = disclosure(docs, found, support).filter(F.col("share") >= generalise_at)
+    shares = disclosure(own, found, support).filter(F.col("share") >= generalise_at)
     terms = staged(shares.groupBy("term").agg(F.max("share").alias("share")), "pii-terms")
     added = (places(own, terms).distinct()
              .groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct(

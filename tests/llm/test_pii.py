@@ -1,3 +1,5 @@
+import math
+from collections import Counter
 import hashlib
 import random
 import re
@@ -81,9 +83,9 @@ def test_disclosing_terms_by_their_information(spark):
 def test_disclosing_terms_go_wherever_they_stand(spark):
     """Far from the mention, and in documents without one; n_te counts whole documents."""
     far = " ".join(["the"] * 200)
-    rows = [(k, f"Zanzibar {far} bob@s.example.com") for k in range(4)]
+    rows = [(k, f"Zanzibar {far} bob@s.example.com w{k}") for k in range(4)]
     rows += [(10, f"near {far} zanzibar"), (11, "ZANZIBAR, zanzibars"), (None, "a Zanzibar")]
-    rows += [(20 + k, "the plain text") for k in range(200)]
+    rows += [(20 + k, f"the plain text n{k}") for k in range(200)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r.doc_id: r for r in pii.find_spans(df).collect()}
     # 4 of the 7 documents with the term: 1 + log2(4/7) / log2(207/4) = 0.86.
@@ -95,6 +97,47 @@ def test_disclosing_terms_go_wherever_they_stand(spark):
     assert clean[11] == "[NAME], zanzibars" and not any("Zanzibar" in t for t in clean.values())
 
 
+def test_copies_are_one_witness(spark):
+    text = "Please ask bob@corp.org about the quarterly zebra crossing refactor today"
+    rows = [(1, text), (2, text)] + [(10 + k, f"unrelated row number{k}") for k in range(37)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert clean[1] == clean[2] == text.replace("bob@corp.org", "[EMAIL]")
+    one = corpus(spark)
+    more = one.unionAll(one.filter("doc_id < 12")).unionAll(
+        one.filter("doc_id < 2").selectExpr("doc_id + 1000", "text"))
+    spans = lambda d: {(r.doc_id, str(r.added)) for r in pii.find_spans(d).collect()
+                       if r.doc_id < 1000}
+    assert spans(one) == spans(more)
+
+
+def test_added_spans_equal_brute_force(spark):
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(30)]
+    texts = [" ".join(rng.choices(words, k=6) + rng.choices(
+        ["", "x@a.example.com rare1", "y@b.example.org rare2 rare1", "10.0.0.1"], k=1))
+        for _ in range(150)]
+    texts += texts[:40]
+    distinct = [(set(re.findall(r"\w+", re.sub(r"\S+@\S+|10\.0\.0\.1", " ", t))),
+                 set(re.findall(r"\S+@\S+|10\.0\.0\.1", t))) for t in set(texts)]
+    n, share = len(distinct), {}
+    n_t, n_e, n_te = Counter(), Counter(), Counter()
+    for w, e in distinct:
+        n_t.update(w)
+        n_e.update(e)
+        n_te.update((t, x) for t in w for x in e)
+    for (t, x), k in n_te.items():
+        if k >= 2:
+            share[t] = max(share.get(t, -9), math.log2(k * n / (n_t[t] * n_e[x])) / math.log2(n / n_e[x]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.added or [] for r in pii.find_spans(df, generalise_at=0.5).collect()}
+    assert any(v >= 0.5 for v in share.values())
+    for k, t in enumerate(texts):
+        spans = pii.base_spans(t)
+        want = [(m.start(), m.end()) for m in pii.free_words(t, spans) if share.get(m[0], 0) >= 0.5]
+        assert [(s.start, s.end) for s in got[k]] == want
+
+
 def test_free_words_are_those_left_beside_base_spans():
     text = "ébob@s.example.com_x 4260310673142592, 4260"
     assert [m[0] for m in pii.free_words(text, pii.base_spans(text))] == ["é", "_x", "4260"]
@@ -102,8 +145,8 @@ def test_free_words_are_those_left_beside_base_spans():
 
 def test_terms_whose_lower_case_is_no_word(spark):
     """Capital I with dot: lower() makes it "i" and U+0307, which is no word character."""
-    rows = [(k, f"bob@s.example.com lives in \u0130zmir") for k in range(3)]
-    rows += [(10 + k, "the plain text lives in it") for k in range(20)]
+    rows = [(k, f"bob@s.example.com lives in \u0130zmir {k}") for k in range(3)]
+    rows += [(10 + k, f"the plain text lives in it {k}") for k in range(20)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r.doc_id: r.added for r in pii.find_spans(df).collect()}
     assert [(s.start, s.end, s.kind) for s in found[0]] == [(27, 32, "remove")]
