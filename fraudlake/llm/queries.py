@@ -47,10 +47,11 @@ def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WARC round trip of all pages."""
+    """WARC round trip of all pages: lengths and digests of responses are those of
+    the bytes read back."""
     from fraudlake.llm.warc import archive_pages
 
-    back = archive_pages(_table(spark, sf_dir, "pages"), payload=False)
+    back = archive_pages(_table(spark, sf_dir, "pages"), payload="digest")
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type",
                        F.col("refers_to_id").alias("refers_to"))
 

@@ -8,9 +8,13 @@ files of lost or repeated tasks are never read and are removed at commit.
 Reading: the driver plans one partition per file named in the manifests.
 Filters on ``record_type`` and on header columns (``target_uri``,
 ``record_id``, ``payload_digest``, ``refers_to``) are pushed down. A record's
-WARC header is inflated and parsed first; the payload is inflated and decoded
-only if the filters accept the record and the query asks for it (option
-``payload``, default true); else the reader skips to the next member.
+WARC header is inflated and parsed first; a record that the filters refuse is
+passed over chunk by chunk, to find the next member, and nothing of it is
+kept. Of an accepted record the option ``payload`` says what happens to the
+bytes behind its HTTP header: ``keep`` (default) returns them, ``digest`` returns
+their length and SHA-1, counted chunk by chunk, in place of what the headers claim,
+``skip`` drops them and returns what the headers claim. A revisit has no
+payload; its length and digest are always those of its headers.
 """
 
 from __future__ import annotations
@@ -151,7 +155,9 @@ class WarcFile(InputPartition):
 
 
 class WarcReader(DataSourceReader):
-    def __init__(self, path: str, payload: bool):
+    def __init__(self, path: str, payload: str = "keep"):
+        if payload not in ("keep", "digest", "skip"):
+            raise ValueError(f"payload is keep, digest or skip, not {payload!r}")
         self.path, self.payload = path, payload
         self.accept: dict[str, set] = {}
 
@@ -189,34 +195,81 @@ class WarcReader(DataSourceReader):
             yield from read_members(f, self.accept, self.payload)
 
 
-def read_members(f, accept: dict[str, set], payload: bool) -> Iterator[tuple]:
+class _Block:
+    """A record's block as it comes in: the HTTP header, then the payload, which is
+    kept, digested or dropped."""
+
+    def __init__(self, head: dict, payload: str):
+        self.left = head.get("length", 0)  # what follows the block is no part of it
+        self.http, self.in_body = bytearray(), False
+        revisit = head.get("record_type") == "revisit"
+        self.body = bytearray() if payload == "keep" and not revisit else None
+        self.sha = hashlib.sha1() if payload == "digest" and not revisit else None
+        self.size = 0
+
+    def add(self, data: bytes) -> None:
+        data = data[:self.left]
+        self.left -= len(data)
+        if not self.in_body:
+            scan = max(len(self.http) - 3, 0)
+            self.http += data
+            end = self.http.find(b"\r\n\r\n", scan)
+            if end < 0:
+                return
+            self.in_body, data = True, bytes(self.http[end + 4:])
+            del self.http[end:]
+        self.size += len(data)
+        if self.body is not None:
+            self.body += data
+        if self.sha is not None:
+            self.sha.update(data)
+
+    def row(self, head: dict) -> tuple:
+        if self.left:
+            raise EOFError("WARC block shorter than its Content-Length")
+        size, digest = self.size, head.get("payload_digest")
+        if self.sha is not None:
+            digest = base64.b32encode(self.sha.digest()).decode()
+        else:
+            for line in bytes(self.http).split(b"\r\n")[1:]:
+                if line.lower().startswith(b"content-length:"):
+                    size = int(line.split(b":")[1])
+        return (head.get("record_type"), head.get("record_id"), head.get("target_uri"),
+                head.get("warc_date"), digest, head.get("refers_to"), size,
+                None if self.body is None else bytes(self.body))
+
+
+def read_members(f, accept: dict[str, set], payload: str = "keep") -> Iterator[tuple]:
     """Records of a gzip-per-record stream that ``accept`` lets through."""
     rest = b""
     while True:
         rest = rest or f.read(_CHUNK)
         if not rest:
             return
-        gz, block = zlib.decompressobj(31), bytearray()
+        gz, raw = zlib.decompressobj(31), bytearray()
         # Header first: inflate only until it is complete.
-        while b"\r\n\r\n" not in block and not gz.eof:
-            block += gz.decompress(rest, 4096)
+        while b"\r\n\r\n" not in raw and not gz.eof:
+            raw += gz.decompress(rest, 4096)
             rest = gz.unconsumed_tail or (b"" if gz.eof else f.read(_CHUNK))
             if not rest and not gz.eof:
-                block += gz.flush()
+                raw += gz.flush()
                 break
-        end = block.find(b"\r\n\r\n")
-        head = _header(bytes(block[:end]))
+        end = raw.find(b"\r\n\r\n")
+        head = _header(bytes(raw[:end]))
         wanted = all(head.get(c) in v for c, v in accept.items())
+        block = _Block(head, payload)
+        if wanted:
+            block.add(bytes(raw[end + 4:]))
         while not gz.eof:
             data = gz.decompress(rest, _CHUNK)
             if wanted:
-                block += data
+                block.add(data)
             rest = gz.unconsumed_tail or (b"" if gz.eof else f.read(_CHUNK))
             if not rest and not gz.eof and not data:
                 raise EOFError("truncated WARC record")
         rest = gz.unused_data or b""
         if wanted:
-            yield _row(head, bytes(block[end + 4:]), payload)
+            yield block.row(head)
 
 
 def _header(raw: bytes) -> dict:
@@ -235,21 +288,9 @@ def _header(raw: bytes) -> dict:
     return out
 
 
-def _row(head: dict, block: bytes, payload: bool) -> tuple:
-    http, _, body = block[: head["length"]].partition(b"\r\n\r\n")
-    size = len(body)
-    for line in http.split(b"\r\n")[1:]:
-        if line.lower().startswith(b"content-length:"):
-            size = int(line.split(b":")[1])
-    keep = payload and head.get("record_type") != "revisit"
-    return (head.get("record_type"), head.get("record_id"), head.get("target_uri"),
-            head.get("warc_date"), head.get("payload_digest"), head.get("refers_to"),
-            size, body if keep else None)
-
-
 class WarcDataSource(DataSource):
     """Options: ``path``; ``maxFileBytes`` (write, default 128 MiB of compressed
-    records); ``payload`` (read, default true)."""
+    records); ``payload`` (read: keep, digest or skip, default keep)."""
 
     @classmethod
     def name(cls) -> str:
@@ -259,8 +300,7 @@ class WarcDataSource(DataSource):
         return SCHEMA
 
     def reader(self, schema: StructType) -> WarcReader:
-        return WarcReader(self.options["path"],
-                          str(self.options.get("payload", "true")).lower() == "true")
+        return WarcReader(self.options["path"], self.options.get("payload", "keep"))
 
     def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
         return WarcWriter(self.options["path"],
@@ -321,17 +361,24 @@ def write_archives(records: DataFrame, path: str, max_file_bytes: int = 128 << 2
      .save(path))
 
 
-def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, payload: str = "keep") -> DataFrame:
     register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    return spark.read.format("warc").option("payload", payload).load(path)
 
 
 def archive_pages(pages: DataFrame, path: str | None = None, min_bytes: int = 0,
-                  payload: bool = True) -> DataFrame:
+                  payload: str = "keep") -> DataFrame:
     """Write ``pages`` as archives (in a fresh shared folder by default) and read
-    them back: the columns of :data:`SCHEMA` plus ``page_id``."""
+    them back: the columns of :data:`SCHEMA` plus ``page_id`` and ``refers_to_id``.
+
+    Responses and revisits are read apart, each through a pushed filter on the
+    record type: responses as ``payload`` says, revisits by their headers alone.
+    With ``digest``, length and SHA-1 of responses come from the archived bytes.
+    """
     path = path or scratch_path(pages.sparkSession, "warc")
     write_archives(page_records(pages, min_bytes), path)
     number = lambda c: F.expr(f"try_cast(substring({c}, 12) AS BIGINT)")
-    return read_archives(pages.sparkSession, path, payload).withColumns(
-        {"page_id": number("record_id"), "refers_to_id": number("refers_to")})
+    kind = F.col("record_type")
+    back = (read_archives(pages.sparkSession, path, payload).filter(kind == "response")
+            .unionAll(read_archives(pages.sparkSession, path, "skip").filter(kind == "revisit")))
+    return back.withColumns({"page_id": number("record_id"), "refers_to_id": number("refers_to")})

@@ -56,9 +56,9 @@ def test_line_breaks_stay_out_of_headers(spark, root):
 
 
 def test_filters_are_pushed_and_payload_is_skipped(spark, root):
-    df = warc.read_archives(spark, root, payload=False).filter("record_type = 'revisit'")
+    df = warc.read_archives(spark, root, "skip").filter("record_type = 'revisit'")
     assert {r.record_id for r in df.collect()} == {"urn:x-page:1", "urn:x-page:", "urn:x-page:3"}
-    reader = warc.WarcReader(root, True)
+    reader = warc.WarcReader(root)
     from pyspark.sql.datasource import EqualTo, IsNull
 
     left = list(reader.pushFilters([EqualTo(("record_type",), "revisit"), IsNull(("payload",))]))
@@ -83,7 +83,42 @@ def test_torn_record_raises(root):
     with open(os.path.join(root, name), "rb") as f:
         raw = f.read()
     with pytest.raises(EOFError):
-        list(warc.read_members(io.BytesIO(raw[:-30]), {}, True))
+        list(warc.read_members(io.BytesIO(raw[:-30]), {}))
+
+
+def test_digest_is_that_of_the_archived_bytes(tmp_path):
+    """One changed payload byte under unchanged headers changes the row."""
+    import gzip
+    import io
+
+    body = "é".encode() * 300_000
+    whole = warc.encode_record("response", "urn:x-page:1", "u", "d", digest(body), None,
+                               len(body), body)
+    at = len(whole) - 1000
+    bad = whole[:at] + bytes([whole[at] ^ 1]) + whole[at + 1:]
+    short = whole.replace(b"Content-Length: 600000\r\n\r\n", b"Content-Length: 600001\r\n\r\n")
+    changed = body[:at - len(whole) + 4] + bytes([whole[at] ^ 1]) + body[at - len(whole) + 5:]
+    for payload, want in (("digest", [digest(body), digest(changed), digest(body)]),
+                          ("skip", [digest(body)] * 3)):
+        got = [next(warc.read_members(io.BytesIO(gzip.compress(r)), {}, payload))
+               for r in (whole, bad, short)]
+        assert [r[4] for r in got] == want
+        assert [r[6] for r in got] == [600_000, 600_000, 600_000 + (payload == "skip")]
+        assert all(r[7] is None for r in got)
+    assert next(warc.read_members(io.BytesIO(gzip.compress(bad)), {}))[7] == changed
+    cut = whole.replace(b"Content-Length: 6000", b"Content-Length: 7000")
+    with pytest.raises(EOFError):
+        list(warc.read_members(io.BytesIO(gzip.compress(cut)), {}))
+
+
+def test_skipped_payloads_are_not_kept(root):
+    """With ``skip`` no byte behind the HTTP header is held."""
+    block = warc._Block({"length": 1 << 40, "record_type": "response"}, "skip")
+    block.add(b"HTTP/1.1 200 OK\r\nContent-Length: 5\r\n\r")
+    for _ in range(10):
+        block.add(b"\n" + b"x" * 1000)
+    assert block.in_body and bytes(block.http).endswith(b"Content-Length: 5")
+    assert block.body is None and block.sha is None and block.size == 10_009
 
 
 def test_small_payloads_are_responses(pages):
