@@ -18,11 +18,14 @@ without a base span. Terms and entities seen together in fewer than ``support``
 distinct texts are left alone: such counts are no evidence.
 
 Scale: one scan finds base spans and stages them, with the distinct words of
-documents that have an entity; another counts frequencies over distinct texts (equal
-texts meet by their hash, and in each task before), summed per batch before the
-shuffle. The tables of pairs have one row per (entity, term) of
+documents that have an entity; another counts frequencies over distinct texts, summed
+per batch before the shuffle. A bitmap of the hashes of repeated texts, of ``_BITS``
+bits at most, tells which texts are surely alone: these are counted where they
+are read, and only the others are shuffled, to meet their copies (those that share
+a bit with one by chance meet nobody, and count once all the same). The tables of
+pairs have one row per (entity, term) of
 entities in ``support`` documents; skewed joins are split. A third scan places
-the disclosing terms: a bitmap of their hashes, of ``_BITS`` bits at most, drops
+the disclosing terms: a like bitmap of their hashes drops
 nearly all other words before the join, which is exact.
 """
 
@@ -49,7 +52,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"\w+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_BITS = 1 << 27  # most bits of the bitmap of disclosing terms (16 MB)
+_BITS = 1 << 27  # most bits of a bitmap of hashes (16 MB)
 _BLOCK = 1 << 15  # bits of one value of bitmap_construct_agg
 
 
@@ -150,7 +153,8 @@ def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def disclosure(docs: DataFrame, found: DataFrame, support: int) -> DataFrame:
     """(entity, term, share): PMI / IC of every pair seen in ``support`` distinct texts.
     ``docs`` has text and text_key."""
-    total = found.select("text_key").distinct().count()
+    keys = found.groupBy("text_key").agg(F.count("*").alias("n"))
+    total, repeated = keys.agg(F.count("*"), F.count_if(F.col("n") > 1)).first()
     once = staged(found.filter(F.size("entities") > 0).select("text_key", "entities", "words")
                   .dropDuplicates(["text_key"]), "pii-once")
     n_e = (once.select(F.explode("entities").alias("entity")).groupBy("entity")
@@ -164,8 +168,8 @@ def disclosure(docs: DataFrame, found: DataFrame, support: int) -> DataFrame:
             .select("entity", F.explode("words").alias("term")).groupBy("entity", "term")
             .agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= support))
     n_te = staged(n_te, "pii-pairs")
-    n_t = (docs.select("text", "text_key").dropDuplicates(["text_key"]).select("text")
-           .mapInPandas(_frequencies, "term string, n long").groupBy("term")
+    once_each = distinct_texts(docs, keys.filter(F.col("n") > 1), repeated)
+    n_t = (once_each.mapInPandas(_frequencies, "term string, n long").groupBy("term")
            .agg(F.sum("n").alias("n_t")))
     ic = F.log2(F.lit(float(max(total, 1))) / F.col("n_e"))
     pmi = F.log2(F.col("n_te") * F.lit(float(max(total, 1))) / (F.col("n_t") * F.col("n_e")))
@@ -173,26 +177,44 @@ def disclosure(docs: DataFrame, found: DataFrame, support: int) -> DataFrame:
             .select("entity", "term", F.when(ic > 0, pmi / ic).otherwise(0.0).alias("share")))
 
 
-def term_bitmap(terms: DataFrame, bits: int) -> np.ndarray:
-    """Bytes with the bit crc32(term) % ``bits`` set for every row of ``terms``."""
-    h = F.crc32(F.encode("term", "UTF-8")) % bits
+def bitmap(hashes: DataFrame, number: int) -> tuple[np.ndarray, int]:
+    """(bytes, bits): the bit h % ``bits`` is set for every row of ``hashes`` (column
+    h); 64 bits or more for each of the ``number`` rows, up to ``_BITS`` in all."""
+    bits = _BLOCK
+    while bits < min(64 * number, _BITS):
+        bits *= 2
+    out = np.zeros(bits // 8, np.uint8)
+    if not number:
+        return out, bits
+    h = F.pmod("h", F.lit(bits))
     # Rows of a block meet before they become a bitmap, so no task ships more than its own.
-    blocks = (terms.select((h / _BLOCK).cast("long").alias("block"), (h % _BLOCK).alias("bit"))
+    blocks = (hashes.select((h / _BLOCK).cast("long").alias("block"), (h % _BLOCK).alias("bit"))
               .repartition("block").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("b")))
-    out = np.zeros(bits // 8, np.uint8)
     for r in blocks.collect():
         out[r["block"] * _BLOCK // 8:][:_BLOCK // 8] = np.frombuffer(r["b"], np.uint8)
-    return out
+    return out, bits
+
+
+def distinct_texts(docs: DataFrame, repeated: DataFrame, number: int) -> DataFrame:
+    """Every distinct text of ``docs`` (text, text_key) once. ``repeated`` has the
+    ``number`` keys of texts with copies."""
+    seen, bits = bitmap(repeated.select(F.col("text_key").alias("h")), number)
+
+    @F.pandas_udf("boolean")
+    def maybe(key: pd.Series) -> pd.Series:
+        h = key.to_numpy() % bits
+        return pd.Series((seen[h >> 3] >> (h & 7) & 1).astype(bool))
+
+    marked = docs.select("text", "text_key").withColumn("copied", maybe("text_key"))
+    alone = marked.filter(~F.col("copied")).select("text")
+    return alone.unionAll(marked.filter("copied").dropDuplicates(["text_key"]).select("text"))
 
 
 def places(own: DataFrame, terms: DataFrame) -> DataFrame:
     """(doc_id, text_key, start, end, share): every place of every row of ``terms``
     (term, share) outside the base spans of all documents."""
     number = terms.count()
-    bits = _BLOCK
-    while bits < min(64 * number, _BITS):
-        bits *= 2
-    bitmap = term_bitmap(terms, bits)
+    known_bits, bits = bitmap(terms.select(F.crc32(F.encode("term", "UTF-8")).alias("h")), number)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, str | None] = {}
@@ -203,7 +225,7 @@ def places(own: DataFrame, terms: DataFrame) -> DataFrame:
             h = zlib.crc32(low.encode()) % bits
             if len(known) > 200_000:
                 known.clear()
-            known[word] = out = low if bitmap[h >> 3] >> (h & 7) & 1 else None
+            known[word] = out = low if known_bits[h >> 3] >> (h & 7) & 1 else None
             return out
 
         for batch in batches if number else ():
