@@ -285,7 +285,7 @@ def join_pieces(ids: np.ndarray, table: list) -> str:
                      and (p := table[i]) is not None])
 
 
-def round_trip(docs: DataFrame, path: str, chunk_words: int = 2_000_000) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, chunk_words: int = 500_000) -> DataFrame:
     """(doc_id, n_tokens, ids array<int>, text), one row per document: its ids and
     the text decoded from them. Rows are as in :func:`encode`. A task returns a
     chunk's ids and texts at once, so chunks are smaller than for digests."""
