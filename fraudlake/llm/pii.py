@@ -177,35 +177,40 @@ def disclosure(docs: DataFrame, found: DataFrame, support: int) -> DataFrame:
             .select("entity", "term", F.when(ic > 0, pmi / ic).otherwise(0.0).alias("share")))
 
 
-def bitmap(hashes: DataFrame, number: int) -> tuple[np.ndarray, int]:
-    """(bytes, bits): the bit h % ``bits`` is set for every row of ``hashes`` (column
-    h); 64 bits or more for each of the ``number`` rows, up to ``_BITS`` in all."""
+def bitmap_blocks(hashes: DataFrame, number: int) -> tuple[DataFrame, int]:
+    """((block, b), bits): bitmaps of ``_BLOCK`` bits each that together have the bit
+    h % ``bits`` set for every row of ``hashes`` (column h); 64 bits or more for each
+    of the ``number`` rows, up to ``_BITS`` in all (so 4,096 rows, 16 MB at most)."""
     bits = _BLOCK
     while bits < min(64 * number, _BITS):
         bits *= 2
-    out = np.zeros(bits // 8, np.uint8)
-    if not number:
-        return out, bits
     h = F.pmod("h", F.lit(bits))
     # Rows of a block meet before they become a bitmap, so no task ships more than its own.
-    blocks = (hashes.select((h / _BLOCK).cast("long").alias("block"), (h % _BLOCK).alias("bit"))
-              .repartition("block").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("b")))
-    for r in blocks.collect():
+    return (hashes.select((h / _BLOCK).cast("long").alias("block"), (h % _BLOCK).alias("bit"))
+            .repartition("block").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("b")),
+            bits)
+
+
+def bitmap(hashes: DataFrame, number: int) -> tuple[np.ndarray, int]:
+    """(bytes, bits) of :func:`bitmap_blocks`."""
+    blocks, bits = bitmap_blocks(hashes, number)
+    out = np.zeros(bits // 8, np.uint8)
+    for r in blocks.collect() if number else ():
         out[r["block"] * _BLOCK // 8:][:_BLOCK // 8] = np.frombuffer(r["b"], np.uint8)
     return out, bits
 
 
 def distinct_texts(docs: DataFrame, repeated: DataFrame, number: int) -> DataFrame:
     """Every distinct text of ``docs`` (text, text_key) once. ``repeated`` has the
-    ``number`` keys of texts with copies."""
-    seen, bits = bitmap(repeated.select(F.col("text_key").alias("h")), number)
-
-    @F.pandas_udf("boolean")
-    def maybe(key: pd.Series) -> pd.Series:
-        h = key.to_numpy() % bits
-        return pd.Series((seen[h >> 3] >> (h & 7) & 1).astype(bool))
-
-    marked = docs.select("text", "text_key").withColumn("copied", maybe("text_key"))
+    ``number`` keys of texts with copies. The bitmap is looked up by a broadcast join
+    (its size is bounded), so that no task runs a Python worker for it."""
+    blocks, bits = bitmap_blocks(repeated.select(F.col("text_key").alias("h")), number)
+    h = F.pmod("text_key", F.lit(bits))
+    byte = f"conv(hex(substring(b, cast(pmod(text_key, {_BLOCK}) div 8 as int) + 1, 1)), 16, 10)"
+    bit = F.expr(f"shiftright(cast({byte} as int), cast(pmod(text_key, 8) as int)) & 1")
+    marked = (docs.select("text", "text_key", (h / _BLOCK).cast("long").alias("block"))
+              .join(F.broadcast(blocks), "block", "left")
+              .select("text", "text_key", F.coalesce(bit == 1, F.lit(False)).alias("copied")))
     alone = marked.filter(~F.col("copied")).select("text")
     return alone.unionAll(marked.filter("copied").dropDuplicates(["text_key"]).select("text"))
 

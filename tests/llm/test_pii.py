@@ -111,6 +111,22 @@ def test_copies_are_one_witness(spark):
     assert spans(one) == spans(more)
 
 
+def test_distinct_texts(spark):
+    """Every text once, also where a bit is shared and where no text has copies."""
+    texts = [f"text {k}" for k in range(3000)] + [None]
+    df = spark.createDataFrame([(t,) for t in texts + texts[:700] * 2 + [None]], "text string")
+    df = df.withColumn("text_key", pii.F.xxhash64("text"))
+    keys = df.groupBy("text_key").count().filter("count > 1")
+    copied = {r.text_key for r in keys.collect()}
+    for number in (len(copied), 1):  # the bitmap is wide, or so narrow that bits are shared
+        got = [r.text for r in pii.distinct_texts(df, keys, number).collect()]
+        assert sorted(got, key=str) == sorted(texts, key=str)
+    seen, bits = pii.bitmap(keys.selectExpr("text_key AS h"), len(copied))
+    assert all(seen[k % bits >> 3] >> (k % bits & 7) & 1 for k in copied)
+    alone = df.dropDuplicates(["text_key"])
+    assert pii.distinct_texts(alone, keys.limit(0), 0).count() == len(texts)
+
+
 def test_added_spans_equal_brute_force(spark):
     rng = random.Random(4)
     words = [f"w{k}" for k in range(30)]
