@@ -6,7 +6,8 @@
 2. ``word table``: the chunks' lists are dealt by word; each distinct word is
    encoded once, and its ids go back to the (chunk, place) that need them.
 3. ``join by position``: chunk by chunk, ids replace the positions.
-Decoding looks every id up in the id-to-piece table.
+Decoding joins the ids of the word table with the id-to-piece table; the pieces
+go to the chunks beside the ids and take the ids' places there.
 
 Chunks hold at most ``chunk_words`` words (one document more at most), which
 bounds every list, whatever the size of input or partitions. A word that is
@@ -27,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlake.llm.common import scratch_path, shuffle_partitions, text_rows
+from fraudlake.llm.common import scratch_path, shuffle_partitions, staged, text_rows
 
 # Fixed values of the tokenizer file: contractions and word classes of its
 # split pattern. In texts of the plain alphabet below (ASCII and Latin letters
@@ -144,7 +145,7 @@ def from_planes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def _encode_words(path: str):
+def _encode_words(path: str, with_pieces: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = WordEncoder(path)
         last, ids = None, np.zeros(0, np.uint32)
@@ -161,11 +162,15 @@ def _encode_words(path: str):
             out = []
             for at in np.split(order, cuts) if len(order) else []:
                 own = [found[i] for i in at]
+                flat = np.concatenate(own)
                 out.append((chunk[at[0]], to_planes(place[at]),
                             to_planes(np.fromiter(map(len, own), np.int64, len(own))),
-                            to_planes(np.concatenate(own))))
+                            to_planes(flat), None))
+                if with_pieces:  # and a row for each id, to be joined with its piece
+                    out += [(chunk[at[0]], None, None, None, i) for i in np.unique(flat).tolist()]
             if out:
-                yield pd.DataFrame(out, columns=["chunk", "places", "counts", "ids"])
+                frame = pd.DataFrame(out, columns=["chunk", "places", "counts", "ids", "id"])
+                yield frame.astype({"id": "Int32"})
 
     return run
 
@@ -184,28 +189,41 @@ def split_words(docs: DataFrame, path: str, chunk_words: int = 8_000_000,
     return spark.table(name)
 
 
-def word_table(split: DataFrame, path: str) -> DataFrame:
-    """(chunk, places, counts, ids): the ids of every chunk's words, packed by
-    :func:`to_planes`; each distinct word is encoded once."""
+def word_table(split: DataFrame, path: str, with_pieces: bool = False) -> DataFrame:
+    """(chunk, places, counts, ids, id, piece): the ids of every chunk's words,
+    packed by :func:`to_planes`; each distinct word is encoded once. With
+    ``with_pieces`` there are also rows that hold only chunk, id and piece: the
+    chunk's ids joined with the id-to-piece table. That table is broadcast: it is
+    a part of the tokenizer file, so its size is the vocabulary's whatever the
+    data."""
     words = split.filter("words IS NOT NULL").select(
         "chunk", F.posexplode("words").alias("place", "word"))
-    return (words.repartition("word").sortWithinPartitions("word")
-            .mapInPandas(_encode_words(path),
-                         "chunk long, places binary, counts binary, ids binary"))
+    packed = (words.repartition("word").sortWithinPartitions("word")
+              .mapInPandas(_encode_words(path, with_pieces),
+                           "chunk long, places binary, counts binary, ids binary, id int"))
+    if not with_pieces:
+        return packed.withColumn("piece", F.lit(None).cast("string"))
+    table = F.broadcast(pieces(split.sparkSession, path))
+    return packed.join(table, "id", "left").select(*packed.columns, "piece")
 
 
 def _join(emit):
-    """Cogroup function: a chunk's documents and its words' ids, by position."""
+    """Cogroup function: a chunk's documents and its words' ids, by position, and
+    the pieces of those ids (empty where none were asked for)."""
 
     def run(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        packed = words[words["id"].isna()]
+        named = words[words["piece"].notna()]
+        table = dict(zip(named["id"].astype(int), named["piece"], strict=True))
+
         def whole(column: str) -> np.ndarray:
-            parts = [from_planes(raw) for raw in words[column]]
+            parts = [from_planes(raw) for raw in packed[column]]
             return np.concatenate(parts or [np.zeros(0, np.uint32)]).astype(np.int64)
 
         places, counts, flat = whole("places"), whole("counts"), whole("ids").astype("<u4")
         first, n = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
         first[places], n[places] = np.cumsum(counts) - counts, counts
-        return emit(docs, flat, first, n)
+        return emit(docs, flat, first, n, table)
 
     return run
 
@@ -228,16 +246,16 @@ def encode(docs: DataFrame, path: str, chunk_words: int = 2_000_000) -> DataFram
     Special tokens written in a text are those tokens.
     """
 
-    def emit(own, flat, first, n):
+    def emit(own, flat, first, n, _):
         return pd.DataFrame({"doc_id": own["doc_id"], "ids": [
             gather(_places(p), flat, first, n).astype(np.int64) for p in own["places"]]})
 
-    return _by_chunk(docs, path, chunk_words, emit, "doc_id long, ids array<int>")
+    return _by_chunk(docs, path, chunk_words, emit, "doc_id long, ids array<int>", False)
 
 
-def _by_chunk(docs, path, chunk_words, emit, schema) -> DataFrame:
+def _by_chunk(docs, path, chunk_words, emit, schema, with_pieces=True) -> DataFrame:
     split = split_words(docs, path, chunk_words)
-    words = word_table(split, path)
+    words = word_table(split, path, with_pieces)
     return (split.select("chunk", "doc_id", "places").groupBy("chunk")
             .cogroup(words.groupBy("chunk")).applyInPandas(_join(emit), schema))
 
@@ -246,52 +264,41 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
     """The id-to-piece table (id, piece), as large as the vocabulary."""
     from tokenizers import Tokenizer
 
-    vocab = Tokenizer.from_file(path).get_vocab(with_added_tokens=True)
-    return spark.createDataFrame([(i, p) for p, i in vocab.items()], "id int, piece string")
-
-
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids) -> (doc_id, ids, text): pieces joined by spaces, which is
-    what the library does for a file without a decoder. Ids are looked up in
-    the id-to-piece table inside the tasks (it is as large as the vocabulary,
-    whatever the data); unknown ids are left out, null ids give null."""
-    table = _piece_list(path)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch["text"] = [None if ids is None else join_pieces(np.asarray(ids, np.int64), table)
-                             for ids in batch["ids"]]
-            yield batch
-
-    return encoded.select("doc_id", "ids").mapInPandas(
-        run, "doc_id long, ids array<int>, text string")
-
-
-def _piece_list(path: str) -> list:
-    from tokenizers import Tokenizer
-
     tok = Tokenizer.from_file(path)
     if tok.decoder is not None:
         raise ValueError("only files without a decoder are decoded here")
     vocab = tok.get_vocab(with_added_tokens=True)
-    table = [None] * (max(vocab.values()) + 1)
-    for piece, i in vocab.items():
-        table[i] = piece
-    return table
+    return spark.createDataFrame([(i, p) for p, i in vocab.items()], "id int, piece string")
 
 
-def join_pieces(ids: np.ndarray, table: list) -> str:
-    return " ".join([p for i in ids.tolist() if 0 <= i < len(table)
-                     and (p := table[i]) is not None])
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """(doc_id, ids) -> (doc_id, ids, text): pieces joined by spaces, which is
+    what the library does for a file without a decoder. Every id is joined with
+    the id-to-piece table (broadcast: as large as the vocabulary, whatever the
+    data) and its piece put in the id's place. Unknown ids are left out, no ids
+    give an empty text, null ids a null; repeated rows and null doc_ids stay."""
+    rows = staged(encoded.select("doc_id", "ids")
+                  .withColumn("row", F.monotonically_increasing_id()), "bpe-decode")
+    table = F.broadcast(pieces(encoded.sparkSession, path))
+    found = F.sort_array(F.collect_list(F.struct("pos", "piece")))
+    texts = (rows.select("row", F.posexplode("ids").alias("pos", "id")).join(table, "id")
+             .groupBy("row").agg(F.concat_ws(" ", F.transform(found, lambda x: x["piece"]))
+                                 .alias("text")))
+    return rows.join(texts, "row", "left").select(
+        "doc_id", "ids", F.when(F.col("ids").isNotNull(), F.coalesce("text", F.lit("")))
+        .alias("text"))
+
+
+def join_pieces(ids: np.ndarray, table: dict) -> str:
+    return " ".join([table[i] for i in ids.tolist() if i in table])
 
 
 def round_trip(docs: DataFrame, path: str, chunk_words: int = 500_000) -> DataFrame:
     """(doc_id, n_tokens, ids array<int>, text), one row per document: its ids and
     the text decoded from them. Rows are as in :func:`encode`. A task returns a
     chunk's ids and texts at once, so chunks are smaller than for digests."""
-    table = _piece_list(path)
 
-    def emit(own, flat, first, n):
+    def emit(own, flat, first, n, table):
         ids = [gather(_places(p), flat, first, n) for p in own["places"]]
         return pd.DataFrame({"doc_id": own["doc_id"], "n_tokens": [*map(len, ids)],
                              "ids": [i.astype(np.int32) for i in ids],
@@ -306,12 +313,11 @@ def round_trip_digests(docs: DataFrame, path: str, chunk_words: int = 8_000_000)
     and decoding as in :func:`encode` and :func:`decode`, without shipping the
     ids. A document is decoded from its ids, whose pieces come from the
     id-to-piece table."""
-    table = _piece_list(path)
 
-    def emit(own, flat, first, n):
+    def emit(own, flat, first, n, table):
         import hashlib
 
-        # Look each id of the chunk's word table up once, then join by position.
+        # The pieces of each word once, then joined by position.
         text = [join_pieces(flat[a:a + k], table) for a, k in zip(first, n, strict=True)]
         text = np.array(text, object)
         out = []

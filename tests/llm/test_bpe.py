@@ -59,3 +59,13 @@ def test_empty(no_docs):
 def test_pieces(spark):
     table = {r.id: r.piece for r in bpe.pieces(spark, PATH).collect()}
     assert len(table) == 49408 and table[49407] == "<|endoftext|>"
+
+
+def test_decoding_joins_the_piece_table(spark, hard_docs):
+    plan = bpe.round_trip_digests(hard_docs, PATH)._jdf.queryExecution().toString()
+    assert "Join LeftOuter, (id#" in plan
+    rows = [(1, [3, 49407, 60000]), (1, [3, 49407, 60000]), (None, []), (2, None)]
+    got = bpe.decode(spark.createDataFrame(rows, "doc_id long, ids array<int>"), PATH)
+    text = TOK.decode([3, 49407], skip_special_tokens=False)
+    assert sorted([(r.doc_id, r.text) for r in got.collect()], key=str) == sorted(
+        [(1, text), (1, text), (None, ""), (2, None)], key=str)
