@@ -36,6 +36,8 @@ from fraudlake.llm.common import scratch_path, shuffle_partitions, staged, text_
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-į]*\Z")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
 
+_SEEN_CHUNKS = 2_048  # chunks whose ids a task remembers (one bit an id of the vocabulary)
+
 
 class Splitter:
     """Words of a text as the tokenizer file splits it: special tokens, then
@@ -149,6 +151,8 @@ def _encode_words(path: str, with_pieces: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = WordEncoder(path)
         last, ids = None, np.zeros(0, np.uint32)
+        size = encoder.tok.get_vocab_size(with_added_tokens=True)
+        seen: dict[int, np.ndarray] = {}  # per chunk: the ids that have their row
         for batch in batches:
             found = []
             for word in batch["word"]:
@@ -166,8 +170,14 @@ def _encode_words(path: str, with_pieces: bool):
                 out.append((chunk[at[0]], to_planes(place[at]),
                             to_planes(np.fromiter(map(len, own), np.int64, len(own))),
                             to_planes(flat), None))
-                if with_pieces:  # and a row for each id, to be joined with its piece
-                    out += [(chunk[at[0]], None, None, None, i) for i in np.unique(flat).tolist()]
+                if with_pieces:  # and a row for each new id, to be joined with its piece
+                    if chunk[at[0]] not in seen and len(seen) == _SEEN_CHUNKS:
+                        seen.clear()  # bounds memory; an id may get a second, equal row
+                    known = seen.setdefault(chunk[at[0]], np.zeros(size // 8 + 1, np.uint8))
+                    new = np.unique(flat)
+                    new = new[known[new >> 3] >> (new & 7) & 1 == 0]
+                    np.bitwise_or.at(known, new >> 3, (1 << (new & 7)).astype(np.uint8))
+                    out += [(chunk[at[0]], None, None, None, i) for i in new.tolist()]
             if out:
                 frame = pd.DataFrame(out, columns=["chunk", "places", "counts", "ids", "id"])
                 yield frame.astype({"id": "Int32"})
