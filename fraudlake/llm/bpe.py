@@ -36,8 +36,6 @@ from fraudlake.llm.common import scratch_path, shuffle_partitions, staged, text_
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-į]*\Z")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
 
-_SEEN_CHUNKS = 2_048  # chunks whose ids a task remembers (one bit an id of the vocabulary)
-
 
 class Splitter:
     """Words of a text as the tokenizer file splits it: special tokens, then
@@ -148,11 +146,12 @@ def from_planes(raw: bytes) -> np.ndarray:
 
 
 def _encode_words(path: str, with_pieces: bool):
+    columns = ["chunk", "places", "counts", "ids", "id", "chunks"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = WordEncoder(path)
         last, ids = None, np.zeros(0, np.uint32)
-        size = encoder.tok.get_vocab_size(with_added_tokens=True)
-        seen: dict[int, np.ndarray] = {}  # per chunk: the ids that have their row
+        wanted = _Wanted(encoder.tok.get_vocab_size(with_added_tokens=True))
         for batch in batches:
             found = []
             for word in batch["word"]:
@@ -169,22 +168,50 @@ def _encode_words(path: str, with_pieces: bool):
                 flat = np.concatenate(own)
                 out.append((chunk[at[0]], to_planes(place[at]),
                             to_planes(np.fromiter(map(len, own), np.int64, len(own))),
-                            to_planes(flat), None))
-                if with_pieces:  # and a row for each new id, to be joined with its piece
-                    if chunk[at[0]] not in seen and len(seen) == _SEEN_CHUNKS:
-                        seen.clear()  # bounds memory; an id may get a second, equal row
-                    known = seen.setdefault(chunk[at[0]], np.zeros(size // 8 + 1, np.uint8))
-                    new = np.unique(flat)
-                    new = new[known[new >> 3] >> (new & 7) & 1 == 0]
-                    np.bitwise_or.at(known, new >> 3, (1 << (new & 7)).astype(np.uint8))
-                    out += [(chunk[at[0]], None, None, None, i) for i in new.tolist()]
+                            to_planes(flat), None, None))
+                if with_pieces:
+                    wanted.add(int(chunk[at[0]]), flat)
+            if wanted.full():
+                out += wanted.rows()
             if out:
-                frame = pd.DataFrame(out, columns=["chunk", "places", "counts", "ids", "id"])
-                yield frame.astype({"id": "Int32"})
+                yield pd.DataFrame(out, columns=columns).astype({"chunk": "Int64", "id": "Int32"})
+        if out := wanted.rows():
+            yield pd.DataFrame(out, columns=columns).astype({"chunk": "Int64", "id": "Int32"})
 
     return run
 
 
+class _Wanted:
+    """Which chunks need the piece of which id. Emptied when it holds too much, so
+    memory is bounded; a chunk may then be told a piece twice."""
+
+    def __init__(self, size: int):
+        self.size, self.pairs = size, 0
+        self.known: dict[int, np.ndarray] = {}  # per chunk, True at its ids
+
+    def add(self, chunk: int, ids: np.ndarray) -> None:
+        known = self.known.setdefault(chunk, np.zeros(self.size, bool))
+        new = np.unique(ids[~known[ids]])
+        known[new] = True
+        self.pairs += len(new)
+
+    def full(self) -> bool:
+        return self.pairs >= 1_000_000 or len(self.known) >= 1_024
+
+    def rows(self) -> list[tuple]:
+        """A row for each id, with its chunks."""
+        chunks = np.fromiter(self.known, np.int64, len(self.known))
+        ids = [np.flatnonzero(k) for k in self.known.values()]
+        owner = np.repeat(chunks, [*map(len, ids)])
+        flat = np.concatenate(ids or [np.zeros(0, np.int64)])
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        first = np.flatnonzero(np.diff(flat, prepend=-1))
+        self.known, self.pairs = {}, 0
+        return [(None, None, None, None, i, own) for i, own in zip(
+            flat[first].tolist(), np.split(owner, first[1:]) if len(first) else [], strict=True)]
+
+
 def split_words(docs: DataFrame, path: str, chunk_words: int = 8_000_000,
                 buckets: int | None = None) -> DataFrame:
     """The staged table (chunk, doc_id, places, words), bucketed by chunk; a
@@ -202,19 +229,21 @@ def split_words(docs: DataFrame, path: str, chunk_words: int = 8_000_000,
 def word_table(split: DataFrame, path: str, with_pieces: bool = False) -> DataFrame:
     """(chunk, places, counts, ids, id, piece): the ids of every chunk's words,
     packed by :func:`to_planes`; each distinct word is encoded once. With
-    ``with_pieces`` there are also rows that hold only chunk, id and piece: the
-    chunk's ids joined with the id-to-piece table. That table is broadcast: it is
-    a part of the tokenizer file, so its size is the vocabulary's whatever the
+    ``with_pieces`` there are also rows that hold only chunk, id and piece. For
+    those a task joins each id of its words once with the id-to-piece table, and
+    the piece goes to the chunks that use it. That table is broadcast: it is a
+    part of the tokenizer file, so its size is the vocabulary's whatever the
     data."""
     words = split.filter("words IS NOT NULL").select(
         "chunk", F.posexplode("words").alias("place", "word"))
-    packed = (words.repartition("word").sortWithinPartitions("word")
-              .mapInPandas(_encode_words(path, with_pieces),
-                           "chunk long, places binary, counts binary, ids binary, id int"))
+    packed = words.repartition("word").sortWithinPartitions("word").mapInPandas(
+        _encode_words(path, with_pieces), "chunk long, places binary, counts binary, "
+        "ids binary, id int, chunks array<long>")
     if not with_pieces:
-        return packed.withColumn("piece", F.lit(None).cast("string"))
-    table = F.broadcast(pieces(split.sparkSession, path))
-    return packed.join(table, "id", "left").select(*packed.columns, "piece")
+        return packed.drop("chunks").withColumn("piece", F.lit(None).cast("string"))
+    found = packed.join(F.broadcast(pieces(split.sparkSession, path)), "id", "left")
+    return found.select(F.explode(F.coalesce("chunks", F.array("chunk"))).alias("chunk"),
+                        "places", "counts", "ids", "id", "piece")
 
 
 def _join(emit):
