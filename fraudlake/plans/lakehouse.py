@@ -48,6 +48,7 @@ UNVERSIONED = (S.GOLD_EFFECTIVENESS_TABLE, S.GOLD_METRICS_TABLE, S.GOLD_ALERTS_T
 GATE_COLUMNS = tuple(quality.BRONZE_STATS) + tuple(quality.SILVER_STATS)
 GATE_SCHEMA = T.StructType([
     T.StructField(c, T.DoubleType() if c == "mean_home" else T.LongType()) for c in GATE_COLUMNS])
+FILE_ROWS = 500_000  # rows of a Silver file (some 150 MB while a task sorts them)
 BACKFILL_AT_ONCE = 64  # versions that one backfill pass serves; more are done in turns
 
 
@@ -212,13 +213,24 @@ def _bronze_rows(spark: SparkSession, source: DataFrame | str, source_name: str,
                          for f in S.BRONZE_SCHEMA.fields])
 
 
+def files_for(rows: DataFrame, least: int = 1) -> int:
+    """Files of at most about :data:`FILE_ROWS` rows each, ``least`` at the least: what
+    a writing task sorts stays the same however many rows there are. Counts the rows."""
+    return max(least, -(-rows.count() // FILE_ROWS))
+
+
 def by_score(rows: DataFrame, files: int | None = None) -> DataFrame:
     """Rows dealt over files by ranges of the score (its level follows from it), so
     that ``score >= 3`` opens the last files only. Few scores hold most rows, so
     ranges go on with the measures and a hash of the row; inside a file rows
     are sorted by score. Costs one shuffle of the rows; ``files`` fixes their number
-    (default: as many as Spark's shuffle settings give)."""
+    (default: as many as Spark's shuffle settings give, more if the rows ask for
+    them: :func:`files_for`)."""
     order = [F.col(S.SCORE), *[F.col(m) for m in S.MEASURES], F.xxhash64(*S.SOURCE_COLUMNS)]
+    if not files:
+        files = files_for(rows)
+        if files <= int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+            files = None
     dealt = rows.repartitionByRange(files, *order) if files else rows.repartitionByRange(*order)
     return dealt.sortWithinPartitions(S.SCORE)
 

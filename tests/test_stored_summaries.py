@@ -185,3 +185,19 @@ def test_range_layout_keeps_alerts_in_few_files(spark, built, tmp_root):
         F.min(S.SCORE).alias("a"), F.max(S.SCORE).alias("b")).orderBy("a", "b").collect()
     assert len(per) > 4 and got.count() == built.count()
     assert all(x.b <= y.a for x, y in zip(per, per[1:]))
+
+
+def test_files_of_a_layout_follow_the_rows(spark, built, tmp_root, monkeypatch):
+    from fraudlake.plans import catalog
+
+    n = built.count()
+    monkeypatch.setattr(lakehouse, "FILE_ROWS", n // 20)
+    assert lakehouse.files_for(built, 8) >= 20 and lakehouse.files_for(built.limit(0), 8) == 8
+    assert lakehouse.by_score(built).rdd.getNumPartitions() >= 20  # shuffle.partitions: 8
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: f"{tmp_root}/{name}")
+    got = catalog.q_silver_layout(spark, SF_SMALL).collect()
+    assert [r.metade_dos_arquivos for r in got] == [True]
+    for kind in ("sorted", "range"):
+        files = spark.read.parquet(f"{tmp_root}/layout/{kind}").groupBy(F.input_file_name()).count()
+        sizes = [r["count"] for r in files.collect()]
+        assert len(sizes) >= 15 and max(sizes) < n / 8 and sum(sizes) == n
