@@ -2,9 +2,12 @@
 
 1. ``split``: every text is normalised and split into the tokenizer's words.
    A task writes a document as positions in its *chunk's* word list, and the
-   list once: words are counted once per chunk, not once per use.
-2. ``word table``: the chunks' lists are dealt by word; each distinct word is
-   encoded once, and its ids go back to the (chunk, place) that need them.
+   list once, a row for each slot (a hash of the word): words are counted once
+   per chunk, not once per use.
+2. ``word table``: these rows are dealt by slot; each distinct word is encoded
+   once, and its ids go back to the (chunk, place) that need them. A row goes in
+   and one comes out for each chunk and slot, so rows follow the chunks whatever
+   the number of tasks or the size of a batch.
 3. ``join by position``: chunk by chunk, ids replace the positions.
 Decoding joins the ids of the word table with the id-to-piece table; the pieces
 go to the chunks beside the ids and take the ids' places there.
@@ -12,7 +15,8 @@ go to the chunks beside the ids and take the ids' places there.
 Chunks hold at most ``chunk_words`` words (one document more at most), which
 bounds every list, whatever the size of input or partitions. A word that is
 in every chunk meets as many rows as there are chunks, in one task, and is
-encoded once: rows there are (chunk, place), not uses of the word. The staged
+encoded once: rows there are (chunk, slot), not uses of the word. There are
+``SLOTS`` slots, which is also the most tasks that share the words. The staged
 table is bucketed by chunk, so the positions are never shuffled.
 """
 
@@ -20,11 +24,13 @@ from __future__ import annotations
 
 import re
 import uuid
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +42,10 @@ from fraudlake.llm.common import scratch_path, shuffle_partitions, staged, text_
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-į]*\Z")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
 
+SLOTS = 2048
+MOST_WORDS = 1 << 20  # of a slot, whose ids a task keeps
+MOST_CHUNKS = 8_192  # whose known pieces a task keeps
+
 
 class Splitter:
     """Words of a text as the tokenizer file splits it: special tokens, then
@@ -104,12 +114,21 @@ def _split(path: str, chunk_words: int):
         rows: list[bytes] = []
         seen = 0
 
-        def chunk() -> pd.DataFrame:
-            n = len(rows)
-            words = [None] * n
-            words[0] = list(places)
-            return pd.DataFrame({"chunk": np.full(n, (part << 32) + at), "doc_id": pd.array(
-                ids, dtype="Int64"), "places": rows, "words": words})
+        def chunk() -> Iterator[pd.DataFrame]:
+            n, own = len(rows), (part << 32) + at
+            yield pd.DataFrame({
+                "chunk": np.full(n, own), "doc_id": pd.array(ids, dtype="Int64"), "places": rows,
+                "slot": pd.array([None] * n, dtype="Int32"), "words": [None] * n})
+            words = np.array([*places, None], object)[:-1]
+            slot = np.fromiter((zlib.crc32(w.encode()) % SLOTS for w in words), np.int32, len(words))
+            order = np.argsort(slot, kind="stable")
+            lists = np.split(order, np.flatnonzero(np.diff(slot[order])) + 1) if len(words) else []
+            if n := len(lists):
+                yield pd.DataFrame({
+                    "chunk": np.full(n, own), "doc_id": pd.array([None] * n, dtype="Int64"),
+                    "places": [*map(to_planes, lists)],
+                    "slot": pd.array([slot[x[0]] for x in lists], dtype="Int32"),
+                    "words": [words[x] for x in lists]})
 
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
@@ -121,12 +140,12 @@ def _split(path: str, chunk_words: int):
                 ids.append(None if pd.isna(doc_id) else int(doc_id))
                 seen += len(words)
                 if seen >= chunk_words:
-                    yield chunk()
+                    yield from chunk()
                     at += 1
                     places.clear()
                     ids, rows, seen = [], [], 0
         if rows:
-            yield chunk()
+            yield from chunk()
 
     return run
 
@@ -146,80 +165,67 @@ def from_planes(raw: bytes) -> np.ndarray:
 
 
 def _encode_words(path: str, with_pieces: bool):
-    columns = ["chunk", "places", "counts", "ids", "id", "chunks"]
+    schema = pa.schema([("chunk", pa.int64()), ("places", pa.binary()), ("counts", pa.binary()),
+                        ("ids", pa.binary()), ("wanted", pa.list_(pa.int32()))])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(path)
-        last, ids = None, np.zeros(0, np.uint32)
         wanted = _Wanted(encoder.tok.get_vocab_size(with_added_tokens=True))
+        last, table = None, {}
         for batch in batches:
-            found = []
-            for word in batch["word"]:
-                if word != last:  # sorted by word: each distinct one comes once
-                    last, ids = word, np.array(encoder.ids(word), np.uint32)
-                found.append(ids)
-            # One row for each chunk that the batch's words belong to.
-            chunk, place = batch["chunk"].to_numpy(), batch["place"].to_numpy()
-            order = np.argsort(chunk, kind="stable")
-            cuts = np.flatnonzero(np.diff(chunk[order])) + 1
             out = []
-            for at in np.split(order, cuts) if len(order) else []:
-                own = [found[i] for i in at]
-                flat = np.concatenate(own)
-                out.append((chunk[at[0]], to_planes(place[at]),
-                            to_planes(np.fromiter(map(len, own), np.int64, len(own))),
-                            to_planes(flat), None, None))
-                if with_pieces:
-                    wanted.add(int(chunk[at[0]]), flat)
-            if wanted.full():
-                out += wanted.rows()
+            chunks, slots = batch["chunk"].to_pylist(), batch["slot"].to_pylist()
+            for k, (chunk, slot) in enumerate(zip(chunks, slots, strict=True)):
+                if slot != last or len(table) > MOST_WORDS:
+                    last, table = slot, {}
+                flat: list[int] = []
+                counts = []
+                for word in batch["words"][k].values.to_pylist():
+                    ids = table.get(word)
+                    if ids is None:  # sorted by slot: each distinct word comes here once
+                        ids = table[word] = encoder.ids(word)
+                    flat += ids
+                    counts.append(len(ids))
+                ids = np.array(flat, np.uint32)
+                out.append((chunk, batch["places"][k].as_py(), to_planes(np.array(counts)),
+                            to_planes(ids), wanted.new(chunk, ids) if with_pieces else None))
             if out:
-                yield pd.DataFrame(out, columns=columns).astype({"chunk": "Int64", "id": "Int32"})
-        if out := wanted.rows():
-            yield pd.DataFrame(out, columns=columns).astype({"chunk": "Int64", "id": "Int32"})
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(
+                    zip(*out, strict=True), schema, strict=True)], schema=schema)
 
     return run
 
 
 class _Wanted:
-    """Which chunks need the piece of which id. Emptied when it holds too much, so
-    memory is bounded; a chunk may then be told a piece twice."""
+    """Which chunk was told the piece of which id: a bit each. Emptied when it holds
+    too many chunks, so memory is bounded; a chunk may then be told a piece twice."""
 
     def __init__(self, size: int):
-        self.size, self.pairs = size, 0
-        self.known: dict[int, np.ndarray] = {}  # per chunk, True at its ids
-
-    def add(self, chunk: int, ids: np.ndarray) -> None:
-        known = self.known.setdefault(chunk, np.zeros(self.size, bool))
-        new = np.unique(ids[~known[ids]])
-        known[new] = True
-        self.pairs += len(new)
-
-    def full(self) -> bool:
-        return self.pairs >= 1_000_000 or len(self.known) >= 1_024
-
-    def rows(self) -> list[tuple]:
-        """A row for each id, with its chunks."""
-        chunks = np.fromiter(self.known, np.int64, len(self.known))
-        ids = [np.flatnonzero(k) for k in self.known.values()]
-        owner = np.repeat(chunks, [*map(len, ids)])
-        flat = np.concatenate(ids or [np.zeros(0, np.int64)])
-        order = np.argsort(flat, kind="stable")
-        flat, owner = flat[order], owner[order]
-        first = np.flatnonzero(np.diff(flat, prepend=-1))
-        self.known, self.pairs = {}, 0
-        return [(None, None, None, None, i, own) for i, own in zip(
-            flat[first].tolist(), np.split(owner, first[1:]) if len(first) else [], strict=True)]
+        self.size = size // 8 + 1
+        self.known: dict[int, np.ndarray] = {}
+
+    def new(self, chunk: int, ids: np.ndarray) -> np.ndarray:
+        """Those of ``ids`` that ``chunk`` was not told before, once each."""
+        known = self.known.get(chunk)
+        if known is None:
+            if len(self.known) >= MOST_CHUNKS:
+                self.known.clear()
+            known = self.known[chunk] = np.zeros(self.size, np.uint8)
+        bit = np.left_shift(1, ids & 7).astype(np.uint8)
+        fresh = np.unique(ids[known[ids >> 3] & bit == 0])
+        np.bitwise_or.at(known, fresh >> 3, np.left_shift(1, fresh & 7).astype(np.uint8))
+        return fresh.astype(np.int32)
 
 
 def split_words(docs: DataFrame, path: str, chunk_words: int = 8_000_000,
                 buckets: int | None = None) -> DataFrame:
-    """The staged table (chunk, doc_id, places, words), bucketed by chunk; a
-    chunk's first row has its word list."""
+    """The staged table (chunk, doc_id, places, slot, words), bucketed by chunk: a row
+    for each document, and one for each slot of a chunk's words, whose places are
+    packed by :func:`to_planes`."""
     spark = docs.sparkSession
     parts = text_rows(docs).mapInPandas(
         _split(path, chunk_words),
-        "chunk long, doc_id long, places binary, words array<string>")
+        "chunk long, doc_id long, places binary, slot int, words array<string>")
     name = f"bpe_{uuid.uuid4().hex}"
     (parts.write.bucketBy(buckets or shuffle_partitions(spark), "chunk")
      .option("path", scratch_path(spark, name)).option("compression", "zstd").saveAsTable(name))
@@ -228,22 +234,25 @@ def split_words(docs: DataFrame, path: str, chunk_words: int = 8_000_000,
 
 def word_table(split: DataFrame, path: str, with_pieces: bool = False) -> DataFrame:
     """(chunk, places, counts, ids, id, piece): the ids of every chunk's words,
-    packed by :func:`to_planes`; each distinct word is encoded once. With
-    ``with_pieces`` there are also rows that hold only chunk, id and piece. For
-    those a task joins each id of its words once with the id-to-piece table, and
-    the piece goes to the chunks that use it. That table is broadcast: it is a
-    part of the tokenizer file, so its size is the vocabulary's whatever the
-    data."""
-    words = split.filter("words IS NOT NULL").select(
-        "chunk", F.posexplode("words").alias("place", "word"))
-    packed = words.repartition("word").sortWithinPartitions("word").mapInPandas(
+    packed by :func:`to_planes`, a row for each chunk and slot; each distinct word is
+    encoded once. With ``with_pieces`` the rows also tell the chunk its ids' pieces:
+    a task joins the ids that it has not yet told a chunk with the id-to-piece
+    table. There is a row for each of them then, the first with the packed ids.
+    That table is broadcast: it is a part of the tokenizer file, so its size is
+    the vocabulary's whatever the data."""
+    words = split.filter("slot IS NOT NULL").select("chunk", "slot", "places", "words")
+    packed = words.repartition("slot").sortWithinPartitions("slot").mapInArrow(
         _encode_words(path, with_pieces), "chunk long, places binary, counts binary, "
-        "ids binary, id int, chunks array<long>")
+        "ids binary, wanted array<int>")
+    columns = ["places", "counts", "ids"]
     if not with_pieces:
-        return packed.drop("chunks").withColumn("piece", F.lit(None).cast("string"))
-    found = packed.join(F.broadcast(pieces(split.sparkSession, path)), "id", "left")
-    return found.select(F.explode(F.coalesce("chunks", F.array("chunk"))).alias("chunk"),
-                        "places", "counts", "ids", "id", "piece")
+        return packed.select("chunk", *columns, F.lit(None).cast("int").alias("id"),
+                             F.lit(None).cast("string").alias("piece"))
+    first = F.coalesce("pos", F.lit(0)) == 0
+    found = packed.select("chunk", *columns, F.posexplode_outer("wanted").alias("pos", "id"))
+    return found.select("chunk", *[F.when(first, F.col(c)).alias(c) for c in columns], "id").join(
+        F.broadcast(pieces(split.sparkSession, path)), "id", "left").select(
+        "chunk", *columns, "id", "piece")
 
 
 def _join(emit):
@@ -251,7 +260,7 @@ def _join(emit):
     the pieces of those ids (empty where none were asked for)."""
 
     def run(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        packed = words[words["id"].isna()]
+        packed = words[words["ids"].notna()]
         named = words[words["piece"].notna()]
         table = dict(zip(named["id"].astype(int), named["piece"], strict=True))
 
@@ -295,19 +304,27 @@ def encode(docs: DataFrame, path: str, chunk_words: int = 2_000_000) -> DataFram
 def _by_chunk(docs, path, chunk_words, emit, schema, with_pieces=True) -> DataFrame:
     split = split_words(docs, path, chunk_words)
     words = word_table(split, path, with_pieces)
-    return (split.select("chunk", "doc_id", "places").groupBy("chunk")
+    return (split.filter("slot IS NULL").select("chunk", "doc_id", "places").groupBy("chunk")
             .cogroup(words.groupBy("chunk")).applyInPandas(_join(emit), schema))
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The id-to-piece table (id, piece), as large as the vocabulary."""
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_file(path)
-    if tok.decoder is not None:
-        raise ValueError("only files without a decoder are decoded here")
-    vocab = tok.get_vocab(with_added_tokens=True)
-    return spark.createDataFrame([(i, p) for p, i in vocab.items()], "id int, piece string")
+    """The id-to-piece table (id, piece), as large as the vocabulary. A task reads it
+    from the file, so the driver never holds it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(path)
+        if tok.decoder is not None:
+            raise ValueError("only files without a decoder are decoded here")
+        vocab = tok.get_vocab(with_added_tokens=True)
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*vocab.values()], pa.int32()), pa.array([*vocab], pa.string())],
+                names=["id", "piece"])
+
+    return spark.range(1, numPartitions=1).mapInArrow(run, "id int, piece string")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

@@ -43,6 +43,31 @@ def test_hard_rows_in_many_chunks(hard_docs):
         assert sorted(map(tuple, got), key=str) == digests(rows)
 
 
+def test_word_table_rows_follow_the_chunks(spark):
+    """A row for each chunk and slot, however many tasks and batches read them."""
+    rows = [(d, " ".join(f"word{k}x" for k in range(d % 3, 300))) for d in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    slots = [len({bpe.zlib.crc32(w.encode()) % bpe.SLOTS
+                  for w in bpe.Splitter(PATH).words(t)}) for _, t in rows]
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for batch in ("7", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            words = bpe.word_table(bpe.split_words(docs, PATH, chunk_words=1), PATH, True)
+            assert words.filter("ids IS NOT NULL").count() == sum(slots)
+            told = words.filter("id IS NOT NULL").groupBy("chunk", "id").count().collect()
+            assert len({r.chunk for r in told}) == 12 and all(r["count"] == 1 for r in told)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+
+
+def test_pieces_told_again_after_too_many_chunks(spark, hard_docs, monkeypatch):
+    monkeypatch.setattr(bpe, "MOST_CHUNKS", 2)
+    wanted = bpe._Wanted(49408)
+    told = [wanted.new(c, np.array([5, 5, 49407], np.uint32)).tolist() for c in (1, 1, 2, 3, 1)]
+    assert told == [[5, 49407], [], [5, 49407], [5, 49407], [5, 49407]]
+
+
 def test_encode_and_decode(documents):
     rows = {r.doc_id: whole(r.text) for r in documents.select("doc_id", "text").collect()}
     got = bpe.decode(bpe.encode(documents, PATH), PATH).collect()
@@ -61,6 +86,18 @@ def test_pieces(spark):
     assert len(table) == 49408 and table[49407] == "<|endoftext|>"
 
 
+def test_driver_does_not_load_the_tokenizer(documents, monkeypatch):
+    def refuse(_):
+        raise AssertionError("the driver loads a vocabulary")
+
+    class Refuse:
+        from_file = staticmethod(refuse)
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Refuse)
+    got = bpe.round_trip_digests(documents.limit(20), PATH)  # tasks have a module of their own
+    assert got.count() == 20
+
+
 def test_decoding_joins_the_piece_table(spark, hard_docs):
     plan = bpe.round_trip_digests(hard_docs, PATH)._jdf.queryExecution().toString()
     assert "Join LeftOuter, (id#" in plan
