@@ -5,9 +5,9 @@
    list once, a row for each slot (a hash of the word): words are counted once
    per chunk, not once per use.
 2. ``word table``: these rows are dealt by slot; each distinct word is encoded
-   once, and its ids go back to the (chunk, place) that need them. A row goes in
-   and one comes out for each chunk and slot, so rows follow the chunks whatever
-   the number of tasks or the size of a batch.
+   once, and its ids go back to the (chunk, place) that need them. A row comes in
+   for each chunk and slot; a task gives a chunk its slots in one row where they
+   fit, so rows never outnumber chunks times slots, whatever the batches.
 3. ``join by position``: chunk by chunk, ids replace the positions.
 Decoding joins the ids of the word table with the id-to-piece table; the pieces
 go to the chunks beside the ids and take the ids' places there.
@@ -45,6 +45,7 @@ _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
 SLOTS = 2048
 MOST_WORDS = 1 << 20  # of a slot, whose ids a task keeps
 MOST_CHUNKS = 8_192  # whose known pieces a task keeps
+MOST_IDS = 2_000_000  # that a task holds before it gives out rows
 
 
 class Splitter:
@@ -166,14 +167,18 @@ def from_planes(raw: bytes) -> np.ndarray:
 
 def _encode_words(path: str, with_pieces: bool):
     schema = pa.schema([("chunk", pa.int64()), ("places", pa.binary()), ("counts", pa.binary()),
-                        ("ids", pa.binary()), ("wanted", pa.list_(pa.int32()))])
+                        ("ids", pa.binary()), ("id", pa.int32()), ("chunks", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(path)
-        wanted = _Wanted(encoder.tok.get_vocab_size(with_added_tokens=True))
+        held = _Held(encoder.tok.get_vocab_size(with_added_tokens=True), with_pieces)
         last, table = None, {}
+
+        def packed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(
+                zip(*held.rows(), strict=True), schema, strict=True)], schema=schema)
+
         for batch in batches:
-            out = []
             chunks, slots = batch["chunk"].to_pylist(), batch["slot"].to_pylist()
             for k, (chunk, slot) in enumerate(zip(chunks, slots, strict=True)):
                 if slot != last or len(table) > MOST_WORDS:
@@ -186,35 +191,62 @@ def _encode_words(path: str, with_pieces: bool):
                         ids = table[word] = encoder.ids(word)
                     flat += ids
                     counts.append(len(ids))
-                ids = np.array(flat, np.uint32)
-                out.append((chunk, batch["places"][k].as_py(), to_planes(np.array(counts)),
-                            to_planes(ids), wanted.new(chunk, ids) if with_pieces else None))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(
-                    zip(*out, strict=True), schema, strict=True)], schema=schema)
+                held.add(chunk, from_planes(batch["places"][k].as_py()),
+                         np.array(counts, np.uint32), np.array(flat, np.uint32))
+                if held.full():
+                    yield packed()
+        if held.own:
+            yield packed()
 
     return run
 
 
-class _Wanted:
-    """Which chunk was told the piece of which id: a bit each. Emptied when it holds
-    too many chunks, so memory is bounded; a chunk may then be told a piece twice."""
+class _Held:
+    """What a task has for the chunks: their words' ids, and which chunk was told the
+    piece of which id (a bit each). Given out when it is too much, so memory is
+    bounded; after too many chunks one may be told a piece twice. A chunk gets a row
+    each time, never more than it had slots, and an id one with its chunks."""
 
-    def __init__(self, size: int):
-        self.size = size // 8 + 1
+    def __init__(self, size: int, with_pieces: bool = True):
+        self.size, self.with_pieces = size // 8 + 1, with_pieces
+        self.own: dict[int, list[tuple]] = {}
         self.known: dict[int, np.ndarray] = {}
-
-    def new(self, chunk: int, ids: np.ndarray) -> np.ndarray:
-        """Those of ``ids`` that ``chunk`` was not told before, once each."""
+        self.told: list[tuple[int, np.ndarray]] = []
+        self.n_ids = 0
+
+    def add(self, chunk: int, places: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+        self.own.setdefault(chunk, []).append((places, counts, ids))
+        self.n_ids += len(ids)
+        if not self.with_pieces:
+            return
         known = self.known.get(chunk)
         if known is None:
-            if len(self.known) >= MOST_CHUNKS:
-                self.known.clear()
             known = self.known[chunk] = np.zeros(self.size, np.uint8)
         bit = np.left_shift(1, ids & 7).astype(np.uint8)
         fresh = np.unique(ids[known[ids >> 3] & bit == 0])
         np.bitwise_or.at(known, fresh >> 3, np.left_shift(1, fresh & 7).astype(np.uint8))
-        return fresh.astype(np.int32)
+        self.told.append((chunk, fresh))
+
+    def full(self) -> bool:
+        return self.n_ids >= MOST_IDS or len(self.known) >= MOST_CHUNKS
+
+    def rows(self) -> list[tuple]:
+        """A row for each chunk with its words' ids, and one for each id told."""
+        out = [(chunk, *[to_planes(np.concatenate(x)) for x in zip(*parts, strict=True)], None, None)
+               for chunk, parts in self.own.items()]
+        if self.told:
+            flat = np.concatenate([ids for _, ids in self.told])
+            owner = np.repeat([c for c, _ in self.told], [len(ids) for _, ids in self.told])
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
+            first = np.flatnonzero(np.diff(flat.astype(np.int64), prepend=-1))
+            out += [(None, None, None, None, i, own) for i, own in zip(
+                flat[first].tolist(), np.split(owner, first[1:]) if len(first) else [],
+                strict=True)]
+        self.own, self.told, self.n_ids = {}, [], 0
+        if len(self.known) >= MOST_CHUNKS:
+            self.known = {}
+        return out
 
 
 def split_words(docs: DataFrame, path: str, chunk_words: int = 8_000_000,
@@ -234,25 +266,21 @@ def split_words(docs: DataFrame, path: str, chunk_words: int = 8_000_000,
 
 def word_table(split: DataFrame, path: str, with_pieces: bool = False) -> DataFrame:
     """(chunk, places, counts, ids, id, piece): the ids of every chunk's words,
-    packed by :func:`to_planes`, a row for each chunk and slot; each distinct word is
-    encoded once. With ``with_pieces`` the rows also tell the chunk its ids' pieces:
-    a task joins the ids that it has not yet told a chunk with the id-to-piece
-    table. There is a row for each of them then, the first with the packed ids.
-    That table is broadcast: it is a part of the tokenizer file, so its size is
-    the vocabulary's whatever the data."""
+    packed by :func:`to_planes`; each distinct word is encoded once. With
+    ``with_pieces`` there are also rows that hold only chunk, id and piece. For
+    those a task joins each id of its words once with the id-to-piece table, and
+    the piece goes to the chunks that use it. That table is broadcast: it is a
+    part of the tokenizer file, so its size is the vocabulary's whatever the
+    data."""
     words = split.filter("slot IS NOT NULL").select("chunk", "slot", "places", "words")
     packed = words.repartition("slot").sortWithinPartitions("slot").mapInArrow(
         _encode_words(path, with_pieces), "chunk long, places binary, counts binary, "
-        "ids binary, wanted array<int>")
-    columns = ["places", "counts", "ids"]
+        "ids binary, id int, chunks array<long>")
     if not with_pieces:
-        return packed.select("chunk", *columns, F.lit(None).cast("int").alias("id"),
-                             F.lit(None).cast("string").alias("piece"))
-    first = F.coalesce("pos", F.lit(0)) == 0
-    found = packed.select("chunk", *columns, F.posexplode_outer("wanted").alias("pos", "id"))
-    return found.select("chunk", *[F.when(first, F.col(c)).alias(c) for c in columns], "id").join(
-        F.broadcast(pieces(split.sparkSession, path)), "id", "left").select(
-        "chunk", *columns, "id", "piece")
+        return packed.drop("chunks").withColumn("piece", F.lit(None).cast("string"))
+    found = packed.join(F.broadcast(pieces(split.sparkSession, path)), "id", "left")
+    return found.select(F.explode(F.coalesce("chunks", F.array("chunk"))).alias("chunk"),
+                        "places", "counts", "ids", "id", "piece")
 
 
 def _join(emit):

@@ -43,29 +43,39 @@ def test_hard_rows_in_many_chunks(hard_docs):
         assert sorted(map(tuple, got), key=str) == digests(rows)
 
 
-def test_word_table_rows_follow_the_chunks(spark):
-    """A row for each chunk and slot, however many tasks and batches read them."""
+def test_word_table_rows_follow_the_chunks(spark, monkeypatch):
+    """A task's rows for a chunk do not depend on the batches that it reads, and there
+    are no more of them than chunks and slots."""
     rows = [(d, " ".join(f"word{k}x" for k in range(d % 3, 300))) for d in range(12)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    slots = [len({bpe.zlib.crc32(w.encode()) % bpe.SLOTS
-                  for w in bpe.Splitter(PATH).words(t)}) for _, t in rows]
-    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    split = bpe.split_words(docs, PATH, chunk_words=1).cache()
+    name, counts = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    was = spark.conf.get(name)
     try:
         for batch in ("7", "10000"):
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
-            words = bpe.word_table(bpe.split_words(docs, PATH, chunk_words=1), PATH, True)
-            assert words.filter("ids IS NOT NULL").count() == sum(slots)
-            told = words.filter("id IS NOT NULL").groupBy("chunk", "id").count().collect()
-            assert len({r.chunk for r in told}) == 12 and all(r["count"] == 1 for r in told)
+            spark.conf.set(name, batch)
+            words = bpe.word_table(split, PATH, True)
+            counts.append(words.filter("ids IS NOT NULL").count())
     finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+        spark.conf.set(name, was)
+    assert counts[0] == counts[1] <= split.filter("slot IS NOT NULL").count()
 
 
-def test_pieces_told_again_after_too_many_chunks(spark, hard_docs, monkeypatch):
+def test_rows_given_out_again_and_again(monkeypatch):
     monkeypatch.setattr(bpe, "MOST_CHUNKS", 2)
-    wanted = bpe._Wanted(49408)
-    told = [wanted.new(c, np.array([5, 5, 49407], np.uint32)).tolist() for c in (1, 1, 2, 3, 1)]
-    assert told == [[5, 49407], [], [5, 49407], [5, 49407], [5, 49407]]
+    held, one = bpe._Held(49408), np.array([7], np.uint32)
+    ids = np.array([5, 5, 49407], np.uint32)
+    held.add(1, one, one, ids)
+    held.add(1, one, one, ids)
+    assert not held.full()
+    held.add(2, one, one, ids)
+    assert held.full()
+    rows = held.rows()
+    assert [(r[0], bpe.from_planes(r[3]).tolist()) for r in rows[:2]] == [
+        (1, [5, 5, 49407] * 2), (2, [5, 5, 49407])]
+    assert [(r[4], r[5].tolist()) for r in rows[2:]] == [(5, [1, 2]), (49407, [1, 2])]
+    held.add(1, one, one, ids)  # told again, since the bits were given up
+    assert [(r[4], r[5].tolist()) for r in held.rows()[1:]] == [(5, [1]), (49407, [1])]
 
 
 def test_encode_and_decode(documents):
